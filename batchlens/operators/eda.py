@@ -167,7 +167,9 @@ def histogram(df: DataFrame, kinds: Mapping[str, str], *, bins: int = 30, max_co
 def _bin(x, lo: float, hi: float, bins: int):
     """Bin number of a value; a value within rounding of an edge is settled by comparing with it."""
     step = (hi - lo) / bins
-    guess = F.least(F.floor((x - lo) / (hi - lo) * bins), F.lit(bins - 1)).cast("int")
+    # least() skips NULLs, so a missing value is ruled out first.
+    at = F.floor((x - lo) / (hi - lo) * bins)
+    guess = F.when(x.isNotNull(), F.least(at, F.lit(bins - 1))).cast("int")
     low = F.when(x < lo + guess * step, guess - 1).otherwise(guess)
     return F.when((low < bins - 1) & (x >= lo + (low + 1) * step), low + 1).otherwise(low)
 
