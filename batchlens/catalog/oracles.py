@@ -74,12 +74,12 @@ def _eda_describe(view: str, kinds: Mapping[str, str]) -> str:
     rows = []
     for i, c in enumerate(of_kind(kinds, NUMERIC)):
         quartiles = ", ".join(
-            f"round(quantile_cont({c}::DOUBLE, {p}), 6) AS {n}" for p, n in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))
+            f"round_even(quantile_cont({c}::DOUBLE, {p}), 4) AS {n}" for p, n in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))
         )
         rows.append(
-            f"SELECT {i} AS ord, '{c}' AS feature, count({c}) AS count, round(avg({c}), 6) AS mean, "
-            f"round(stddev_samp({c}), 6) AS std, round(min({c})::DOUBLE, 6) AS min, {quartiles}, "
-            f"round(max({c})::DOUBLE, 6) AS max FROM v"
+            f"SELECT {i} AS ord, '{c}' AS feature, count({c}) AS count, round_even(avg({c}), 4) AS mean, "
+            f"round_even(stddev_samp({c}), 4) AS std, round_even(min({c})::DOUBLE, 4) AS min, {quartiles}, "
+            f"round_even(max({c})::DOUBLE, 4) AS max FROM v"
         )
     return f"WITH v AS ({view}) " + " UNION ALL ".join(rows)
 

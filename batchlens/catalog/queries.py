@@ -24,13 +24,7 @@ from batchlens.functions.jsons import row_from_json, row_to_json, stats_to_json
 from batchlens.kinds import NUMERIC
 from batchlens.operators import checks, cleaning, eda, itemsets, items, rules, trends
 from batchlens.operators.batching import BATCH, assign_batches, rows_per_batch
-from batchlens.operators.profile import (
-    distinct_counts,
-    profile,
-    top_values,
-    value_counts,
-    wide_statistics,
-)
+from batchlens.operators.profile import numeric_statistics, profile, quality_records, text_counts, top_values
 from batchlens.plans.report import dq_lines
 from batchlens.plans.update import ingest, update
 from batchlens.session import scratch_path
@@ -89,22 +83,18 @@ def dq_profile_events(spark, sf_dir):
 
 
 def dq_missing_unique(spark, sf_dir):
-    df = shipments(spark, sf_dir)
-    counts = value_counts(df, SHIPMENT_KINDS)
-    rates = wide_statistics(df, SHIPMENT_KINDS).select(
-        BATCH, "feature", ((F.col("n_rows") - F.col("n_valid")) / F.col("n_rows")).alias("missing_rate")
-    )
-    out = rates.join(distinct_counts(counts), [BATCH, "feature"], "left")
-    return _rounded(out.select(BATCH, "feature", "missing_rate", F.coalesce("unique_count", F.lit(0)).alias("unique_count")))
+    dq = quality_records(shipments(spark, sf_dir), SHIPMENT_KINDS, top_k=None)
+    return _rounded(dq.select(BATCH, "feature", "missing_rate", "unique_count"))
 
 
 def dq_numeric_stats(spark, sf_dir):
-    stats = wide_statistics(shipments(spark, sf_dir), SHIPMENT_KINDS)
+    stats = numeric_statistics(shipments(spark, sf_dir), SHIPMENT_KINDS)
     return _rounded(stats.filter(F.col("value_type") == NUMERIC).select(BATCH, "feature", "stats.*"))
 
 
 def dq_top10(spark, sf_dir):
-    return top_values(value_counts(shipments(spark, sf_dir), SHIPMENT_KINDS), 10)
+    cats = [c for c, k in SHIPMENT_KINDS.items() if k != NUMERIC]
+    return top_values(text_counts(shipments(spark, sf_dir), cats), 10)
 
 
 def dq_stats_json(spark, sf_dir):
@@ -166,16 +156,16 @@ def eda_overview_documents(spark, sf_dir):
 
 
 def eda_describe(spark, sf_dir):
-    return _rounded(eda.describe(shipments(spark, sf_dir), SHIPMENT_KINDS, digits=None))
+    return eda.describe(shipments(spark, sf_dir), SHIPMENT_KINDS)
 
 
 def eda_describe_ranged(spark, sf_dir):
     """The same with quartiles ranked over range partitions, as for tables of any size."""
-    return _rounded(eda.describe(shipments(spark, sf_dir), SHIPMENT_KINDS, digits=None, group_limit=0))
+    return eda.describe(shipments(spark, sf_dir), SHIPMENT_KINDS, group_limit=0)
 
 
 def eda_describe_documents(spark, sf_dir):
-    return _rounded(eda.describe(labelled_documents(spark, sf_dir), DOCUMENT_KINDS, digits=None))
+    return eda.describe(labelled_documents(spark, sf_dir), DOCUMENT_KINDS)
 
 
 def eda_correlation(spark, sf_dir):

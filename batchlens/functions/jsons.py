@@ -10,6 +10,9 @@ from pyspark.sql.types import StringType, StructType
 from batchlens.functions.values import column, present
 from batchlens.sources.csvs import NA_TOKENS
 
+# from_json turns a bare NaN of a STRING field into this text.
+BARE_NAN = '"NaN"'
+
 
 def row_to_json(df: DataFrame, columns: Sequence[str]) -> Column:
     """The columns as one JSON object, missing values as null."""
@@ -24,7 +27,7 @@ def row_from_json(df: DataFrame, name: str, schema: StructType, keep: Sequence[s
     for f in schema.fields:
         c = F.col("_row")[f.name]
         if isinstance(f.dataType, StringType):
-            c = F.when(~c.isin(*NA_TOKENS), c)
+            c = F.when(~c.isin(*NA_TOKENS, BARE_NAN), c)
         elif f.dataType.simpleString() in ("double", "float"):
             c = F.when(~F.isnan(c), c)
         values.append(c.alias(f.name))

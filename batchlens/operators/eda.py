@@ -8,7 +8,7 @@ from itertools import combinations
 
 from pyspark.sql import DataFrame, functions as F
 
-from batchlens.functions.values import number, present
+from batchlens.functions.values import number
 from batchlens.kinds import CATEGORICAL, NUMERIC, of_kind, resolve
 from batchlens.operators import profile as prof
 from batchlens.operators.batching import BATCH
@@ -30,26 +30,13 @@ def summary(df: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
 def overview(df: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
     """Per column: kind, missing percentage and distinct count. Columns without a kind are skipped."""
     kinds = known(df, kinds)
-    counts = prof.distinct_counts(prof.value_counts(df, kinds, ()), ())
-    rows = df.agg(
-        F.count(F.lit(1)).alias("n"), *[F.count(present(df, c)).alias(f"n{i}") for i, c in enumerate(kinds)]
-    )
-    records = [
-        F.struct(
-            F.lit(i).alias("ord"),
-            F.lit(c).alias("feature"),
-            F.lit(kind).alias("value_type"),
-            (100.0 * (F.col("n") - F.col(f"n{i}")) / F.col("n")).alias("missing_pct"),
-        )
-        for i, (c, kind) in enumerate(kinds.items())
-    ]
-    long = rows.filter(F.col("n") > 0).select(F.explode(F.array(*records)).alias("r")).select("r.*")
-    return long.join(counts, "feature", "left").select(
-        "ord",
+    position = F.array_position(F.array(*[F.lit(c) for c in kinds]), F.col("feature")) - 1
+    return prof.quality_records(df, kinds, (), top_k=None).select(
+        position.cast("int").alias("ord"),
         "feature",
         "value_type",
-        "missing_pct",
-        F.coalesce("unique_count", F.lit(0)).cast("long").alias("unique_count"),
+        (100.0 * F.col("missing_rate")).alias("missing_pct"),
+        "unique_count",
     )
 
 
@@ -176,8 +163,8 @@ def _bin(x, lo: float, hi: float, bins: int):
 
 def top_values(df: DataFrame, kinds: Mapping[str, str], k: int = 10) -> DataFrame:
     """The k most frequent values of each categorical column over all rows."""
-    cats = {c: CATEGORICAL for c in of_kind(known(df, kinds), CATEGORICAL)}
-    return prof.top_values(prof.value_counts(df, cats, ()), k, ())
+    cats = of_kind(known(df, kinds), CATEGORICAL)
+    return prof.top_values(prof.text_counts(df, cats, ()), k, ())
 
 
 def numeric_columns(df: DataFrame, kinds: Mapping[str, str]) -> Sequence[str]:

@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BooleanType, NumericType
 
 from batchlens.functions.values import number, text
-from batchlens.kinds import CATEGORICAL, NUMERIC, resolve
+from batchlens.kinds import NUMERIC, resolve
 from batchlens.operators.batching import BATCH, rows_per_batch
-from batchlens.operators.profile import value_counts
+from batchlens.operators.profile import text_counts
 from batchlens.operators.quantiles import GROUP_LIMIT, quantiles
 from batchlens.session import stage
 
@@ -174,7 +174,7 @@ def item_book(
         table = table.join(_wide_medians(medians, columns), BATCH, "left")
     cats = [c.name for c in columns if c.rule == VALUES]
     if cats:
-        counts = value_counts(df, {name: CATEGORICAL for name in cats})
+        counts = text_counts(df, cats)
         often = counts.join(sizes, BATCH).filter(F.col("cnt") / F.col("n_rows") >= min_support)
         lists = []
         for i, c in enumerate(columns):
@@ -192,7 +192,7 @@ def coded_baskets(df: DataFrame, book: ItemBook, min_support: float) -> DataFram
     """Distinct item sets of the rows with their number of rows: (batch_id, basket, w).
 
     Rows are collapsed on the map side, so what is shuffled are distinct baskets, spread by their
-    content. A basket lists item codes in rising order.
+    content. A basket lists item codes in rising order and may be empty.
     """
     joined = df.join(book.at(min_support), BATCH)
     codes = []
@@ -205,5 +205,4 @@ def coded_baskets(df: DataFrame, book: ItemBook, min_support: float) -> DataFram
         codes.append(code.alias(f"code{i}"))
     names = [f"code{i}" for i in range(len(codes))]
     grouped = joined.select(BATCH, *codes).groupBy(BATCH, *names).agg(F.count(F.lit(1)).alias("w"))
-    basket = F.array_compact(F.array(*names))
-    return grouped.select(BATCH, basket.alias("basket"), "w").filter(F.size("basket") > 0)
+    return grouped.select(BATCH, F.array_compact(F.array(*names)).alias("basket"), "w")

@@ -21,6 +21,8 @@ from batchlens.session import stage
 
 # Up to this many subset rows are counted by one aggregation instead of item by item.
 EXPAND_LIMIT = 100_000_000
+# Baskets are small but have many subsets, so tasks are cut by subsets, not by bytes.
+SUBSETS_PER_TASK = 250_000
 
 NO_ITEMS = "array<int>"
 
@@ -34,14 +36,15 @@ def mine(df: DataFrame, book: ItemBook, min_support: float, expand_limit: int =
             BATCH, F.array().cast(NO_ITEMS).alias("prefix"), F.col("basket").alias("rest"), "w"
         ),
         "baskets",
-    )
+    ).filter(F.size("rest") > 0)
     found = []
     while True:
         load = nodes.agg(F.sum(F.pow(F.lit(2.0), F.size("rest")))).first()[0]
         if load is None:
             break
         if load <= expand_limit:
-            counted = _count_subsets(nodes).join(sizes, BATCH).filter(frequent)
+            spread = nodes.repartition(1 + int(load // SUBSETS_PER_TASK))
+            counted = _count_subsets(spread).join(sizes, BATCH).filter(frequent)
             found.append(counted.select(BATCH, "ids", "cnt", "n_rows"))
             break
         alive = stage(_extensions(nodes, sizes, frequent), "extensions")

@@ -1,63 +1,88 @@
 """Data-quality profile: one record per batch and column, for all batches in one pass.
 
-Two lanes over the data. The wide lane aggregates statistics that combine on the map side. The
-long lane counts every distinct value, which spreads over the cluster by value, so neither a hot
-batch nor a hot value ends up in one task; distinct counts and top values come from those counts.
+Three lanes over the data, each reading only the columns it needs. The wide lane aggregates
+numeric statistics that combine on the map side. The numeric and the text lane count distinct
+values; they spread over the cluster by value, after a first count on the map side, so neither a
+hot batch nor a hot value ends up in one task. The text lane is shuffled once and gives distinct
+counts, valid counts and top values.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from batchlens.functions.values import number, present, text
-from batchlens.kinds import CATEGORICAL, NUMERIC, resolve
+from batchlens.functions.values import number, text
+from batchlens.kinds import CATEGORICAL, NUMERIC, of_kind, resolve
 from batchlens.operators.batching import BATCH
 
 STATS = ("min", "max", "mean", "std")
+STATS_TYPE = "struct<min:double,max:double,mean:double,std:double>"
 
 
-def value_counts(df: DataFrame, kinds: Mapping[str, str], keys: Sequence[str] = (BATCH,)) -> DataFrame:
-    """Rows per (keys, feature, value). Numeric values are in `num`, the others in `text`."""
-    if not kinds:
-        raise ValueError("no columns to count")
-    no_num, no_text = F.lit(None).cast("double"), F.lit(None).cast("string")
-    lanes: list[Column] = []
-    for name, kind in kinds.items():
-        lanes.append(F.lit(name))
-        lanes += [number(df, name), no_text] if kind == NUMERIC else [no_num, text(df, name)]
-    long = df.select(*keys, F.stack(F.lit(len(kinds)), *lanes).alias("feature", "num", "text"))
+def _value_counts(df, lane, name, keys) -> DataFrame:
+    cells = [c for pair in lane for c in pair]
+    long = df.select(*keys, F.stack(F.lit(len(lane)), *cells).alias("feature", name))
     return (
-        long.filter(F.col("num").isNotNull() | F.col("text").isNotNull())
-        .groupBy(*keys, "feature", "num", "text")
+        long.filter(F.col(name).isNotNull())
+        .groupBy(*keys, "feature", name)
         .agg(F.count(F.lit(1)).alias("cnt"))
     )
 
 
-def wide_statistics(df: DataFrame, kinds: Mapping[str, str], keys: Sequence[str] = (BATCH,)) -> DataFrame:
-    """Per (keys, feature): n_rows, n_valid and, for numeric columns with values, the statistics."""
+def number_counts(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (BATCH,)) -> DataFrame:
+    """Rows per (keys, feature, num) over numeric columns, missing values left out."""
+    return _value_counts(df, [(F.lit(c), number(df, c)) for c in columns], "num", keys)
+
+
+def text_counts(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (BATCH,)) -> DataFrame:
+    """Rows per (keys, feature, text) over categorical columns, missing values left out."""
+    return _value_counts(df, [(F.lit(c), text(df, c)) for c in columns], "text", keys)
+
+
+def distinct_counts(counts: DataFrame, keys: Sequence[str] = (BATCH,)) -> DataFrame:
+    """Exact number of distinct values, and of valid rows, per (keys, feature)."""
+    return counts.groupBy(*keys, "feature").agg(
+        F.count(F.lit(1)).alias("unique_count"), F.sum("cnt").alias("n_valid")
+    )
+
+
+def top_values(counts: DataFrame, k: int = 10, keys: Sequence[str] = (BATCH,)) -> DataFrame:
+    """The k most frequent texts of each column, equal counts in value order.
+
+    The filter on the rank makes Spark keep k rows per group in every task before the shuffle.
+    """
+    order = Window.partitionBy(*keys, "feature").orderBy(F.desc("cnt"), F.asc("text"))
+    return (
+        counts.withColumn("rank", F.row_number().over(order))
+        .filter(F.col("rank") <= k)
+        .select(*keys, "feature", "rank", F.col("text").alias("value"), "cnt")
+    )
+
+
+def numeric_statistics(
+    df: DataFrame, kinds: Mapping[str, str], keys: Sequence[str] = (BATCH,)
+) -> DataFrame:
+    """(keys, feature, value_type, n_rows, stats) for all columns; stats of numeric columns with values."""
     aggs = [F.count(F.lit(1)).alias("n_rows")]
     records = []
     for i, (name, kind) in enumerate(kinds.items()):
-        x = number(df, name) if kind == NUMERIC else present(df, name)
-        aggs.append(F.count(x).alias(f"n{i}"))
-        stats = F.lit(None).cast("struct<min:double,max:double,mean:double,std:double>")
+        stats = F.lit(None).cast(STATS_TYPE)
         if kind == NUMERIC:
+            x = number(df, name)
             parts = (F.min(x), F.max(x), F.avg(x), F.stddev_samp(x))
+            aggs += [F.count(x).alias(f"n{i}")]
             aggs += [part.alias(f"{s}{i}") for s, part in zip(STATS, parts)]
             # The spread of a single value is 0.
             std = F.when(F.col(f"n{i}") == 1, 0.0).otherwise(F.col(f"std{i}"))
-            stats = F.when(
-                F.col(f"n{i}") > 0,
-                F.struct(*[F.col(f"{s}{i}").alias(s) for s in STATS[:3]], std.alias("std")),
-            ).otherwise(stats)
+            fields = [F.col(f"{s}{i}").alias(s) for s in STATS[:3]]
+            stats = F.when(F.col(f"n{i}") > 0, F.struct(*fields, std.alias("std"))).otherwise(stats)
         records.append(
             F.struct(
                 F.lit(name).alias("feature"),
                 F.lit(kind).alias("value_type"),
                 F.col("n_rows").alias("n_rows"),
-                F.col(f"n{i}").alias("n_valid"),
                 stats.alias("stats"),
             )
         )
@@ -65,49 +90,55 @@ def wide_statistics(df: DataFrame, kinds: Mapping[str, str], keys: Sequence[str]
     return wide.select(*keys, F.explode(F.array(*records)).alias("r")).select(*keys, "r.*")
 
 
-def distinct_counts(counts: DataFrame, keys: Sequence[str] = (BATCH,)) -> DataFrame:
-    """Exact number of distinct values per (keys, feature) from value counts."""
-    return counts.groupBy(*keys, "feature").agg(
-        F.count(F.lit(1)).alias("unique_count"), F.sum("cnt").alias("n_counted")
-    )
-
-
-def top_values(counts: DataFrame, k: int = 10, keys: Sequence[str] = (BATCH,)) -> DataFrame:
-    """The k most frequent values of each categorical column, equal counts in value order."""
-    order = Window.partitionBy(*keys, "feature").orderBy(F.desc("cnt"), F.asc("text"))
-    return (
-        counts.filter(F.col("text").isNotNull())
-        .withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= k)
-        .select(*keys, "feature", "rank", F.col("text").alias("value"), "cnt")
-    )
-
-
-def profile(
+def quality_records(
     df: DataFrame,
     kinds: Mapping[str, str],
-    *,
     keys: Sequence[str] = (BATCH,),
-    unknown: str = "error",
-    top_k: int = 10,
+    top_k: int | None = 10,
 ) -> DataFrame:
-    """Quality records (keys, feature, value_type, n_rows, missing_rate, unique_count, stats, top)."""
-    kinds = resolve([c for c in df.columns if c not in keys], kinds, unknown)
+    """Quality records of columns with known kinds; `top` is left empty with top_k=None."""
     on = [*keys, "feature"]
-    counts = value_counts(df, kinds, keys)
-    out = wide_statistics(df, kinds, keys).join(distinct_counts(counts, keys), on, "left")
-    if CATEGORICAL in kinds.values():
-        ranked = F.sort_array(F.collect_list(F.struct("rank", "value", "cnt")))
-        top = top_values(counts, top_k, keys).groupBy(*on).agg(ranked.alias("ranked"))
-        out = out.join(top, on, "left")
-    else:
-        out = out.withColumn("ranked", F.lit(None).cast("array<struct<rank:int,value:string,cnt:bigint>>"))
+    nums, cats = of_kind(kinds, NUMERIC), of_kind(kinds, CATEGORICAL)
+    ranked = None
+    counted = []
+    if nums:
+        counted.append(distinct_counts(number_counts(df, nums, keys), keys))
+    if cats:
+        texts = text_counts(df, cats, keys)
+        counted.append(distinct_counts(texts, keys))
+        if top_k is not None:
+            entries = F.sort_array(F.collect_list(F.struct("rank", "value", "cnt")))
+            ranked = top_values(texts, top_k, keys).groupBy(*on).agg(entries.alias("ranked"))
+    distinct = counted[0] if len(counted) == 1 else counted[0].unionByName(counted[1])
+    out = numeric_statistics(df, kinds, keys).join(distinct, on, "left")
+    top = F.lit(None).cast("array<struct<value:string,cnt:bigint>>")
+    if ranked is not None:
+        out = out.join(ranked, on, "left")
+        top = F.transform("ranked", lambda t: F.struct(t["value"], t["cnt"]))
+    missing = F.col("n_rows") - F.coalesce("n_valid", F.lit(0))
     return out.select(
         *on,
         "value_type",
         "n_rows",
-        ((F.col("n_rows") - F.col("n_valid")) / F.col("n_rows")).alias("missing_rate"),
+        F.try_divide(missing, "n_rows").alias("missing_rate"),
         F.coalesce("unique_count", F.lit(0)).cast("long").alias("unique_count"),
         "stats",
-        F.transform("ranked", lambda t: F.struct(t["value"], t["cnt"])).alias("top"),
+        top.alias("top"),
     )
+
+
+def profile(
+    df: DataFrame,
+    kinds: Mapping[str, str],
+    *,
+    unknown: str = "error",
+    top_k: int = 10,
+) -> DataFrame:
+    """(batch_id, feature, value_type, n_rows, missing_rate, unique_count, stats, top) of every column.
+
+    A column without a kind is an error, or with unknown= is skipped or taken as numeric.
+    """
+    kinds = resolve([c for c in df.columns if c != BATCH], kinds, unknown)
+    if not kinds:
+        raise ValueError("no columns to profile")
+    return quality_records(df, kinds, (BATCH,), top_k)

@@ -7,9 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from batchlens.functions.values import number
-from batchlens.kinds import NUMERIC
 from batchlens.operators.batching import BATCH
-from batchlens.operators.profile import value_counts
+from batchlens.operators.profile import number_counts
 from batchlens.session import stage
 
 # The built-in percentile holds the distinct values of a group in one buffer; groups with more
@@ -56,9 +55,7 @@ def _by_ranges(df, columns, probs, keys) -> DataFrame:
     skew. The ranged table is written out because its partition numbers must not change.
     """
     group = [*keys, "feature"]
-    counts = value_counts(df, {c: NUMERIC for c in columns}, keys).select(
-        *group, F.col("num").alias("value"), "cnt"
-    )
+    counts = number_counts(df, columns, keys).withColumnRenamed("num", "value")
     ranged = stage(
         counts.repartitionByRange(*group, "value").withColumn("part", F.spark_partition_id()), "ranged"
     )
