@@ -116,28 +116,29 @@ def mine_rules(
     steps = list(accumulate(confidences, min))
     levels = [s for i, s in enumerate(supports) if s < min(supports[:i], default=2.0)]
     book = item_book(df, columns, levels[-1], group_limit=group_limit)
-    open_batches: list[str] | None = None
+    # One id per batch, held here because the batches still open prune the next scan.
+    everything = open_batches = [r[0] for r in book.table.select(BATCH).collect()]
     chosen = []
     for level, support in enumerate(levels):
-        part = df if open_batches is None else df.filter(F.col(BATCH).isin(open_batches))
+        part = df if open_batches == everything else df.filter(F.col(BATCH).isin(open_batches))
         coded = stage(split_sets(mine(part, book, support, expand_limit), steps[-1]), "rules")
         earlier = F.col("support") >= levels[level - 1] if level else F.lit(False)
         within = [earlier | (F.col("confidence") >= c) for c in steps]
         totals = coded.groupBy(BATCH).agg(*[F.count_if(w).alias(f"n{j}") for j, w in enumerate(within)])
-        reached = F.coalesce(*[F.when(F.col(f"n{j}") >= min_rules, j) for j in range(len(steps))])
-        if level == len(levels) - 1:
-            reached = F.coalesce(reached, F.lit(len(steps) - 1))
-        stops = stage(totals.select(BATCH, reached.alias("stop")).filter(F.col("stop").isNotNull()), "stops")
-        kept = F.coalesce(*[F.when(F.col("stop") == j, w) for j, w in enumerate(within)])
-        chosen.append(coded.join(stops, BATCH).filter(kept).drop("stop"))
-        if level < len(levels) - 1:
-            everything = book.table if open_batches is None else book.table.filter(
-                F.col(BATCH).isin(open_batches)
-            )
-            # One id per batch still open, needed here to prune the next scan.
-            open_batches = [r[0] for r in everything.join(stops, BATCH, "left_anti").select(BATCH).collect()]
-            if not open_batches:
-                break
+        last = level == len(levels) - 1
+        stops: dict[int, list[str]] = {}
+        for batch, *counts in totals.collect():
+            reached = [j for j, n in enumerate(counts) if n >= min_rules]
+            if reached or last:
+                stops.setdefault(min(reached, default=len(steps) - 1), []).append(batch)
+        for j, batches in stops.items():
+            chosen.append(coded.filter(F.col(BATCH).isin(batches) & within[j]))
+        closed = {batch for batches in stops.values() for batch in batches}
+        open_batches = [batch for batch in open_batches if batch not in closed]
+        if not open_batches:
+            break
+    if not chosen:
+        return df.sparkSession.createDataFrame([], RULE_SCHEMA)
     return with_texts(reduce(DataFrame.unionByName, chosen), book)
 
 
