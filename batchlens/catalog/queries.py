@@ -27,7 +27,7 @@ from batchlens.operators.batching import BATCH, assign_batches, rows_per_batch
 from batchlens.operators.profile import numeric_statistics, profile, quality_records, text_counts, top_values
 from batchlens.plans.report import dq_lines
 from batchlens.plans.update import ingest, update
-from batchlens.session import scratch_path
+from batchlens.session import scratch_path, stage
 from batchlens.sources.csvs import read_csvs
 from batchlens.sources.warehouse import Warehouse, pending, split_late
 from batchlens.streaming.ingest import ingest_stream
@@ -118,7 +118,7 @@ def dq_summary(spark, sf_dir):
 
 
 def report_lines(spark, sf_dir):
-    return dq_lines(profile(shipments(spark, sf_dir), SHIPMENT_KINDS))
+    return dq_lines(stage(profile(shipments(spark, sf_dir), SHIPMENT_KINDS), "dq"))
 
 
 # --- cleaning
@@ -161,7 +161,7 @@ def eda_describe(spark, sf_dir):
 
 def eda_describe_ranged(spark, sf_dir):
     """The same with quartiles ranked over range partitions, as for tables of any size."""
-    return eda.describe(shipments(spark, sf_dir), SHIPMENT_KINDS, group_limit=0)
+    return eda.describe(shipments(spark, sf_dir), SHIPMENT_KINDS, small_table=0)
 
 
 def eda_describe_documents(spark, sf_dir):
@@ -195,7 +195,7 @@ def batch_medians(spark, sf_dir):
 
 def batch_medians_ranged(spark, sf_dir):
     nums = [c for c, k in SHIPMENT_KINDS.items() if k == NUMERIC]
-    return _rounded(items.batch_medians(shipments(spark, sf_dir), nums, group_limit=0))
+    return _rounded(items.batch_medians(shipments(spark, sf_dir), nums, small_table=0))
 
 
 def row_items(spark, sf_dir):
@@ -268,7 +268,7 @@ def constraint_checks(spark, sf_dir):
     """Violations of table rules, by rule: shipment records against the ledger of orders, and keys."""
     line, order = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
     ledger = rows_per_batch(monthly_orders(spark, sf_dir))
-    dq = profile(shipments(spark, sf_dir), SHIPMENT_KINDS)
+    dq = stage(profile(shipments(spark, sf_dir), SHIPMENT_KINDS), "dq")
     stored = checks.violations(ledger, dq).groupBy("check").agg(F.sum("n").alias("n"))
     found = {
         "line key unique": checks.duplicate_keys(line, ["l_orderkey", "l_linenumber"]),

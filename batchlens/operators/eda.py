@@ -12,7 +12,7 @@ from batchlens.functions.values import number
 from batchlens.kinds import CATEGORICAL, NUMERIC, of_kind, resolve
 from batchlens.operators import profile as prof
 from batchlens.operators.batching import BATCH
-from batchlens.operators.quantiles import GROUP_LIMIT, quantiles
+from batchlens.operators.quantiles import SMALL_TABLE, quantiles
 
 DESCRIBE = ("count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
@@ -41,7 +41,7 @@ def overview(df: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
 
 
 def describe(
-    df: DataFrame, kinds: Mapping[str, str], *, digits: int | None = 4, group_limit: int = GROUP_LIMIT
+    df: DataFrame, kinds: Mapping[str, str], *, digits: int | None = 4, small_table: int = SMALL_TABLE
 ) -> DataFrame:
     """Per numeric column: count, mean, std, min, quartiles and max. The std of one value is NULL."""
     nums = of_kind(known(df, kinds), NUMERIC)
@@ -59,7 +59,7 @@ def describe(
         fields = [F.col(f"{s}{i}").alias(s) for s in ("count", "mean", "std", "min", "max")]
         records.append(F.struct(F.lit(i).alias("ord"), F.lit(c).alias("feature"), *fields))
     long = df.agg(*aggs).select(F.explode(F.array(*records)).alias("r")).select("r.*")
-    qs = quantiles(df, nums, (0.25, 0.5, 0.75), (), group_limit=group_limit)
+    qs = quantiles(df, nums, (0.25, 0.5, 0.75), (), small_table=small_table)
     wide = qs.groupBy("feature").agg(
         *[
             F.max(F.when(F.col("p") == p, F.col("value"))).alias(name)
@@ -128,21 +128,23 @@ def histogram(df: DataFrame, kinds: Mapping[str, str], *, bins: int = 30, max_co
             lo, hi = 0.0, 1.0
         elif lo == hi:
             lo, hi = lo - 0.5, hi + 0.5
-        lanes += [F.lit(name), _bin(x, lo, hi, bins)]
+        lanes += [F.lit(name), x, F.lit(lo), F.lit(hi)]
         frame.append((name, lo, hi))
-    bin_of = df.select(F.stack(F.lit(len(nums)), *lanes).alias("feature", "bin"))
-    counts = bin_of.filter(F.col("bin").isNotNull()).groupBy("feature", "bin").agg(
-        F.count(F.lit(1)).alias("cnt")
+    cells = df.select(F.stack(F.lit(len(nums)), *lanes).alias("feature", "x", "lo", "hi"))
+    counts = (
+        _with_bin(cells.filter(F.col("x").isNotNull()), bins)
+        .groupBy("feature", "bin")
+        .agg(F.count(F.lit(1)).alias("cnt"))
     )
     edge = lambda k: F.when(k == bins, F.col("hi")).otherwise(
         F.col("lo") + k * ((F.col("hi") - F.col("lo")) / bins)
     )
-    cells = (
+    frames = (
         spark.createDataFrame(frame, "feature string, lo double, hi double")
         .withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
         .select("feature", "bin", edge(F.col("bin")).alias("left"), edge(F.col("bin") + 1).alias("right"))
     )
-    return cells.join(counts, ["feature", "bin"], "left").select(
+    return frames.join(counts, ["feature", "bin"], "left").select(
         "feature",
         "bin",
         F.col("left").alias("lo"),
@@ -151,14 +153,16 @@ def histogram(df: DataFrame, kinds: Mapping[str, str], *, bins: int = 30, max_co
     )
 
 
-def _bin(x, lo: float, hi: float, bins: int):
-    """Bin number of a value; a value within rounding of an edge is settled by comparing with it."""
-    step = (hi - lo) / bins
-    # least() skips NULLs, so a missing value is ruled out first.
-    at = F.floor((x - lo) / (hi - lo) * bins)
-    guess = F.when(x.isNotNull(), F.least(at, F.lit(bins - 1))).cast("int")
-    low = F.when(x < lo + guess * step, guess - 1).otherwise(guess)
-    return F.when((low < bins - 1) & (x >= lo + (low + 1) * step), low + 1).otherwise(low)
+def _with_bin(cells: DataFrame, bins: int) -> DataFrame:
+    """Add the bin of x; a value within rounding of an edge is settled by comparing with it."""
+    x, lo, step, at = F.col("x"), F.col("lo"), F.col("step"), F.col("at")
+    return (
+        cells.withColumn("step", (F.col("hi") - lo) / bins)
+        .withColumn("at", F.floor((x - lo) / (F.col("hi") - lo) * bins).cast("int"))
+        .withColumn("at", F.least(at, F.lit(bins - 1)))
+        .withColumn("at", F.when(x < lo + at * step, at - 1).otherwise(at))
+        .withColumn("bin", F.when((at < bins - 1) & (x >= lo + (at + 1) * step), at + 1).otherwise(at))
+    )
 
 
 def top_values(df: DataFrame, kinds: Mapping[str, str], k: int = 10) -> DataFrame:

@@ -11,10 +11,12 @@ from pyspark.sql.types import BooleanType, NumericType
 from batchlens.functions.values import number, text
 from batchlens.kinds import NUMERIC, resolve
 from batchlens.operators.batching import BATCH, rows_per_batch
-from batchlens.operators.profile import text_counts
-from batchlens.operators.quantiles import GROUP_LIMIT, quantiles
+from batchlens.operators.profile import text_cells
+from batchlens.operators.quantiles import SMALL_TABLE, quantiles
 from batchlens.session import stage
 
+# Hash buckets per value that could be frequent, for the pruning count.
+BUCKETS_PER_FREQUENT_VALUE = 20
 VALUES, ABOVE_MEDIAN, EQUALS_ONE = "values", "above_median", "equals_one"
 
 
@@ -68,11 +70,11 @@ def batch_medians(
     df: DataFrame,
     columns: list[str],
     *,
-    largest: int | None = None,
-    group_limit: int = GROUP_LIMIT,
+    n_rows: int | None = None,
+    small_table: int = SMALL_TABLE,
 ) -> DataFrame:
     """Exact median per batch and column: (batch_id, feature, median)."""
-    found = quantiles(df, columns, (0.5,), largest=largest, group_limit=group_limit)
+    found = quantiles(df, columns, (0.5,), n_rows=n_rows, small_table=small_table)
     return found.select(BATCH, "feature", F.col("value").alias("median"))
 
 
@@ -97,13 +99,13 @@ def with_items(
     *,
     unknown: str = NUMERIC,
     numeric_categorical: str = "one_hot",
-    group_limit: int = GROUP_LIMIT,
+    small_table: int = SMALL_TABLE,
 ) -> DataFrame:
     """The rows plus `items`, the texts of the items that hold in the row."""
     columns = item_columns(df, kinds, exclude, unknown=unknown, numeric_categorical=numeric_categorical)
     nums = [c.name for c in columns if c.rule == ABOVE_MEDIAN]
     if nums:
-        wide = stage(_wide_medians(batch_medians(df, nums, group_limit=group_limit), columns), "medians")
+        wide = stage(_wide_medians(batch_medians(df, nums, small_table=small_table), columns), "medians")
         joined = df.join(wide, BATCH, "left")
     else:
         joined = df
@@ -157,25 +159,47 @@ class ItemBook:
         )
 
 
+def frequent_texts(
+    df: DataFrame, columns: list[str], sizes: DataFrame, min_support: float, prune: bool
+) -> DataFrame:
+    """(batch_id, feature, text, cnt, n_rows) of the values in at least min_support of a batch's rows.
+
+    With prune, values are first counted by hash bucket, and only the values of buckets that reach
+    the support are counted one by one: a value cannot be more frequent than its bucket. At most
+    1/min_support buckets per batch and column reach it, and the rare values of a column with many
+    distinct ones are never shuffled.
+    """
+    frequent = F.col("cnt") / F.col("n_rows") >= min_support
+    rows = F.count(F.lit(1)).alias("cnt")
+    cells = text_cells(df, columns)
+    if prune:
+        buckets = int(BUCKETS_PER_FREQUENT_VALUE / min_support)
+        cells = cells.withColumn("bucket", F.pmod(F.xxhash64("text"), F.lit(buckets)).cast("int"))
+        full = cells.groupBy(BATCH, "feature", "bucket").agg(rows).join(sizes, BATCH).filter(frequent)
+        cells = cells.join(
+            stage(full.select(BATCH, "feature", "bucket"), "buckets"), [BATCH, "feature", "bucket"], "left_semi"
+        )
+    return cells.groupBy(BATCH, "feature", "text").agg(rows).join(sizes, BATCH).filter(frequent)
+
+
 def item_book(
     df: DataFrame,
     columns: list[ItemColumn],
     min_support: float,
     *,
-    group_limit: int = GROUP_LIMIT,
+    small_table: int = SMALL_TABLE,
 ) -> ItemBook:
     """Row counts, medians and frequent values of all batches in df."""
     sizes = stage(rows_per_batch(df).filter(F.col(BATCH).isNotNull()), "sizes")
     table = sizes
+    n_rows = sizes.agg(F.sum("n_rows")).first()[0] or 0
     nums = [c.name for c in columns if c.rule == ABOVE_MEDIAN]
     if nums:
-        largest = sizes.agg(F.max("n_rows")).first()[0] or 0
-        medians = batch_medians(df, nums, largest=largest, group_limit=group_limit)
+        medians = batch_medians(df, nums, n_rows=n_rows, small_table=small_table)
         table = table.join(_wide_medians(medians, columns), BATCH, "left")
     cats = [c.name for c in columns if c.rule == VALUES]
     if cats:
-        counts = text_counts(df, cats)
-        often = counts.join(sizes, BATCH).filter(F.col("cnt") / F.col("n_rows") >= min_support)
+        often = frequent_texts(df, cats, sizes, min_support, prune=n_rows > small_table)
         lists = []
         for i, c in enumerate(columns):
             if c.rule == VALUES:

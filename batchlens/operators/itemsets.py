@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 from batchlens.kinds import NUMERIC
 from batchlens.operators.batching import BATCH
 from batchlens.operators.items import ItemBook, coded_baskets, item_book, item_columns
-from batchlens.operators.quantiles import GROUP_LIMIT
+from batchlens.operators.quantiles import SMALL_TABLE
 from batchlens.session import stage
 
 # Up to this many subset rows are counted by one aggregation instead of item by item.
@@ -119,12 +119,12 @@ def frequent_itemsets(
     *,
     unknown: str = NUMERIC,
     numeric_categorical: str = "one_hot",
-    group_limit: int = GROUP_LIMIT,
+    small_table: int = SMALL_TABLE,
     expand_limit: int = EXPAND_LIMIT,
 ) -> DataFrame:
     """Frequent item sets with their item texts: (batch_id, items, cnt, n_rows, support)."""
     columns = item_columns(df, kinds, exclude, unknown=unknown, numeric_categorical=numeric_categorical)
-    book = item_book(df, columns, min_support, group_limit=group_limit)
+    book = item_book(df, columns, min_support, small_table=small_table)
     sets = mine(df, book, min_support, expand_limit)
     return sets.join(book.labels(), BATCH).select(
         BATCH,

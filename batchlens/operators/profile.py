@@ -21,24 +21,27 @@ STATS = ("min", "max", "mean", "std")
 STATS_TYPE = "struct<min:double,max:double,mean:double,std:double>"
 
 
-def _value_counts(df, lane, name, keys) -> DataFrame:
-    cells = [c for pair in lane for c in pair]
-    long = df.select(*keys, F.stack(F.lit(len(lane)), *cells).alias("feature", name))
-    return (
-        long.filter(F.col(name).isNotNull())
-        .groupBy(*keys, "feature", name)
-        .agg(F.count(F.lit(1)).alias("cnt"))
-    )
+def _cells(df, lane, name, keys) -> DataFrame:
+    parts = [c for pair in lane for c in pair]
+    long = df.select(*keys, F.stack(F.lit(len(lane)), *parts).alias("feature", name))
+    return long.filter(F.col(name).isNotNull())
+
+
+def text_cells(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (BATCH,)) -> DataFrame:
+    """(keys, feature, text) of every cell of categorical columns, missing values left out."""
+    return _cells(df, [(F.lit(c), text(df, c)) for c in columns], "text", keys)
 
 
 def number_counts(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (BATCH,)) -> DataFrame:
     """Rows per (keys, feature, num) over numeric columns, missing values left out."""
-    return _value_counts(df, [(F.lit(c), number(df, c)) for c in columns], "num", keys)
+    cells = _cells(df, [(F.lit(c), number(df, c)) for c in columns], "num", keys)
+    return cells.groupBy(*keys, "feature", "num").agg(F.count(F.lit(1)).alias("cnt"))
 
 
 def text_counts(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (BATCH,)) -> DataFrame:
     """Rows per (keys, feature, text) over categorical columns, missing values left out."""
-    return _value_counts(df, [(F.lit(c), text(df, c)) for c in columns], "text", keys)
+    cells = text_cells(df, columns, keys)
+    return cells.groupBy(*keys, "feature", "text").agg(F.count(F.lit(1)).alias("cnt"))
 
 
 def distinct_counts(counts: DataFrame, keys: Sequence[str] = (BATCH,)) -> DataFrame:

@@ -12,7 +12,7 @@ from batchlens.kinds import NUMERIC
 from batchlens.operators.batching import BATCH
 from batchlens.operators.items import ItemBook, item_book, item_columns
 from batchlens.operators.itemsets import EXPAND_LIMIT, mine
-from batchlens.operators.quantiles import GROUP_LIMIT
+from batchlens.operators.quantiles import SMALL_TABLE
 from batchlens.session import stage
 
 # The thresholds tried in turn, and the number of rules that ends the search.
@@ -80,12 +80,12 @@ def rules_at(
     *,
     unknown: str = NUMERIC,
     numeric_categorical: str = "one_hot",
-    group_limit: int = GROUP_LIMIT,
+    small_table: int = SMALL_TABLE,
     expand_limit: int = EXPAND_LIMIT,
 ) -> DataFrame:
     """All rules of every batch at one pair of thresholds."""
     columns = item_columns(df, kinds, exclude, unknown=unknown, numeric_categorical=numeric_categorical)
-    book = item_book(df, columns, min_support, group_limit=group_limit)
+    book = item_book(df, columns, min_support, small_table=small_table)
     sets = mine(df, book, min_support, expand_limit)
     return with_texts(split_sets(sets, min_confidence), book)
 
@@ -100,7 +100,7 @@ def mine_rules(
     confidences: Sequence[float] = CONFIDENCES,
     unknown: str = NUMERIC,
     numeric_categorical: str = "one_hot",
-    group_limit: int = GROUP_LIMIT,
+    small_table: int = SMALL_TABLE,
     expand_limit: int = EXPAND_LIMIT,
 ) -> DataFrame:
     """Rules of every batch, relaxing first confidence, then support until it has min_rules.
@@ -115,7 +115,7 @@ def mine_rules(
         return df.sparkSession.createDataFrame([], RULE_SCHEMA)
     steps = list(accumulate(confidences, min))
     levels = [s for i, s in enumerate(supports) if s < min(supports[:i], default=2.0)]
-    book = item_book(df, columns, levels[-1], group_limit=group_limit)
+    book = item_book(df, columns, levels[-1], small_table=small_table)
     # One id per batch, held here because the batches still open prune the next scan.
     everything = open_batches = [r[0] for r in book.table.select(BATCH).collect()]
     chosen = []

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from batchlens.kinds import CATEGORICAL, NUMERIC
 from batchlens.operators import eda
@@ -34,7 +35,7 @@ def test_correlation_needs_two_columns(small):
 
 @pytest.mark.parametrize("limit", [10**6, 0])
 def test_describe(small, limit):
-    r = eda.describe(small, {"a": NUMERIC}, group_limit=limit).first()
+    r = eda.describe(small, {"a": NUMERIC}, small_table=limit).first()
     assert [r[s] for s in eda.DESCRIBE] == [4, 2.75, 1.7078, 1.0, 1.75, 2.5, 3.5, 5.0]
 
 
@@ -68,19 +69,36 @@ def test_histogram_takes_first_columns(small):
 
 
 @pytest.mark.parametrize("limit", [10**6, 0])
-def test_quantiles_with_a_hot_value(spark, limit):
+@pytest.mark.parametrize("hot", [3.25, 0.01])
+def test_quantiles_with_a_hot_value(spark, limit, hot):
     rng = np.random.default_rng(7)
-    values = np.where(rng.random(3000) < 0.4, 3.25, np.round(rng.normal(size=3000), 3))
-    groups = np.where(rng.random(3000) < 0.7, "big", "small")
+    values = np.where(rng.random(9000) < 0.4, hot, np.round(rng.normal(size=9000), 4))
+    groups = np.where(rng.random(9000) < 0.9, "big", "small")
     rows = [(str(g), float(v)) for g, v in zip(groups, values)]
     df = spark.createDataFrame(rows, "batch_id string, x double")
     probs = (0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0)
-    found = {(r.batch_id, r.p): r.value for r in quantiles(df, ["x"], probs, group_limit=limit).collect()}
+    found = {(r.batch_id, r.p): r.value for r in quantiles(df, ["x"], probs, small_table=limit).collect()}
     assert len(found) == 14
     for (g, p), value in found.items():
         assert value == pytest.approx(np.quantile(values[groups == g], p), abs=1e-12)
 
 
+def test_missed_intervals_are_made_good(spark, monkeypatch):
+    """Intervals that miss their quantile show, and the values are then counted whole."""
+    from batchlens.operators import quantiles as module
+
+    monkeypatch.setattr(module, "SLACK", -0.2)
+    df = spark.range(5001).select(F.lit("b").alias("batch_id"), F.col("id").cast("double").alias("x"))
+    assert [r.value for r in quantiles(df, ["x"], (0.5,), small_table=0).collect()] == [2500.0]
+
+
+def test_few_values_are_shuffled_for_a_quantile(spark):
+    from batchlens.operators.quantiles import _count_zones
+
+    df = spark.range(100000).select(F.lit("b").alias("batch_id"), F.rand(3).alias("x0"))
+    assert _count_zones(df, ["x"], (0.5,), ("batch_id",)).count() < 2000
+
+
 def test_top_values_and_summary(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", None), (None, 1.0)], "c string, x double")
     kinds = {"c": CATEGORICAL, "x": NUMERIC}

@@ -158,6 +158,16 @@ def test_itemsets_match_fp_growth(spark, limit):
             assert len(items) == 1 or counts[items[:i] + items[i + 1 :]] >= cnt
 
 
+def test_large_tables_give_the_same_rules(spark):
+    from batchlens.catalog.subjects import SHIPMENT_KINDS, shipments
+
+    df = shipments(spark, "/root/testdata/sf0.001", "l_orderkey")
+    kinds = {"l_orderkey": CATEGORICAL, **SHIPMENT_KINDS}
+    small = mine_rules(df, kinds, min_rules=500)
+    large = mine_rules(df, kinds, min_rules=500, small_table=0)
+    assert small.exceptAll(large).isEmpty() and large.exceptAll(small).isEmpty()
+
+
 def test_rule_invariants(spark):
     df, kinds = one_hot(spark, LADDER)
     for r in rules_at(df, kinds, 0.01, 0.1).collect():
