@@ -19,15 +19,6 @@ def present(df: DataFrame, name: str) -> Column:
     return c
 
 
-def missing(df: DataFrame, name: str) -> Column:
-    return present(df, name).isNull()
-
-
-def without_nan(df: DataFrame) -> DataFrame:
-    """All columns, NaN turned into NULL."""
-    return df.select(*[present(df, name).alias(name) for name in df.columns])
-
-
 def number(df: DataFrame, name: str, on_bad: str = "error") -> Column:
     """The column as DOUBLE. Text that is no number raises, or becomes NULL with on_bad='null'."""
     if isinstance(df.schema[name].dataType, DoubleType):

@@ -34,7 +34,7 @@ def backfill_dq(warehouse: Warehouse, kinds: Mapping[str, str], *, unknown: str
     """Profile all batches that lack quality records, together; returns their number."""
     todo = warehouse.pending_dq()
     if todo:
-        warehouse.save_dq(profile(warehouse.raw(todo), kinds, unknown=unknown))
+        warehouse.save_dq(profile(warehouse.raw(todo), kinds, unknown=unknown), len(todo))
     return len(todo)
 
 

@@ -4,7 +4,7 @@ raw/ingest_id=/batch_id=   rows, written once per batch
 commits/                   one row per ingest and batch, appended after the rows are in place
 dq/batch_id=               quality records, replaced per batch
 rules/batch_id=            association rules, replaced per batch
-mined/batch_id=            which state of a batch was mined, and how many rules it gave
+mined/                     one row per mining and batch: the state mined and how many rules it gave
 
 A batch exists when it has a commit. Rows of an ingest that died before its commit are never read.
 """
@@ -33,7 +33,7 @@ STORED_RULE_SCHEMA = (
     "lift double, run_id string, created_at timestamp, batch_id string"
 )
 RULE_COLUMNS = (BATCH, "antecedents", "consequents", "support", "confidence", "lift")
-MINED_SCHEMA = "n_rows bigint, n_rules bigint, run_id string, created_at timestamp, batch_id string"
+MINED_SCHEMA = "batch_id string, n_rows bigint, n_rules bigint, run_id string, created_at timestamp"
 
 
 @dataclass(frozen=True)
@@ -160,14 +160,16 @@ class Warehouse:
 
     # --- results
 
-    def _replace(self, df: DataFrame, table: str) -> None:
-        """Replace the rows of the batches in df; other batches stay."""
-        df.repartition(BATCH).write.partitionBy(BATCH).mode("overwrite").option(
+    def _replace(self, df: DataFrame, table: str, batches: int) -> None:
+        """Replace the rows of the batches in df; other batches stay. One file per batch."""
+        tasks = max(1, min(batches, self.spark.sparkContext.defaultParallelism))
+        df.repartition(tasks, BATCH).write.partitionBy(BATCH).mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
         ).parquet(self._path(table))
 
-    def save_dq(self, dq: DataFrame) -> None:
-        self._replace(dq, "dq")
+    def save_dq(self, dq: DataFrame, batches: int = 1) -> None:
+        """Replace the quality records of the batches in dq; `batches` is their number, if known."""
+        self._replace(dq, "dq", batches)
 
     def dq(self) -> DataFrame:
         return self._read("dq", DQ_SCHEMA).select(
@@ -181,7 +183,7 @@ class Warehouse:
         """Replace the rules of the given batches, also of those that now have none."""
         run = uuid.uuid4().hex
         tagged = rules.withColumn("run_id", F.lit(run)).withColumn("created_at", F.current_timestamp())
-        self._replace(tagged, "rules")
+        self._replace(tagged, "rules", len(batch_ids))
         counts = (
             self._all_rules()
             .filter(F.col(BATCH).isin(list(batch_ids)) & (F.col("run_id") == run))
@@ -190,19 +192,21 @@ class Warehouse:
         )
         mined = self.ledger().filter(F.col(BATCH).isin(list(batch_ids)))
         marks = mined.join(counts, BATCH, "left").select(
+            BATCH,
             "n_rows",
             F.coalesce("n_rules", F.lit(0)).cast("long").alias("n_rules"),
             F.lit(run).alias("run_id"),
             F.current_timestamp().alias("created_at"),
-            BATCH,
         )
-        self._replace(marks, "mined")
+        marks.coalesce(1).write.mode("append").parquet(self._path("mined"))
 
     def _all_rules(self) -> DataFrame:
         return self._read("rules", STORED_RULE_SCHEMA)
 
     def mined(self) -> DataFrame:
-        return self._read("mined", MINED_SCHEMA)
+        """Latest completed mining of each batch."""
+        latest = F.max_by(F.struct("n_rows", "n_rules", "run_id"), "created_at").alias("m")
+        return self._read("mined", MINED_SCHEMA).groupBy(BATCH).agg(latest).select(BATCH, "m.*")
 
     def rules(self) -> DataFrame:
         """Rules of the latest completed mining of each batch."""

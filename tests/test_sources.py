@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql.types import DoubleType, StringType, StructType
 
 from batchlens.functions.dates import parse_timestamp
-from batchlens.functions.jsons import row_from_json, row_to_json
+from batchlens.functions.jsons import list_to_json, row_from_json, row_to_json
 from batchlens.kinds import NUMERIC
 from batchlens.operators.batching import BATCH, assign_batches, rows_per_batch, split_batches
 from batchlens.sources.csvs import read_csvs
@@ -76,6 +76,12 @@ def test_csv_folder_without_files(spark, tmp_path):
         read_csvs(spark, str(tmp_path / "absent"))
 
 
+def test_list_as_json(spark):
+    from pyspark.sql import functions as F
+
+    assert spark.range(1).select(list_to_json(F.array(F.lit("a=1"), F.lit("b=2")))).first()[0] == '["a=1","b=2"]'
+
+
 def test_json_roundtrip_of_missing_values(spark):
     schema = StructType().add("x", DoubleType()).add("t", StringType())
     df = spark.createDataFrame([(float("nan"), "NaN"), (1.5, "u")], schema)
