@@ -54,7 +54,7 @@ def _profile(view: str, kinds: Mapping[str, str]) -> str:
         _dq(view, kinds)
         + ", tops AS (SELECT batch_id, feature, string_agg(value || ':' || cnt, ';' ORDER BY cnt DESC, value) AS top "
         "FROM ranked WHERE rank <= 10 GROUP BY batch_id, feature) "
-        "SELECT batch_id, feature, value_type, n_rows, round(missing_rate, 6) AS missing_rate, unique_count, "
+        "SELECT batch_id, feature, value_type, n_rows, missing_rate, unique_count, "
         "round(min, 6) AS min, round(max, 6) AS max, round(mean, 6) AS mean, round(std, 6) AS std, top "
         "FROM dq LEFT JOIN tops USING (batch_id, feature)"
     )
@@ -63,7 +63,7 @@ def _profile(view: str, kinds: Mapping[str, str]) -> str:
 def _eda_overview(view: str, kinds: Mapping[str, str]) -> str:
     rows = [
         f"SELECT {i} AS ord, '{c}' AS feature, '{k}' AS value_type, "
-        f"round(100.0 * (count(*) - count({c})) / count(*), 6) AS missing_pct, "
+        f"100.0::DOUBLE * ((count(*) - count({c})) / count(*)) AS missing_pct, "
         f"count(DISTINCT {c}) AS unique_count FROM v"
         for i, (c, k) in enumerate(kinds.items())
     ]
@@ -170,7 +170,7 @@ rules AS (SELECT s.batch_id, s.a, s.c, s.support, s.support / l.support AS confi
 
 
 RULE_COLUMNS = """batch_id, array_to_string(a, ',') AS antecedents, array_to_string(c, ',') AS consequents,
-  round(support, 6) AS support, round(confidence, 6) AS confidence, round(lift, 6) AS lift"""
+  support, confidence, lift"""
 
 
 def _ladder(view: str, kinds: Mapping[str, str], min_rules: int) -> str:
@@ -302,7 +302,7 @@ ORACLES: dict[str, str] = {
     "dq_profile": _profile(SHIPMENTS, SHIPMENT_KINDS),
     "dq_profile_orders": _profile(ORDERS, ORDER_KINDS),
     "dq_profile_events": _profile(EVENTS, EVENT_KINDS),
-    "dq_missing_unique": _DQ + " SELECT batch_id, feature, round(missing_rate, 6) AS missing_rate, unique_count FROM dq",
+    "dq_missing_unique": _DQ + " SELECT batch_id, feature, missing_rate, unique_count FROM dq",
     "dq_numeric_stats": _DQ
     + " SELECT batch_id, feature, round(min, 6) AS min, round(max, 6) AS max, round(mean, 6) AS mean, "
     "round(std, 6) AS std FROM dq WHERE value_type = 'numeric'",
@@ -311,7 +311,7 @@ ORACLES: dict[str, str] = {
     + """ SELECT batch_id, feature, '{' || string_agg('"' || value || '":' || cnt, ',' ORDER BY rank) || '}' AS stats_json
   FROM ranked WHERE rank <= 10 GROUP BY batch_id, feature""",
     "dq_by_batch": _DQ + " " + _rounded(BY_BATCH, _RATES),
-    "dq_by_feature": _DQ + " " + _rounded(BY_FEATURE, [*_RATES, "min_missing_rate", "max_missing_rate"]),
+    "dq_by_feature": _DQ + " " + _rounded(BY_FEATURE, _RATES),
     "dq_summary": _DQ + " " + SUMMARY,
     "report_lines": _report_lines(SHIPMENTS, SHIPMENT_KINDS),
     "clean_verdicts": _clean(SHIPMENTS, SHIPMENT_KINDS) + " SELECT * FROM verdicts",
@@ -331,7 +331,7 @@ ORACLES: dict[str, str] = {
     "row_items": _baskets(SHIPMENTS, SHIPMENT_KINDS, "l_orderkey, l_partkey, l_suppkey, l_linenumber,")
     + " SELECT * REPLACE (array_to_string(items, ',') AS items) FROM rows_items",
     "frequent_itemsets": _sets(SHIPMENTS, SHIPMENT_KINDS, 0.05)
-    + " SELECT batch_id, array_to_string(items, ',') AS items, cnt, round(support, 6) AS support FROM sets",
+    + " SELECT batch_id, array_to_string(items, ',') AS items, cnt, support FROM sets",
     "rules_fixed": _rules(SHIPMENTS, SHIPMENT_KINDS, 0.05, 0.3) + f" SELECT {RULE_COLUMNS} FROM rules",
     "rules_ladder": _ladder(SHIPMENTS, SHIPMENT_KINDS, 500),
     "rules_orders": _ladder(ORDERS, MINED_ORDERS, MIN_RULES),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -11,25 +12,44 @@ from batchlens.functions.values import column
 
 # The accepted date formats in the order they are tried, month before day.
 FORMATS = (
-    "yyyy-MM-dd",
-    "yyyy-MM-dd HH:mm:ss",
-    "MM/dd/yyyy",
-    "MM/dd/yyyy HH:mm:ss",
-    "MM/dd/yy",
-    "dd/MM/yyyy",
-    "dd/MM/yy",
-    "dd-MMM-yy",
-    "dd-MMM-yyyy",
-    "dd MMM yyyy",
-    "yyyy/MM/dd",
+    "M/d/yyyy",
+    "M/d/yyyy H:mm:ss",
+    "M/d/yy",
+    "d/M/yyyy",
+    "d/M/yyyy H:mm:ss",
+    "d/M/yy",
+    "d-MMM-yy",
+    "d-MMM-yyyy",
+    "d MMM yyyy",
+    "yyyy/M/d",
     "yyyyMMdd",
 )
+# What the parts of a format look like in a text.
+SHAPES = (
+    ("yyyy", r"\d{4}"),
+    ("yy", r"\d{2}"),
+    ("MMM", r"[A-Za-z]{3,}"),
+    ("MM", r"\d{2}"),
+    ("M", r"\d{1,2}"),
+    ("dd", r"\d{2}"),
+    ("d", r"\d{1,2}"),
+    ("H", r"\d{1,2}"),
+    ("mm", r"\d{2}"),
+    ("ss", r"\d{2}"),
+)
 # Fixed value: two-digit years from here on belong to the 1900s.
 PIVOT = 69
 
 
+def _shape(fmt: str) -> str:
+    """Regular expression of the texts a format may fit. A failed parse costs far more than a mismatch."""
+    looks = dict(SHAPES)
+    parts = re.split("(" + "|".join(looks) + ")", fmt)
+    return "^" + "".join(looks.get(part, part) for part in parts) + "$"
+
+
 def _attempt(c: Column, fmt: str, pivot: int) -> Column:
-    ts = F.try_to_timestamp(c, F.lit(fmt))
+    ts = F.when(c.rlike(_shape(fmt)), F.try_to_timestamp(c, F.lit(fmt)))
     if "yy" in fmt and "yyyy" not in fmt:
         # Spark reads every two-digit year as 20yy.
         ts = F.when(F.year(ts) >= 2000 + pivot, ts - F.expr("INTERVAL '100' YEAR")).otherwise(ts)

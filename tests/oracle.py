@@ -19,7 +19,7 @@ def connect(sf_dir):
 
 def _cell(value):
     if isinstance(value, float):
-        return None if math.isnan(value) else float(f"{value:.6f}") + 0.0
+        return None if math.isnan(value) else float(f"{value:.12g}") + 0.0
     return value
 
 

@@ -23,6 +23,11 @@ def test_mixed_dates(spark):
     "text, expected",
     [
         ("01/02/2014", "2014-01-02 00:00:00"),
+        ("1/2/2014", "2014-01-02 00:00:00"),
+        ("1/2/2014 3:04:05", "2014-01-02 03:04:05"),
+        ("2014-1-2", "2014-01-02 00:00:00"),
+        ("2014/1/2", "2014-01-02 00:00:00"),
+        (" 7-Jul-2014 ", "2014-07-07 00:00:00"),
         ("13/02/2014", "2014-02-13 00:00:00"),
         ("2014-01-02 03:04:05", "2014-01-02 03:04:05"),
         ("2014-01-02T03:04:05", "2014-01-02 03:04:05"),
