@@ -316,6 +316,7 @@ ORACLES: dict[str, str] = {
     "report_lines": _report_lines(SHIPMENTS, SHIPMENT_KINDS),
     "clean_verdicts": _clean(SHIPMENTS, SHIPMENT_KINDS) + " SELECT * FROM verdicts",
     "clean_long": _clean_long(SHIPMENTS, SHIPMENT_KINDS),
+    "clean_batch_orders": "SELECT o_custkey, o_orderstatus, o_orderpriority FROM orders",
     "eda_summary": f"SELECT count(*) AS n_rows, {len(SHIPMENT_KINDS)} AS n_columns FROM ({SHIPMENTS})",
     "eda_overview": _eda_overview(SHIPMENTS, SHIPMENT_KINDS),
     "eda_overview_documents": _eda_overview(DOCUMENTS, DOCUMENT_KINDS),

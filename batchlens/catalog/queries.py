@@ -21,7 +21,7 @@ from batchlens.catalog.subjects import (
 )
 from batchlens.functions.dates import month_key, parse_timestamp
 from batchlens.functions.jsons import row_from_json, row_to_json, stats_to_json
-from batchlens.kinds import NUMERIC
+from batchlens.kinds import CATEGORICAL, NUMERIC
 from batchlens.operators import checks, cleaning, eda, itemsets, items, rules, trends
 from batchlens.operators.batching import BATCH, assign_batches, rows_per_batch
 from batchlens.operators.profile import numeric_statistics, profile, quality_records, text_counts, top_values
@@ -146,6 +146,17 @@ def clean_long(spark, sf_dir):
     )
 
 
+def clean_batch_orders(spark, sf_dir):
+    """All orders as one batch, without the columns that are nearly unique or mostly missing."""
+    orders = table(spark, sf_dir, "orders")
+    closed = F.when(F.col("o_orderstatus") == "F", F.col("o_orderpriority")).alias("closed_priority")
+    df = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority", closed)
+    kinds = {c: NUMERIC if t in ("bigint", "double") else CATEGORICAL for c, t in df.dtypes}
+    dq = profile(df.withColumn(BATCH, F.lit("all")), kinds)
+    found = cleaning.verdicts(dq, max_missing_rate=0.5, min_unique_ratio=None, max_unique_ratio=0.9)
+    return cleaning.clean_batch(df, found)
+
+
 # --- exploratory tables
 
 
@@ -388,6 +399,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         report_lines,
         clean_verdicts,
         clean_long,
+        clean_batch_orders,
         eda_summary,
         eda_overview,
         eda_overview_documents,

@@ -75,7 +75,10 @@ def _count_subsets(nodes: DataFrame) -> DataFrame:
 
 
 def _extensions(nodes: DataFrame, sizes: DataFrame, frequent) -> DataFrame:
-    """Per prefix the items that extend it to a frequent set, in rising order with their counts."""
+    """Per prefix the items that extend it to a frequent set, in rising order with their counts.
+
+    A list holds frequent items of one batch, of which there are at most columns / min_support.
+    """
     counted = (
         nodes.select(BATCH, "prefix", "w", F.explode("rest").alias("item"))
         .groupBy(BATCH, "prefix", "item")
