@@ -348,6 +348,7 @@ ORACLES: dict[str, str] = {
   UNION ALL SELECT NULL, c_custkey::DOUBLE, NULL, nullif(c_mktsegment, 'BUILDING'), c_acctbal FROM customer""",
     "time_parse": """SELECT CASE WHEN o_orderstatus <> 'P' THEN strftime(o_orderdate, '%Y-%m') END AS batch_id,
   count(*) AS n_rows FROM orders GROUP BY ALL""",
+    "seed_from_csv": f"SELECT batch_id, count(*) AS n_rows FROM ({ORDERS}) GROUP BY batch_id ORDER BY batch_id",
     "latest_batch": f"SELECT {', '.join(SHIPMENT_KINDS)} FROM ({SHIPMENTS}) "
     f"WHERE batch_id = (SELECT max(batch_id) FROM ({SHIPMENTS}))",
     "update_run_dq": _profile(SHIPMENTS, UPDATE_KINDS),

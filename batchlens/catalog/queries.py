@@ -26,7 +26,7 @@ from batchlens.operators import checks, cleaning, eda, itemsets, items, rules, t
 from batchlens.operators.batching import BATCH, assign_batches, rows_per_batch
 from batchlens.operators.profile import numeric_statistics, profile, quality_records, text_counts, top_values
 from batchlens.plans.report import dq_lines
-from batchlens.plans.update import ingest, update
+from batchlens.plans.update import ingest, seed, update
 from batchlens.session import scratch_path, stage
 from batchlens.sources.csvs import read_csvs
 from batchlens.sources.warehouse import Warehouse, pending, split_late
@@ -344,6 +344,16 @@ def latest_batch(spark, sf_dir):
     return warehouse.load_batch(last).select(*SHIPMENT_KINDS)
 
 
+def seed_from_csv(spark, sf_dir):
+    """Orders written as a CSV folder with text dates, then read, typed and stored; the resulting ledger."""
+    path = scratch_path(spark, "csv")
+    day = F.upper(F.date_format("o_orderdate", "dd-MMM-yy")).alias("o_orderdate")
+    table(spark, sf_dir, "orders").select(day, *ORDER_KINDS).write.option("header", True).csv(path)
+    warehouse = _warehouse(spark)
+    seed(warehouse, path, ORDER_KINDS, "o_orderdate")
+    return warehouse.list_batches().select(BATCH, "n_rows")
+
+
 def stream_ingest(spark, sf_dir):
     """Line items as a file stream, stored month by month; the resulting ledger."""
     source = table(spark, sf_dir, "lineitem")
@@ -427,6 +437,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         time_parse,
         undated_rows,
         latest_batch,
+        seed_from_csv,
         stream_ingest,
         update_run_dq,
         update_run_rules,

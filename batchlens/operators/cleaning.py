@@ -13,6 +13,9 @@ from batchlens.session import stage
 
 KEEP = "keep"
 
+# The usual thresholds, for verdicts(dq, **THRESHOLDS).
+THRESHOLDS = {"max_missing_rate": 0.5, "min_unique_ratio": 0.10, "max_unique_ratio": 0.90}
+
 
 def verdicts(
     dq: DataFrame,

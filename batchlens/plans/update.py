@@ -64,15 +64,18 @@ def update(
     late: str = "drop",
     unknown: str = "error",
     retry_empty: bool = True,
+    **mining,
 ) -> Updated:
     """Bring the warehouse up to date with a CSV folder or a DataFrame.
 
     Time and target columns are profiled but not mined. A run that died is completed by the next
-    one, because every step takes the batches that still lack its result.
+    one, because every step takes the batches that still lack its result. Further arguments go to
+    the mining.
     """
     df = read_csvs(warehouse.spark, source, kinds) if isinstance(source, str) else source
     saved = ingest(warehouse, df, time_column, late=late)
     profiled = backfill_dq(warehouse, kinds, unknown=unknown)
     exclude = [time_column] if target is None else [time_column, target]
-    mined = backfill_rules(warehouse, kinds, exclude, retry_empty=retry_empty, min_rules=min_rules)
+    mining["min_rules"] = min_rules
+    mined = backfill_rules(warehouse, kinds, exclude, retry_empty=retry_empty, **mining)
     return Updated(saved, profiled, mined)

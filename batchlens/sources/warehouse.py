@@ -21,6 +21,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from batchlens.functions.values import column
 from batchlens.operators.batching import BATCH, rows_per_batch
+from batchlens.session import stage
 
 COMMIT_SCHEMA = "batch_id string, ingest_id string, n_rows bigint, fields string, created_at timestamp"
 DQ_SCHEMA = (
@@ -51,8 +52,11 @@ def pending(ledger: DataFrame, results: DataFrame) -> DataFrame:
 
 
 def split_late(df: DataFrame, ledger: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows of new batches, and rows of batches the ledger already holds."""
-    known = ledger.select(BATCH)
+    """Rows of new batches, and rows of batches the ledger already holds.
+
+    The batch ids, one per month, are written first, so the rows are not shuffled for the joins.
+    """
+    known = stage(ledger.select(BATCH), "known")
     return df.join(known, BATCH, "left_anti"), df.join(known, BATCH, "left_semi")
 
 

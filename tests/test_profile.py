@@ -6,7 +6,7 @@ from batchlens.functions.jsons import stats_to_json
 from batchlens.kinds import CATEGORICAL, INSURANCE_KINDS, NUMERIC, kind_of, resolve
 from batchlens.operators import eda, trends
 from batchlens.operators.batching import BATCH
-from batchlens.operators.cleaning import clean_batch, clean_long, verdicts
+from batchlens.operators.cleaning import THRESHOLDS, clean_batch, clean_long, verdicts
 from batchlens.operators.profile import profile
 
 NAN = float("nan")
@@ -106,7 +106,7 @@ def test_cleaning_boundaries(spark):
         [("2024-01", f, m, u, 100) for f, m, u in rows],
         "batch_id string, feature string, missing_rate double, unique_count bigint, n_rows bigint",
     )
-    found = verdicts(dq, max_missing_rate=0.5, min_unique_ratio=0.10, max_unique_ratio=0.90)
+    found = verdicts(dq, **THRESHOLDS)
     assert {r.feature: r.verdict for r in found.collect()} == {
         "a": "keep",
         "b": "drop_missing",
