@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BooleanType, NumericType
 
-from batchlens.functions.values import number, text
+from batchlens.functions.values import column, number, text
 from batchlens.kinds import NUMERIC, resolve
 from batchlens.operators.batching import BATCH, rows_per_batch
 from batchlens.operators.profile import text_cells
@@ -87,9 +87,17 @@ def _wide_medians(medians: DataFrame, columns: list[ItemColumn]) -> DataFrame:
     return medians.groupBy(BATCH).agg(*picks)
 
 
-def _holds(df: DataFrame, i: int, c: ItemColumn):
+def _holds(c: ItemColumn, value, median: str):
     """Condition for the single item of a median or equals-one column; NULL for a missing value."""
-    return number(df, c.name) > F.col(f"median{i}") if c.rule == ABOVE_MEDIAN else number(df, c.name) == 1
+    return value > F.col(median) if c.rule == ABOVE_MEDIAN else value == 1
+
+
+def _inputs(df: DataFrame, columns: list[ItemColumn]):
+    """Values of the item columns under names of their own, in0, in1 and so on."""
+    return [
+        (text(df, c.name) if c.rule == VALUES else number(df, c.name)).alias(f"in{i}")
+        for i, c in enumerate(columns)
+    ]
 
 
 def with_items(
@@ -104,16 +112,20 @@ def with_items(
     """The rows plus `items`, the texts of the items that hold in the row."""
     columns = item_columns(df, kinds, exclude, unknown=unknown, numeric_categorical=numeric_categorical)
     nums = [c.name for c in columns if c.rule == ABOVE_MEDIAN]
+    joined = df
     if nums:
         wide = stage(_wide_medians(batch_medians(df, nums, small_table=small_table), columns), "medians")
-        joined = df.join(wide, BATCH, "left")
-    else:
-        joined = df
-    items = [
-        c.label(text(df, c.name)) if c.rule == VALUES else F.when(_holds(df, i, c), c.label())
-        for i, c in enumerate(columns)
-    ]
-    return joined.select(*[F.col(f"`{c}`") for c in df.columns], F.array_compact(F.array(*items)).alias("items"))
+        own = {c: f"__{c}" for c in wide.columns if c != BATCH}
+        joined = df.join(wide.withColumnsRenamed(own), BATCH, "left")
+    found = []
+    for i, c in enumerate(columns):
+        if c.rule == VALUES:
+            found.append(c.label(text(df, c.name)))
+        else:
+            found.append(F.when(_holds(c, number(df, c.name), f"__median{i}"), c.label()))
+    return joined.select(
+        *[column(c) for c in df.columns], F.array_compact(F.array(*found)).alias("items")
+    )
 
 
 @dataclass(frozen=True)
@@ -218,14 +230,15 @@ def coded_baskets(df: DataFrame, book: ItemBook, min_support: float) -> DataFram
     Rows are collapsed on the map side, so what is shuffled are distinct baskets, spread by their
     content. A basket lists item codes in rising order and may be empty.
     """
-    joined = df.join(book.at(min_support), BATCH)
+    joined = df.select(BATCH, *_inputs(df, book.columns)).join(book.at(min_support), BATCH)
     codes = []
     for i, c in enumerate(book.columns):
+        value = F.col(f"in{i}")
         if c.rule == VALUES:
-            position = F.array_position(f"values{i}", text(df, c.name)).cast("int")
+            position = F.array_position(f"values{i}", value).cast("int")
             code = F.when(position > 0, i * book.stride + position)
         else:
-            code = F.when(_holds(df, i, c), F.lit(i * book.stride + 1))
+            code = F.when(_holds(c, value, f"median{i}"), F.lit(i * book.stride + 1))
         codes.append(code.alias(f"code{i}"))
     names = [f"code{i}" for i in range(len(codes))]
     grouped = joined.select(BATCH, *codes).groupBy(BATCH, *names).agg(F.count(F.lit(1)).alias("w"))

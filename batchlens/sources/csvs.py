@@ -69,6 +69,8 @@ def read_text_csvs(spark: SparkSession, path: str, multiline: bool = True) -> Da
         headers = list(pool.map(lambda f: tuple(_reader(spark, multiline).csv(f).columns), files))
     groups: dict[tuple[str, ...], list[str]] = {}
     for file, header in zip(files, headers):
+        if not header:
+            raise ValueError(f"no header in {file}")
         groups.setdefault(header, []).append(file)
     parts = []
     for header, members in groups.items():

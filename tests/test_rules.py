@@ -5,6 +5,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import functions as F
 
 from batchlens.kinds import CATEGORICAL, NUMERIC
+from batchlens.operators.batching import BATCH
 from batchlens.operators.items import with_items
 from batchlens.operators.itemsets import frequent_itemsets
 from batchlens.operators.rules import CONFIDENCES, SUPPORTS, by_lift, mine_rules, rules_at
@@ -158,6 +159,18 @@ def test_itemsets_match_fp_growth(spark, limit):
             assert len(items) == 1 or counts[items[:i] + items[i + 1 :]] >= cnt
 
 
+def test_column_names_do_not_clash(spark):
+    names = ["n_rows", "median0", "values1", "in0", "labels", "a.b c", "items"]
+    rows = [("b", *[float(i % (j + 2)) for j in range(len(names))]) for i in range(12)]
+    df = spark.createDataFrame(rows, "batch_id string, " + ", ".join(f"`{n}` double" for n in names))
+    kinds = {n: NUMERIC if j % 2 else CATEGORICAL for j, n in enumerate(names)}
+    plain = {n: f"c{j}" for j, n in enumerate(names)}
+    renamed = df.toDF(BATCH, *plain.values())
+    expected = mine_rules(renamed, {plain[n]: k for n, k in kinds.items()})
+    assert mine_rules(df, kinds).count() == expected.count() > 0
+    assert with_items(df.drop("items"), kinds).columns == [BATCH, *names[:-1], "items"]
+
+
 def test_large_tables_give_the_same_rules(spark):
     from batchlens.catalog.subjects import SHIPMENT_KINDS, shipments
 

@@ -74,6 +74,12 @@ def test_csv_bad_number(spark, tmp_path):
     assert read_csvs(spark, str(tmp_path), {"a": NUMERIC}, on_bad="null").first().a is None
 
 
+def test_csv_without_header(spark, tmp_path):
+    (tmp_path / "1.csv").write_text("\n")
+    with pytest.raises(ValueError, match="no header"):
+        read_csvs(spark, str(tmp_path))
+
+
 def test_csv_folder_without_files(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         read_csvs(spark, str(tmp_path))
