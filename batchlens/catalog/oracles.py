@@ -9,6 +9,7 @@ from batchlens.catalog.queries import CLEANING
 from batchlens.catalog.subjects import DOCUMENT_KINDS, EVENT_KINDS, ORDER_KINDS, SHIPMENT_KINDS
 from batchlens.kinds import CATEGORICAL, NUMERIC, of_kind
 from batchlens.operators.rules import CONFIDENCES, MIN_RULES, SUPPORTS
+from batchlens.plans.report import BATCH_HEAD, DQ_TITLE, FEATURE_HEAD
 
 SHIPMENTS = """SELECT strftime(l_shipdate, '%Y-%m') AS batch_id, l_shipdate, l_orderkey, l_partkey, l_suppkey,
   l_quantity, l_extendedprice, l_discount, nullif(l_tax, 0) AS tax, nullif(l_returnflag, 'N') AS flag,
@@ -243,32 +244,12 @@ def _report_lines(view: str, kinds: Mapping[str, str]) -> str:
         for i, name in enumerate(("Batches", "Features", "Records"))
     )
     parts = [
-        _text_lines(0, ["# Data Quality Report", "", "## Summary", ""]),
+        _text_lines(0, [DQ_TITLE, "", "## Summary", ""]),
         bullets,
-        _text_lines(
-            2,
-            [
-                "",
-                "---",
-                "",
-                "## 1. By batch (aggregates)",
-                "",
-                "| batch_id | n_features | avg missing_rate | avg unique_count |",
-                "|----------|------------|------------------|------------------|",
-            ],
-        ),
+        _text_lines(2, ["", "---", "", *BATCH_HEAD]),
         "SELECT 3, batch_id, printf('| %s | %d | %.4f | %.1f |', batch_id, n_features, avg_missing_rate, "
         f"avg_unique_count) FROM ({BY_BATCH})",
-        _text_lines(
-            4,
-            [
-                "",
-                "## 2. By feature (aggregates)",
-                "",
-                "| feature | value_type | n_batches | avg missing_rate | min | max | avg unique_count | min | max |",
-                "|---------|------------|-----------|------------------|-----|-----|------------------|-----|-----|",
-            ],
-        ),
+        _text_lines(4, ["", *FEATURE_HEAD]),
         "SELECT 5, feature, printf('| %s | %s | %d | %.4f | %.4f | %.4f | %.1f | %d | %d |', feature, value_type, "
         "n_batches, avg_missing_rate, min_missing_rate, max_missing_rate, avg_unique_count, min_unique_count, "
         f"max_unique_count) FROM ({BY_FEATURE})",
