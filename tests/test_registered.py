@@ -4,6 +4,8 @@ import pytest
 from oracle import compare, connect
 
 from __spark_entry__ import entry, oracle_sql, queries
+from batchlens.catalog.oracles import ORACLES
+from batchlens.catalog.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -14,13 +16,15 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries())
+    assert set(ORACLES) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, con, name):
-    df = queries()[name](spark, SF_DIR)
-    rows, differences = compare(df, con, oracle_sql()[name])
+    df = QUERIES[name](spark, SF_DIR)
+    rows, differences = compare(df, con, ORACLES[name])
     assert rows > 0
     assert not differences, differences[:5]
     plan = df._jdf.queryExecution().executedPlan().toString()
