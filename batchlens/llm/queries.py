@@ -5,11 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from batchlens.llm.common import table
+from batchlens.llm import quality as quality_rules
+from batchlens.llm import toxicity
+from batchlens.llm.common import crc_mod, table
 from batchlens.llm.exact_dedup import exact_duplicates
 from batchlens.llm.packing import pack
+from batchlens.llm.sentencepiece_bpe import decode, encode
 from batchlens.llm.sharding import shard
+from batchlens.llm.topk import top_k
 from batchlens.llm.word_bpe import word_encoder
 
 TOKENIZERS = "/opt/tokenizers"
@@ -19,6 +24,24 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = f"{TOKENIZERS}/piece_bpe_32k.model"
+    both = decode(encode(table(spark, sf_dir, "documents"), model), model)
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = crc_mod(F.col("doc_id"), 5) == 0
+    scored = quality_rules.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), held_out)
+    predicted = (F.col("score") >= quality_rules.THRESHOLD).cast("int")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents"), shards=40)
 
@@ -31,10 +54,28 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), word_tokens(), capacity=2048)
 
 
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = crc_mod(F.col("doc_id"), 3) == 1
+    docs = table(spark, sf_dir, "documents")
+    machine = toxicity.train(docs, table(spark, sf_dir, "labels"), held_out)
+    predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int")
+    return toxicity.score(docs, machine).select(
+        "doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op4_sentencepiece": op4_sentencepiece,
+    "op5_quality": op5_quality,
     "op7_sharding": op7_sharding,
     "op8_packing": op8_packing,
+    "op9_topk": op9_topk,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLES: dict[str, str] = {
@@ -43,4 +84,14 @@ ORACLES: dict[str, str] = {
              g AS (SELECT body, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY body)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256
         FROM t JOIN g USING (body)""",
+    "op9_topk": """
+        WITH v AS (
+            SELECT vec_id, [floor(1024 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+            WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0
+              AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+        s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0),
+        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+        SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 10""",
 }
