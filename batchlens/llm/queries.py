@@ -11,6 +11,7 @@ from batchlens.llm import quality as quality_rules
 from batchlens.llm import toxicity
 from batchlens.llm.common import crc_mod, table
 from batchlens.llm.exact_dedup import exact_duplicates
+from batchlens.llm.jaccard_join import jaccard_components
 from batchlens.llm.packing import pack
 from batchlens.llm.sentencepiece_bpe import decode, encode
 from batchlens.llm.sharding import shard
@@ -20,6 +21,10 @@ from batchlens.llm.word_bpe import word_encoder
 TOKENIZERS = "/opt/tokenizers"
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"), shingle_words=5)
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -69,6 +74,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_jaccard_join": op1_jaccard_join,
     "op2_exact_dedup": op2_exact_dedup,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_quality": op5_quality,
