@@ -13,6 +13,7 @@ from batchlens.llm.common import crc_mod, table
 from batchlens.llm.exact_dedup import exact_duplicates
 from batchlens.llm.jaccard_join import jaccard_components
 from batchlens.llm.packing import pack
+from batchlens.llm.repeats import remove_repeats
 from batchlens.llm.sentencepiece_bpe import decode, encode
 from batchlens.llm.sharding import shard
 from batchlens.llm.topk import top_k
@@ -47,6 +48,12 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"), length=50).select(
+        "doc_id", "n_bytes", "n_removed", F.size("span_starts").cast("long").alias("n_spans"), "kept_sha256"
+    )
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents"), shards=40)
 
@@ -78,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_quality": op5_quality,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_sharding": op7_sharding,
     "op8_packing": op8_packing,
     "op9_topk": op9_topk,
