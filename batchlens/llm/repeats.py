@@ -47,7 +47,6 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from batchlens.llm.common import id_and_text
 from batchlens.session import stage
 
 LENGTH = 50
@@ -166,6 +165,10 @@ def _opened(row: dict) -> tuple[bytes, np.ndarray]:
     return zstandard.decompress(row["text"]), np.frombuffer(row["sizes"], "<i8")
 
 
+def _order_ids(row: dict) -> np.ndarray:
+    return np.array([LAST_ID if x["id"] is None else x["id"] for x in row["ids"]], "<i8")
+
+
 def _pack(schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit = TaskContext.get().partitionId() << 32
@@ -179,7 +182,8 @@ def _pack(schema: pa.Schema):
             return pa.RecordBatch.from_pylist([row], schema=schema)
 
         for batch in batches:
-            for i, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
+            # A row is its id and the columns it carries along.
+            for i, text in zip(batch.column("row").to_pylist(), batch.column("text").to_pylist()):
                 ids.append(i)
                 texts.append(text.encode())
                 held += len(texts[-1])
@@ -268,7 +272,7 @@ def _regions(schema: pa.Schema, length: int, gram: int):
                 rows.append(
                     {
                         "unit": row["unit"],
-                        "doc_ids": np.array([LAST_ID if x is None else x for x in row["ids"]], "<i8")[flat[0]].tobytes(),
+                        "doc_ids": _order_ids(row)[flat[0]].tobytes(),
                         "docs": flat[0].tobytes(),
                         "places": flat[1].tobytes(),
                         "sizes": flat[2].tobytes(),
@@ -444,7 +448,7 @@ def _cut(schema: pa.Schema):
                 kept = raw[a:b][~mask].tobytes()
                 rows.append(
                     {
-                        "id": i,
+                        "row": i,
                         "n_bytes": b - a,
                         "n_removed": int(mask.sum()),
                         "span_starts": firsts,
@@ -458,15 +462,23 @@ def _cut(schema: pa.Schema):
     return run
 
 
-def remove_repeats(
-    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text"
+def find_repeats(
+    docs: DataFrame,
+    length: int = LENGTH,
+    gram: int = GRAM,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    carried: tuple[str, ...] = (),
 ) -> DataFrame:
-    """(id, n_bytes, n_removed, span_starts, span_ends, kept, kept_sha256) of every document.
+    """(row, n_bytes, n_removed, span_starts, span_ends, kept, kept_sha256) of every document.
 
-    Spans are byte positions in the input text; `kept` has the remaining bytes.
+    `row` is a struct of `id` and the `carried` columns, in which names cannot clash: they are named c0, c1, ...
     """
-    source = id_and_text(docs, id_col, text_col)
-    kind = source.schema["id"].dataType
+    extra = [docs[c].alias(f"c{i}") for i, c in enumerate(carried)]
+    source = docs.select(
+        F.struct(docs[id_col].alias("id"), *extra).alias("row"), F.coalesce(docs[text_col], F.lit("")).alias("text")
+    )
+    kind = source.schema["row"].dataType
     field = StructField
     unit_row = StructType(
         [field("unit", LongType()), field("ids", ArrayType(kind)), field("sizes", BinaryType()), field("text", BinaryType())]
@@ -493,7 +505,7 @@ def remove_repeats(
     span_row = StructType([field("unit", LongType()), *(field(c, BinaryType()) for c in ("docs", "starts", "ends"))])
     final_row = StructType(
         [
-            field("id", kind),
+            field("row", kind),
             field("n_bytes", LongType()),
             field("n_removed", LongType()),
             field("span_starts", ArrayType(LongType())),
@@ -511,5 +523,37 @@ def remove_repeats(
     suffixes = _suffix_entries(length)
     first = exchanged(decided, ["keys", "least"], lambda s: _deal_least(s, parts, suffixes), _earlier)
     spans = with_answers(decided, first, lambda s: _spans(s, length), span_row, "spans")
-    cut = units.groupBy("unit").cogroup(spans.groupBy("unit")).applyInArrow(_cut(to_arrow_schema(final_row)), final_row)
-    return cut.withColumnRenamed("id", id_col)
+    return units.groupBy("unit").cogroup(spans.groupBy("unit")).applyInArrow(_cut(to_arrow_schema(final_row)), final_row)
+
+
+def remove_repeats(
+    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """(id, n_bytes, n_removed, span_starts, span_ends, kept, kept_sha256) of every document.
+
+    Spans are byte positions in the input text; `kept` has the remaining bytes.
+    """
+    found = find_repeats(docs, length, gram, id_col, text_col)
+    return found.select(F.col("row.id").alias(id_col), *[c for c in found.columns if c != "row"])
+
+
+def without_repeats(
+    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The documents with the remaining text and all other columns as they were.
+
+    A letter of which a cut takes some bytes goes as a whole. A text of which nothing is left stays, empty.
+    """
+    others = tuple(c for c in docs.columns if c != text_col)
+    found = find_repeats(docs, length, gram, id_col, text_col, others)
+    schema = StructType([StructField("row", found.schema["row"].dataType), StructField("text", StringType())])
+    arrow = to_arrow_schema(schema)
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            texts = [x.decode("utf-8", "ignore") for x in part.column("kept").to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(texts, arrow.field("text").type)], schema=arrow)
+
+    texts = found.select("row", "kept").mapInArrow(run, schema)
+    places = {c: F.col(f"row.c{i}") for i, c in enumerate(others)} | {text_col: F.col("text")}
+    return texts.select(*[places[c].alias(c) for c in docs.columns])

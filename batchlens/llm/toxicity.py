@@ -174,3 +174,18 @@ def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: s
             yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(scores, pa.float64())], schema=schema)
 
     return source.mapInArrow(run, out).withColumnRenamed("id", id_col)
+
+
+def clean(
+    docs: DataFrame, machine: Machine, threshold: float = THRESHOLD, text_col: str = "text"
+) -> DataFrame:
+    """The documents that score below `threshold`, with all their columns, in one scan without a shuffle."""
+    schema = to_arrow_schema(docs.schema)
+    at = docs.columns.index(text_col)
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            low = [machine.score(terms(t or "")) < threshold for t in part.column(at).to_pylist()]
+            yield pa.RecordBatch.from_arrays(part.filter(pa.array(low, pa.bool_())).columns, schema=schema)
+
+    return docs.mapInArrow(run, docs.schema)
