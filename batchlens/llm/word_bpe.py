@@ -47,8 +47,10 @@ class WordEncoder:
         known, plain, parts = self._known, set(), {}
         for piece in pieces:
             body, mark = piece, ""
-            if len(piece) > 1 and piece[-1] in ".,;:!?|" and piece[-2].isalnum():
-                body, mark = piece[:-1], piece[-1]
+            if len(piece) > 1 and piece[-1] in ".,;:!?|":
+                before = piece[-2].lower()
+                if len(before) == 1 and before.isalnum():
+                    body, mark = piece[:-1], piece[-1]
             if body.isascii() and body.isalnum():
                 body = body.lower()
             parts[piece] = body, mark
