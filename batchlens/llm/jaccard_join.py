@@ -47,8 +47,10 @@ from batchlens.llm.shingles import set_digest, shingles
 from batchlens.session import stage
 
 #: Tokens, and documents, that a task packs into one unit.
-UNIT_TOKENS = 2_000_000
+UNIT_TOKENS = 1_000_000
 UNIT_DOCS = 60_000
+#: Stands for no single document of a unit.
+NO_DOCUMENT = 65_535
 #: Bytes of text per part of the token counts.
 PART_BYTES = 64 << 20
 #: Members in a block of a cell.
@@ -85,6 +87,15 @@ def _screen_units(schema: pa.Schema, parts: int, size: int):
         def flush():
             tokens = np.concatenate(lower).astype(np.uint32) if lower else np.zeros(0, np.uint32)
             docs = np.repeat(np.array(owners, np.uint16), [len(x) for x in lower])
+            # A token that several documents of the unit hold is known to be shared; it is sent once, for no document.
+            order = np.argsort(tokens, kind="stable")
+            tokens, docs = tokens[order], docs[order]
+            first = np.ones(len(tokens), bool)
+            np.not_equal(tokens[1:], tokens[:-1], out=first[1:])
+            last = np.append(first[1:], True)[: len(first)]
+            shared = np.bincount(docs[~(first & last)], minlength=len(ids)).astype("<u4")
+            docs = np.where(last, docs, np.uint16(NO_DOCUMENT))[first]
+            tokens = tokens[first]
             part = (tokens % np.uint32(parts)).astype(np.uint16 if parts < 65536 else np.uint32)
             order = np.argsort(part, kind="stable")
             tokens, docs, part = tokens[order], docs[order], part[order]
@@ -97,7 +108,10 @@ def _screen_units(schema: pa.Schema, parts: int, size: int):
                     pa.array([unit] * rows, pa.int64()),
                     pa.array([*(docs[edges[p] : edges[p + 1]].tobytes() for p in full), b"".join(digests)], pa.binary()),
                     pa.array(
-                        [*(tokens[edges[p] : edges[p + 1]].tobytes() for p in full), np.array(sizes, "<u4").tobytes()],
+                        [
+                            *(tokens[edges[p] : edges[p + 1]].tobytes() for p in full),
+                            np.array(sizes, "<u4").tobytes() + shared.tobytes(),
+                        ],
                         pa.binary(),
                     ),
                     pa.array([None] * (rows - 1) + [ids], schema.field("ids").type),
@@ -139,9 +153,9 @@ def _screen_counts(schema: pa.Schema):
         shared = counts[inverse] > 1
         docs_out, counts_out, at = [], [], 0
         for docs, own in zip(table["docs"].to_pylist(), tokens):
-            found = np.bincount(np.frombuffer(docs, np.uint16)[shared[at : at + len(own)]])
+            found = np.bincount(np.frombuffer(docs, np.uint16)[shared[at : at + len(own)]], minlength=NO_DOCUMENT + 1)
             at += len(own)
-            some = np.flatnonzero(found)
+            some = np.flatnonzero(found[:NO_DOCUMENT])
             docs_out.append(some.astype(np.uint16).tobytes())
             counts_out.append(found[some].astype("<u4").tobytes())
         return pa.table(
@@ -162,8 +176,7 @@ def _screen_result(schema: pa.Schema):
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         about = next(r for r in rows if r["part"] < 0)
-        sizes = np.frombuffer(about["tokens"], "<u4").astype(np.int64)
-        shared = np.zeros(len(sizes), np.int64)
+        sizes, shared = np.frombuffer(about["tokens"], "<u4").astype(np.int64).reshape(2, -1)
         for r in rows:
             if r["part"] >= 0:
                 shared[np.frombuffer(r["docs"], np.uint16)] += np.frombuffer(r["tokens"], "<u4")
@@ -214,6 +227,7 @@ def _set_units(schema: pa.Schema, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit = TaskContext.get().partitionId() << 32
         sets: list[np.ndarray] = []
+        seen: set[bytes] = set()
         held = 0
 
         def flush():
@@ -228,12 +242,17 @@ def _set_units(schema: pa.Schema, size: int):
 
         for batch in batches:
             for text in batch.column("text").to_pylist():
-                sets.append(shingles(text, size))
-                held += len(sets[-1])
+                own = shingles(text, size)
+                if set_digest(own) in seen:
+                    continue
+                seen.add(set_digest(own))
+                sets.append(own)
+                held += len(own)
                 if held >= UNIT_TOKENS // 4:
                     yield flush()
                     unit, held = unit + 1, 0
                     sets.clear()
+                    seen.clear()
         if sets:
             yield flush()
 
@@ -407,6 +426,8 @@ def class_links(docs: DataFrame, found: DataFrame, id_col: str, text_col: str, s
     classes = found.filter("n > 0").groupBy("cls").agg(F.min("id").alias("id"), F.max("screened").alias("screened"))
     wanted = classes.filter("screened").select("id")
     source = id_and_text(docs, id_col, text_col)
+    # The same plan at every size: both sides move by id, and the narrow one is hashed.
+    wanted = wanted.hint("shuffle_hash")
     texts = source.join(wanted, source["id"].eqNullSafe(wanted["id"]), "left_semi").select("text")
     packed = StructType(
         [StructField("unit", LongType()), StructField("sizes", BinaryType()), StructField("tokens", BinaryType())]
@@ -449,7 +470,8 @@ def class_links(docs: DataFrame, found: DataFrame, id_col: str, text_col: str, s
     bundles = stage(
         postings.join(pivots, "token").filter("cls <> pivot").select("pivot", "cls").distinct(), "bundles"
     )
-    payload = sets.select("cls", "n", "tokens", "flags").dropDuplicates(["cls"])
+    # A class may come once per unit where ids repeat; comparing it twice finds the same links.
+    payload = sets.select("cls", "n", "tokens", "flags")
 
     def blocks(members: DataFrame, name: str) -> DataFrame:
         """Deals the members of each pivot into blocks of about BLOCK, and counts the blocks."""

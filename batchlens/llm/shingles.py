@@ -8,7 +8,7 @@ import numpy as np
 import xxhash
 
 #: Words whose hash a worker keeps at a time.
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 250_000
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
