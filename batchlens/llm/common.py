@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from batchlens.session import stage
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -20,6 +22,18 @@ def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+def stage_and_free(df: DataFrame, label: str) -> DataFrame:
+    """`stage`, and the shuffle files of the write go as soon as it is done: the written table replaces them."""
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    spark = df.sparkSession
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "true")
+    try:
+        return stage(df, label)
+    finally:
+        spark.conf.set(setting, before)
+
+
 def crc_mod(column: Column, mod: int) -> Column:
     """crc32 of the value as text, modulo `mod`; a NULL value counts as empty text."""
     return F.crc32(F.coalesce(column.cast("string"), F.lit(""))) % mod
@@ -27,9 +41,3 @@ def crc_mod(column: Column, mod: int) -> Column:
 
 def chunks(batch: pa.RecordBatch, rows: int) -> Iterable[pa.RecordBatch]:
     return (batch.slice(i, rows) for i in range(0, batch.num_rows, rows))
-
-
-def batches(columns: Iterator[dict], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """Record batches of dictionaries of column values."""
-    for values in columns:
-        yield pa.RecordBatch.from_pydict(values, schema=schema)

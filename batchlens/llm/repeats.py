@@ -10,11 +10,13 @@ have equal triggers, and triggers cut all texts into phrases at the same places
 1. *Units.* Tasks pack documents into compressed units, a table that all later steps read.
 2. *Screen.* Trigger windows are counted over all units. A string can only repeat if its trigger window does, so
    only runs of such strings (regions) go on.
-3. *Dictionary.* Regions are cut into phrases; an extended phrase is a phrase with the `LENGTH - 1` bytes after it.
-   For each different extended phrase the dictionary has the smallest id that holds it. A phrase that an earlier
-   document holds is removed as a whole.
-4. *Suffixes.* The first holder of any string is never in a phrase that step 3 decides, so only the suffixes of
-   undecided phrases are left. The least id of each `LENGTH`-byte suffix prefix is found the same way.
+3. *Dictionary.* The phrase of a trigger is all bytes of the strings it can be the trigger of. For each different
+   phrase the dictionary has the smallest id that holds it, and for each trigger window whether it stands in more
+   than one phrase. Strings of a phrase that an earlier document holds are removed together. Where a window has one
+   phrase only, the dictionary settles all its strings.
+4. *Suffixes.* The first holder of a string is never in a phrase that step 3 removes, so for windows with several
+   phrases the suffixes of the phrases that are left suffice. The least id of each `LENGTH`-byte prefix of a suffix
+   is found the same way.
 5. Spans of removed bytes go back to their units and are cut out.
 
 The whole-corpus order of suffixes is not built: here only equality of `LENGTH`-byte prefixes counts, so equal
@@ -47,10 +49,10 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from batchlens.session import stage
+from batchlens.llm.common import stage_and_free as stage
 
 LENGTH = 50
-GRAM = 24
+GRAM = 28
 #: Bytes of text in a unit, and bytes hashed at once.
 UNIT_BYTES = 8 << 20
 BUFFER_BYTES = 1 << 20
@@ -134,16 +136,30 @@ class Parsed:
         most = _sliding(np.concatenate([pad, self.least, pad]), self.width, np.maximum)
         self.triggers = np.flatnonzero(most == self.tokens)
 
-    def repeated(self, windows: np.ndarray) -> np.ndarray:
-        """The strings (by start) whose trigger window is among `windows` (sorted)."""
-        if not len(self.triggers) or not len(windows):
+    def strings_of(self, chosen: np.ndarray) -> np.ndarray:
+        """The strings (by start) that have one of the chosen triggers (a flag for each)."""
+        if not chosen.any():
             return np.zeros(len(self.valid), bool)
-        own = self.tokens[self.triggers]
-        hit = np.take(windows, np.searchsorted(windows, own), mode="clip") == own
         marked = np.full(len(self.tokens), np.iinfo(np.uint32).max, np.uint32)
-        marked[self.triggers[hit]] = own[hit]
+        places = self.triggers[chosen]
+        marked[places] = self.tokens[places]
         return (_sliding(marked, self.width, np.minimum) == self.least) & self.valid
 
+    def repeated(self, windows: np.ndarray) -> np.ndarray:
+        """The strings whose trigger window is among `windows` (sorted)."""
+        own = self.tokens[self.triggers]
+        if not len(own) or not len(windows):
+            return np.zeros(len(self.valid), bool)
+        return self.strings_of(np.take(windows, np.searchsorted(windows, own), mode="clip") == own)
+
+    def phrases(self, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Of each trigger: its document, and the fingerprint of its phrase with the place of the trigger in it."""
+        doc = np.searchsorted(self.ends, self.triggers, "right")
+        first = np.maximum(self.triggers - self.width + 1, self.starts[doc])
+        last = np.minimum(self.triggers + length, self.ends[doc])
+        place = (self.triggers - first).astype(np.uint64) * np.uint64(2 * length) + (last - first).astype(np.uint64)
+        return doc, Fingerprints._mixed(self.prints.at(first, last - first) ^ place)
+
 
 def _runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the runs of True."""
@@ -198,17 +214,18 @@ def _pack(schema: pa.Schema):
     return run
 
 
-def _dealt(keys: np.ndarray, values: list[np.ndarray], unit: int, parts: int, names: list[str], schema: pa.Schema):
-    """Rows of one unit's keys by part."""
-    part = (keys % keys.dtype.type(parts)).astype(np.int32)
+def _dealt(deal_by: np.ndarray, columns: dict[str, np.ndarray], unit: int, parts: int, schema: pa.Schema, **whole):
+    """Rows of one unit's entries by part; `whole` columns go with every row."""
+    part = (deal_by % deal_by.dtype.type(parts)).astype(np.int32)
     order = np.argsort(part, kind="stable")
     edges = np.searchsorted(part[order], np.arange(parts + 1))
     full = np.flatnonzero(np.diff(edges))
-    columns = {"part": full, "unit": [unit] * len(full)}
-    for name, array in zip(names, [keys, *values]):
+    rows = {"part": full, "unit": [unit] * len(full)}
+    for name, array in columns.items():
         array = array[order]
-        columns[name] = [array[edges[p] : edges[p + 1]].tobytes() for p in full]
-    return pa.RecordBatch.from_pydict(columns, schema=schema)
+        rows[name] = [array[edges[p] : edges[p + 1]].tobytes() for p in full]
+    rows |= {name: [value] * len(full) for name, value in whole.items()}
+    return pa.RecordBatch.from_pydict(rows, schema=schema)
 
 
 def _trigger_windows(row: dict, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
@@ -228,9 +245,9 @@ def _deal_windows(schema: pa.Schema, parts: int, length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                windows, _ = _trigger_windows(row, length, gram)
+                windows, twice = _trigger_windows(row, length, gram)
                 if len(windows):
-                    yield _dealt(windows, [], row["unit"], parts, ["keys"], schema)
+                    yield _dealt(windows, {"keys": windows, "twice": twice}, row["unit"], parts, schema)
 
     return run
 
@@ -239,7 +256,8 @@ def _shared_windows(schema: pa.Schema):
     def run(table: pa.Table) -> pa.Table:
         keys = [np.frombuffer(x, np.uint32) for x in table["keys"].to_pylist()]
         _, inverse, counts = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
-        shared = np.split(counts[inverse] > 1, np.cumsum([len(x) for x in keys])[:-1])
+        twice = np.frombuffer(b"".join(table["twice"].to_pylist()), bool)
+        shared = np.split((counts[inverse] > 1) | twice, np.cumsum([len(x) for x in keys])[:-1])
         return pa.table({"unit": table["unit"], "keys": [k[s].tobytes() for k, s in zip(keys, shared)]}, schema=schema)
 
     return run
@@ -255,8 +273,7 @@ def _regions(schema: pa.Schema, length: int, gram: int):
     def run(units: pa.Table, replies: pa.Table) -> pa.Table:
         rows = []
         for row in units.to_pylist():
-            windows, twice = _trigger_windows(row, length, gram)
-            shared = np.union1d(_merged(replies, "keys", np.uint32), windows[twice])
+            shared = np.sort(_merged(replies, "keys", np.uint32))
             text, sizes = _opened(row)
             docs, places, lengths, pieces = [], [], [], []
             for first, buffer, own in _buffers(text, sizes):
@@ -285,99 +302,158 @@ def _regions(schema: pa.Schema, length: int, gram: int):
     return run
 
 
-def _phrases(row: dict, length: int, gram: int):
-    """The regions of a unit as phrases: (start in the unit's region bytes, strings in it, region, fingerprint)."""
+def _parsed_regions(row: dict, length: int, gram: int):
+    """The regions of a unit, parsed buffer by buffer: (first region, bytes before the buffer, parsed)."""
     text, sizes = _opened(row)
-    out, begin = [], 0
+    begin = 0
     for first, buffer, own in _buffers(text, sizes):
-        parsed = Parsed(buffer, own, length, gram)
-        cuts = np.unique(np.concatenate([parsed.triggers, parsed.starts]))
-        region = np.searchsorted(parsed.ends, cuts, "right")
-        last = parsed.ends[region] - length + 1
-        cuts, region, last = (x[cuts < last] for x in (cuts, region, last))
-        ends = np.minimum(np.append(cuts[1:], len(buffer)), last)
-        count = ends - cuts
-        prints = parsed.prints.at(cuts, count + length - 1) ^ count.astype(np.uint64)
-        out.append((cuts + begin, count, region + first, prints))
+        yield first, begin, Parsed(buffer, own, length, gram)
         begin += len(buffer)
-    return [np.concatenate(x) for x in zip(*out)]
 
 
-def _least(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Different keys, sorted, with the least id of each."""
+def _phrase_entries(row: dict, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Trigger window, phrase and document id of each trigger of a unit's regions."""
+    ids = np.frombuffer(row["doc_ids"], "<i8")
+    found = []
+    for first, _, parsed in _parsed_regions(row, length, gram):
+        doc, prints = parsed.phrases(length)
+        found.append((parsed.tokens[parsed.triggers], prints, ids[doc + first]))
+    return tuple(map(np.concatenate, zip(*found)))
+
+
+def _first_of(keys: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Where each different key stands with its least id, in key order."""
     order = np.lexsort((ids, keys))
-    keys, ids = keys[order], ids[order]
+    sorted_keys = keys[order]
     first = np.ones(len(keys), bool)
-    np.not_equal(keys[1:], keys[:-1], out=first[1:])
-    return keys[first], ids[first]
+    np.not_equal(sorted_keys[1:], sorted_keys[:-1], out=first[1:])
+    return order[first]
 
 
-def _deal_least(schema: pa.Schema, parts: int, entries):
-    """Each unit's different keys with their least id, by part; `entries(row)` gives keys and ids."""
+def _coded(ids: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """Different ids, and each id's number among them; a unit has few documents, so numbers are short."""
+    known, number = np.unique(ids, return_inverse=True)
+    return known.tobytes(), number.astype(np.uint16 if len(known) <= 65_536 else np.uint32)
+
+
+def _decoded(table: pa.Table, keys: list[np.ndarray]) -> list[np.ndarray]:
+    out = []
+    for packed, ids, own in zip(table["least"].to_pylist(), table["ids"].to_pylist(), keys):
+        number = np.frombuffer(packed, np.uint16 if len(packed) == 2 * len(own) else np.uint32)
+        out.append(np.frombuffer(ids, "<i8")[number])
+    return out
+
+
+def _deal_phrases(schema: pa.Schema, parts: int, length: int, gram: int):
+    """Each unit's different phrases with their trigger window and least id, dealt by the window."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                keys, ids = _least(*entries(row))
-                if len(keys):
-                    yield _dealt(keys, [ids], row["unit"], parts, ["keys", "least"], schema)
+                windows, keys, ids = _phrase_entries(row, length, gram)
+                at = _first_of(keys, ids)
+                if len(at):
+                    known, number = _coded(ids[at])
+                    columns = {"keys": keys[at], "least": number, "windows": windows[at]}
+                    yield _dealt(windows[at], columns, row["unit"], parts, schema, ids=known)
 
     return run
 
 
-def _earlier(schema: pa.Schema):
-    """For one part: the keys of each unit that another unit holds under a smaller id, with that id."""
+def _phrase_answers(schema: pa.Schema):
+    """For one part: the phrases of each unit that another unit holds under a smaller id, or whose window has more
+    than one phrase."""
 
     def run(table: pa.Table) -> pa.Table:
         keys = [np.frombuffer(x, np.uint64) for x in table["keys"].to_pylist()]
-        ids = [np.frombuffer(x, np.int64) for x in table["least"].to_pylist()]
-        known, least = _least(np.concatenate(keys), np.concatenate(ids))
-        out: tuple[list, list] = ([], [])
+        ids = _decoded(table, keys)
+        all_keys, all_ids = np.concatenate(keys), np.concatenate(ids)
+        windows = np.frombuffer(b"".join(table["windows"].to_pylist()), np.uint32)
+        at = _first_of(all_keys, all_ids)
+        known, least = all_keys[at], all_ids[at]
+        _, inverse, counts = np.unique(windows[at], return_inverse=True, return_counts=True)
+        several = counts[inverse] > 1
+        out: dict[str, list] = {"keys": [], "least": [], "several": []}
         for own, own_ids in zip(keys, ids):
-            best = least[np.searchsorted(known, own)]
-            earlier = best < own_ids
-            out[0].append(own[earlier].tobytes())
-            out[1].append(best[earlier].tobytes())
-        return pa.table({"unit": table["unit"], "keys": out[0], "least": out[1]}, schema=schema)
+            place = np.searchsorted(known, own)
+            wanted = (least[place] < own_ids) | several[place]
+            out["keys"].append(own[wanted].tobytes())
+            out["least"].append(least[place][wanted].tobytes())
+            out["several"].append(several[place][wanted].tobytes())
+        return pa.table({"unit": table["unit"], **out}, schema=schema)
 
     return run
 
 
-def _removed(keys: np.ndarray, ids: np.ndarray, replies: pa.Table) -> np.ndarray:
-    """Which entries of a unit some document holds under a smaller id."""
-    known, least = _least(
-        np.concatenate([keys, _merged(replies, "keys", np.uint64)]),
-        np.concatenate([ids, _merged(replies, "least", np.int64)]),
-    )
-    return least[np.searchsorted(known, keys)] < ids
-
-
-def _phrase_entries(length: int, gram: int):
-    def entries(row: dict):
-        _, _, region, prints = _phrases(row, length, gram)
-        return prints, np.frombuffer(row["doc_ids"], "<i8")[region]
-
-    return entries
+def _least_ids(keys: np.ndarray, ids: np.ndarray, replies: pa.Table) -> np.ndarray:
+    """The least id that holds the key of each entry of a unit, in the unit or elsewhere."""
+    all_keys = np.concatenate([keys, _merged(replies, "keys", np.uint64)])
+    all_ids = np.concatenate([ids, _merged(replies, "least", np.int64)])
+    at = _first_of(all_keys, all_ids)
+    return all_ids[at][np.searchsorted(all_keys[at], keys)]
 
 
 def _decided(schema: pa.Schema, length: int, gram: int):
-    """Regions with the strings that are still open after the dictionary: a bit per byte of the regions."""
+    """Regions with a mark per byte, for the string that starts there: 2 removed, 1 still open."""
 
     def run(regions: pa.Table, replies: pa.Table) -> pa.Table:
         rows = []
         for row in regions.to_pylist():
-            starts, count, region, prints = _phrases(row, length, gram)
-            removed = _removed(prints, np.frombuffer(row["doc_ids"], "<i8")[region], replies)
-            state = np.zeros(int(np.frombuffer(row["sizes"], "<i8").sum()), np.uint8)
-            for a, n, gone in zip(starts.tolist(), count.tolist(), removed.tolist()):
-                state[a : a + n] = 2 if gone else 1
-            row["open"] = zstandard.compress(state.tobytes(), 1)
+            _, keys, ids = _phrase_entries(row, length, gram)
+            removed = _least_ids(keys, ids, replies) < ids
+            answered = _merged(replies, "keys", np.uint64)
+            several = np.sort(answered[_merged(replies, "several", bool)])
+            still = np.isin(keys, several) & ~removed
+            marks, at = [], 0
+            for _, _, parsed in _parsed_regions(row, length, gram):
+                n = len(parsed.triggers)
+                mark = np.zeros(int(parsed.ends[-1]), np.uint8)
+                mark[: len(parsed.valid)][parsed.strings_of(still[at : at + n])] = 1
+                mark[: len(parsed.valid)][parsed.strings_of(removed[at : at + n])] = 2
+                marks.append(mark)
+                at += n
+            row["open"] = zstandard.compress(np.concatenate(marks).tobytes(), 1)
             rows.append(row)
         return pa.Table.from_pylist(rows, schema=schema)
 
     return run
 
 
+def _deal_suffixes(schema: pa.Schema, parts: int, length: int):
+    """Each unit's different open strings with their least id, by part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                _, keys, ids = _suffixes(row, length)
+                at = _first_of(keys, ids)
+                if len(at):
+                    known, number = _coded(ids[at])
+                    yield _dealt(keys[at], {"keys": keys[at], "least": number}, row["unit"], parts, schema, ids=known)
+
+    return run
+
+
+def _suffix_answers(schema: pa.Schema):
+    """For one part: the strings of each unit that another unit holds under a smaller id, with that id."""
+
+    def run(table: pa.Table) -> pa.Table:
+        keys = [np.frombuffer(x, np.uint64) for x in table["keys"].to_pylist()]
+        ids = _decoded(table, keys)
+        all_keys, all_ids = np.concatenate(keys), np.concatenate(ids)
+        at = _first_of(all_keys, all_ids)
+        known, least = all_keys[at], all_ids[at]
+        out: dict[str, list] = {"keys": [], "least": []}
+        for own, own_ids in zip(keys, ids):
+            best = least[np.searchsorted(known, own)]
+            earlier = best < own_ids
+            out["keys"].append(own[earlier].tobytes())
+            out["least"].append(best[earlier].tobytes())
+        return pa.table({"unit": table["unit"], **out}, schema=schema)
+
+    return run
+
+
 def _suffixes(row: dict, length: int):
     """Open strings of a unit: place in its region bytes, fingerprint, id."""
     text, sizes = _opened(row)
@@ -393,14 +469,6 @@ def _suffixes(row: dict, length: int):
     return np.concatenate(places), np.concatenate(prints), np.concatenate(owners)
 
 
-def _suffix_entries(length: int):
-    def entries(row: dict):
-        _, prints, owners = _suffixes(row, length)
-        return prints, owners
-
-    return entries
-
-
 def _spans(schema: pa.Schema, length: int):
     """Removed bytes of each document of a unit, as runs."""
 
@@ -410,7 +478,7 @@ def _spans(schema: pa.Schema, length: int):
             places, prints, owners = _suffixes(row, length)
             state = np.frombuffer(zstandard.decompress(row["open"]), np.uint8)
             gone = state == 2
-            gone[places[_removed(prints, owners, replies)]] = True
+            gone[places[_least_ids(prints, owners, replies) < owners]] = True
             starts, ends = _runs(gone)
             sizes = np.frombuffer(row["sizes"], "<i8")
             bounds = np.cumsum(sizes)
@@ -487,11 +555,12 @@ def find_repeats(
     volume = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-volume // PART_BYTES))
 
-    def exchanged(rows: DataFrame, columns: list[str], deal, answer) -> DataFrame:
-        """Sends keys to the task of their part and returns the answers by unit."""
-        binary = [field(c, BinaryType()) for c in columns]
-        out = StructType([field("part", IntegerType()), field("unit", LongType()), *binary])
-        back = StructType([field("unit", LongType()), *binary])
+    def exchanged(rows: DataFrame, sent: list[str], returned: list[str], deal, answer) -> DataFrame:
+        """Sends entries to the task of their part and returns the answers by unit."""
+        out = StructType(
+            [field("part", IntegerType()), field("unit", LongType()), *(field(c, BinaryType()) for c in sent)]
+        )
+        back = StructType([field("unit", LongType()), *(field(c, BinaryType()) for c in returned)])
         dealt = rows.mapInArrow(deal(to_arrow_schema(out)), out)
         return dealt.groupBy("part").applyInArrow(answer(to_arrow_schema(back)), back)
 
@@ -515,13 +584,21 @@ def find_repeats(
         ]
     )
 
-    shared = exchanged(units, ["keys"], lambda s: _deal_windows(s, parts, length, gram), _shared_windows)
+    shared = exchanged(
+        units, ["keys", "twice"], ["keys"], lambda s: _deal_windows(s, parts, length, gram), _shared_windows
+    )
     regions = with_answers(units, shared, lambda s: _regions(s, length, gram), region_row, "regions")
-    entries = _phrase_entries(length, gram)
-    held = exchanged(regions, ["keys", "least"], lambda s: _deal_least(s, parts, entries), _earlier)
+    held = exchanged(
+        regions,
+        ["keys", "least", "windows", "ids"],
+        ["keys", "least", "several"],
+        lambda s: _deal_phrases(s, parts, length, gram),
+        _phrase_answers,
+    )
     decided = with_answers(regions, held, lambda s: _decided(s, length, gram), region_row, "decided")
-    suffixes = _suffix_entries(length)
-    first = exchanged(decided, ["keys", "least"], lambda s: _deal_least(s, parts, suffixes), _earlier)
+    first = exchanged(
+        decided, ["keys", "least", "ids"], ["keys", "least"], lambda s: _deal_suffixes(s, parts, length), _suffix_answers
+    )
     spans = with_answers(decided, first, lambda s: _spans(s, length), span_row, "spans")
     return units.groupBy("unit").cogroup(spans.groupBy("unit")).applyInArrow(_cut(to_arrow_schema(final_row)), final_row)
 
