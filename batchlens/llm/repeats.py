@@ -8,8 +8,8 @@ some run of windows as long as a `LENGTH`-byte string; so every such string has
 have equal triggers, and triggers cut all texts into phrases at the same places wherever the bytes repeat.
 
 1. *Units.* Tasks pack documents into compressed units, a table that all later steps read.
-2. *Screen.* Trigger windows are counted over all units. A string can only repeat if its trigger window does, so
-   only runs of such strings (regions) go on.
+2. *Screen.* Trigger windows of `SCREEN_GRAM` bytes are counted over all units. A string can only repeat if its
+   trigger window does, so only runs of such strings (regions) go on.
 3. *Dictionary.* The phrase of a trigger is all bytes of the strings it can be the trigger of. For each different
    phrase the dictionary has the smallest id that holds it, and for each trigger window whether it stands in more
    than one phrase. Strings of a phrase that an earlier document holds are removed together. Where a window has one
@@ -52,7 +52,9 @@ from pyspark.sql.types import (
 from batchlens.llm.common import stage_and_free as stage
 
 LENGTH = 50
-GRAM = 28
+GRAM = 24
+#: Trigger windows of the screen; nearly as long as a string, so that few of them repeat by chance.
+SCREEN_GRAM = 40
 #: Bytes of text in a unit, and bytes hashed at once.
 UNIT_BYTES = 8 << 20
 BUFFER_BYTES = 1 << 20
@@ -534,6 +536,7 @@ def find_repeats(
     docs: DataFrame,
     length: int = LENGTH,
     gram: int = GRAM,
+    screen_gram: int = SCREEN_GRAM,
     id_col: str = "doc_id",
     text_col: str = "text",
     carried: tuple[str, ...] = (),
@@ -585,9 +588,9 @@ def find_repeats(
     )
 
     shared = exchanged(
-        units, ["keys", "twice"], ["keys"], lambda s: _deal_windows(s, parts, length, gram), _shared_windows
+        units, ["keys", "twice"], ["keys"], lambda s: _deal_windows(s, parts, length, screen_gram), _shared_windows
     )
-    regions = with_answers(units, shared, lambda s: _regions(s, length, gram), region_row, "regions")
+    regions = with_answers(units, shared, lambda s: _regions(s, length, screen_gram), region_row, "regions")
     held = exchanged(
         regions,
         ["keys", "least", "windows", "ids"],
@@ -604,25 +607,25 @@ def find_repeats(
 
 
 def remove_repeats(
-    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """(id, n_bytes, n_removed, span_starts, span_ends, kept, kept_sha256) of every document.
 
     Spans are byte positions in the input text; `kept` has the remaining bytes.
     """
-    found = find_repeats(docs, length, gram, id_col, text_col)
+    found = find_repeats(docs, length, id_col=id_col, text_col=text_col)
     return found.select(F.col("row.id").alias(id_col), *[c for c in found.columns if c != "row"])
 
 
 def without_repeats(
-    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """The documents with the remaining text and all other columns as they were.
 
     A letter of which a cut takes some bytes goes as a whole. A text of which nothing is left stays, empty.
     """
     others = tuple(c for c in docs.columns if c != text_col)
-    found = find_repeats(docs, length, gram, id_col, text_col, others)
+    found = find_repeats(docs, length, id_col=id_col, text_col=text_col, carried=others)
     schema = StructType([StructField("row", found.schema["row"].dataType), StructField("text", StringType())])
     arrow = to_arrow_schema(schema)
 
