@@ -5,8 +5,15 @@ from __future__ import annotations
 from collections.abc import Mapping
 from itertools import product
 
-from batchlens.catalog.queries import CLEANING
-from batchlens.catalog.subjects import DOCUMENT_KINDS, EVENT_KINDS, ORDER_KINDS, SHIPMENT_KINDS
+from batchlens.catalog.queries import CLEANING, RENDERED, WIDE_KINDS
+from batchlens.catalog.subjects import (
+    ALL_ORDER_KINDS,
+    ALL_SHIPMENT_KINDS,
+    DOCUMENT_KINDS,
+    EVENT_KINDS,
+    ORDER_KINDS,
+    SHIPMENT_KINDS,
+)
 from batchlens.kinds import CATEGORICAL, NUMERIC, of_kind
 from batchlens.operators.rules import CONFIDENCES, MIN_RULES, SUPPORTS
 from batchlens.plans.report import BATCH_HEAD, DQ_TITLE, FEATURE_HEAD
@@ -14,10 +21,10 @@ from batchlens.plans.report import BATCH_HEAD, DQ_TITLE, FEATURE_HEAD
 SHIPMENTS = """SELECT strftime(l_shipdate, '%Y-%m') AS batch_id, l_shipdate, l_orderkey, l_partkey, l_suppkey,
   l_quantity, l_extendedprice, l_discount, nullif(l_tax, 0) AS tax, nullif(l_returnflag, 'N') AS flag,
   l_linestatus, l_linenumber FROM lineitem WHERE l_shipdate IS NOT NULL"""
-ORDERS = """SELECT strftime(o_orderdate, '%Y-%m') AS batch_id, o_orderdate, o_totalprice, o_orderstatus,
-  o_orderpriority FROM orders WHERE o_orderdate IS NOT NULL"""
-EVENTS = "SELECT strftime(ts, '%Y-%m') AS batch_id, user_id, event_type, value FROM events WHERE ts IS NOT NULL"
-DOCUMENTS = """SELECT 'all' AS batch_id, text, lang, source, n_chars, quality, toxic
+ORDERS = """SELECT strftime(o_orderdate, '%Y-%m') AS batch_id, o_orderkey, o_custkey, o_orderdate, o_totalprice,
+  o_orderstatus, o_orderpriority FROM orders WHERE o_orderdate IS NOT NULL"""
+EVENTS = "SELECT strftime(ts, '%Y-%m') AS batch_id, event_id, ts, user_id, event_type, value, props FROM events WHERE ts IS NOT NULL"
+DOCUMENTS = """SELECT 'all' AS batch_id, doc_id, text, lang, source, n_chars, quality, toxic
   FROM documents LEFT JOIN labels USING (doc_id)"""
 
 NUM_STATS = "min({x})::DOUBLE AS min, max({x})::DOUBLE AS max, avg({x}) AS mean, stddev_samp({x}) AS std"
@@ -96,7 +103,7 @@ def _eda_correlation(view: str, kinds: Mapping[str, str]) -> str:
 
 def _eda_histogram(view: str, kinds: Mapping[str, str], bins: int = 30) -> str:
     parts = []
-    for c in of_kind(kinds, NUMERIC)[:12]:
+    for c in of_kind(kinds, NUMERIC):
         parts.append(f"SELECT '{c}' AS feature, {c}::DOUBLE AS x FROM v WHERE {c} IS NOT NULL")
     return f"""WITH v AS ({view}), cells AS ({' UNION ALL '.join(parts)}),
 ends AS (SELECT feature, CASE WHEN min(x) = max(x) THEN min(x) - 0.5 ELSE min(x) END AS a,
@@ -218,6 +225,24 @@ def _clean_long(view: str, kinds: Mapping[str, str]) -> str:
     )
 
 
+def _clean_batch_orders() -> str:
+    """The orders without the columns whose missing rate or share of distinct values is too high.
+
+    The verdicts are computed; a dropped column shows as text in place of its values, and none may show.
+    """
+    columns = ("o_custkey", "o_orderstatus", "o_orderpriority")
+    bad = " UNION ALL ".join(
+        f"SELECT count({c}) < 0.5 * count(*) OR count(DISTINCT {c}) > 0.9 * count(*) AS bad FROM c"
+        for c in columns
+    )
+    dropped = " UNION ALL ".join(
+        f"SELECT NOT (count({c}) < 0.5 * count(*) OR count(DISTINCT {c}) > 0.9 * count(*)) AS bad FROM c"
+        for c in ("o_orderkey", "o_totalprice", "closed_priority")
+    )
+    return f"""WITH c AS (SELECT *, CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS closed_priority FROM orders)
+SELECT {', '.join(columns)} FROM orders WHERE NOT (SELECT bool_or(bad) FROM ({bad} UNION ALL {dropped}))"""
+
+
 BY_BATCH = """SELECT batch_id, count(*) AS n_features, avg(missing_rate) AS avg_missing_rate,
   avg(unique_count) AS avg_unique_count FROM dq GROUP BY batch_id"""
 BY_FEATURE = """SELECT feature, arg_min(value_type, batch_id) AS value_type, count(*) AS n_batches,
@@ -274,40 +299,39 @@ WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.batch_id = v.batch_id) GROUP BY batch_
 UPDATE_KINDS = {"l_shipdate": CATEGORICAL, **SHIPMENT_KINDS}
 MINED_ORDERS = {c: k for c, k in ORDER_KINDS.items() if c != "o_totalprice"}
 
-_DQ = _dq(SHIPMENTS, SHIPMENT_KINDS)
-_DOC_SHORT = {c: k for c, k in DOCUMENT_KINDS.items() if c != "text"}
+_DQ = _dq(SHIPMENTS, ALL_SHIPMENT_KINDS)
 _RATES = ["avg_missing_rate", "avg_unique_count"]
 
 ORACLES: dict[str, str] = {
     "batch_ledger": f"SELECT batch_id, count(*) AS n_rows FROM ({SHIPMENTS}) GROUP BY batch_id ORDER BY batch_id",
-    "dq_profile": _profile(SHIPMENTS, SHIPMENT_KINDS),
-    "dq_profile_orders": _profile(ORDERS, ORDER_KINDS),
+    "dq_profile": _profile(SHIPMENTS, ALL_SHIPMENT_KINDS),
+    "dq_profile_orders": _profile(ORDERS, ALL_ORDER_KINDS),
     "dq_profile_events": _profile(EVENTS, EVENT_KINDS),
     "dq_missing_unique": _DQ + " SELECT batch_id, feature, missing_rate, unique_count FROM dq",
     "dq_numeric_stats": _DQ
     + " SELECT batch_id, feature, round(min, 6) AS min, round(max, 6) AS max, round(mean, 6) AS mean, "
     "round(std, 6) AS std FROM dq WHERE value_type = 'numeric'",
-    "dq_top10": _top(SHIPMENTS, SHIPMENT_KINDS, True),
-    "dq_stats_json": _dq(ORDERS, ORDER_KINDS)
+    "dq_top10": _top(SHIPMENTS, ALL_SHIPMENT_KINDS, True),
+    "dq_stats_json": _dq(ORDERS, ALL_ORDER_KINDS)
     + """ SELECT batch_id, feature, '{' || string_agg('"' || value || '":' || cnt, ',' ORDER BY rank) || '}' AS stats_json
   FROM ranked WHERE rank <= 10 GROUP BY batch_id, feature""",
     "dq_by_batch": _DQ + " " + _rounded(BY_BATCH, _RATES),
     "dq_by_feature": _DQ + " " + _rounded(BY_FEATURE, _RATES),
     "dq_summary": _DQ + " " + SUMMARY,
-    "report_lines": _report_lines(SHIPMENTS, SHIPMENT_KINDS),
-    "clean_verdicts": _clean(SHIPMENTS, SHIPMENT_KINDS) + " SELECT * FROM verdicts",
-    "clean_long": _clean_long(SHIPMENTS, SHIPMENT_KINDS),
-    "clean_batch_orders": "SELECT o_custkey, o_orderstatus, o_orderpriority FROM orders",
-    "eda_summary": f"SELECT count(*) AS n_rows, {len(SHIPMENT_KINDS)} AS n_columns FROM ({SHIPMENTS})",
-    "eda_overview": _eda_overview(SHIPMENTS, SHIPMENT_KINDS),
+    "report_lines": _report_lines(SHIPMENTS, ALL_SHIPMENT_KINDS),
+    "clean_verdicts": _clean(SHIPMENTS, ALL_SHIPMENT_KINDS) + " SELECT * FROM verdicts",
+    "clean_long": _clean_long(SHIPMENTS, ALL_SHIPMENT_KINDS),
+    "clean_batch_orders": _clean_batch_orders(),
+    "eda_summary": f"SELECT count(*) AS n_rows, {len(ALL_SHIPMENT_KINDS)} AS n_columns FROM ({SHIPMENTS})",
+    "eda_overview": _eda_overview(SHIPMENTS, ALL_SHIPMENT_KINDS),
     "eda_overview_documents": _eda_overview(DOCUMENTS, DOCUMENT_KINDS),
-    "eda_describe": _eda_describe(SHIPMENTS, SHIPMENT_KINDS),
-    "eda_describe_ranged": _eda_describe(SHIPMENTS, SHIPMENT_KINDS),
+    "eda_describe": _eda_describe(SHIPMENTS, ALL_SHIPMENT_KINDS),
+    "eda_describe_ranged": _eda_describe(SHIPMENTS, ALL_SHIPMENT_KINDS),
     "eda_describe_documents": _eda_describe(DOCUMENTS, DOCUMENT_KINDS),
-    "eda_correlation": _eda_correlation(SHIPMENTS, SHIPMENT_KINDS),
-    "eda_histogram": _eda_histogram(SHIPMENTS, SHIPMENT_KINDS),
-    "eda_top10": _top(_all_rows(SHIPMENTS), SHIPMENT_KINDS, False),
-    "eda_top10_documents": _top(DOCUMENTS, _DOC_SHORT, False),
+    "eda_correlation": _eda_correlation(SHIPMENTS, ALL_SHIPMENT_KINDS),
+    "eda_histogram": _eda_histogram(SHIPMENTS, ALL_SHIPMENT_KINDS),
+    "eda_top10": _top(_all_rows(SHIPMENTS), ALL_SHIPMENT_KINDS, False),
+    "eda_top10_documents": _top(DOCUMENTS, DOCUMENT_KINDS, False),
     "batch_medians": f"WITH v AS ({SHIPMENTS}) SELECT * REPLACE (round(median, 6) AS median) FROM "
     f"({_medians(SHIPMENT_KINDS)})",
     "row_items": _baskets(SHIPMENTS, SHIPMENT_KINDS, "l_orderkey, l_partkey, l_suppkey, l_linenumber,")
@@ -332,10 +356,33 @@ ORACLES: dict[str, str] = {
     "seed_from_csv": f"SELECT batch_id, count(*) AS n_rows FROM ({ORDERS}) GROUP BY batch_id ORDER BY batch_id",
     "latest_batch": f"SELECT {', '.join(SHIPMENT_KINDS)} FROM ({SHIPMENTS}) "
     f"WHERE batch_id = (SELECT max(batch_id) FROM ({SHIPMENTS}))",
+    "eda_histogram_wide": _eda_histogram(
+        f"SELECT {', '.join(f'o_totalprice + {i} AS p{i}' for i in range(len(WIDE_KINDS)))} FROM orders", WIDE_KINDS, 5
+    ),
+    "dq_stats_json_numeric": _dq(ORDERS, ALL_ORDER_KINDS)
+    + " SELECT batch_id, feature, round(min, 6) AS min, round(max, 6) AS max, round(mean, 6) AS mean, "
+    "round(std, 6) AS std FROM dq WHERE value_type = 'numeric'",
+    "time_parse_formats": f"""SELECT (o_orderkey % {len(RENDERED)})::INTEGER AS turn,
+  strftime(o_orderdate, '%Y-%m-%d') AS day, count(*) AS n FROM orders WHERE o_orderdate IS NOT NULL GROUP BY ALL""",
+    "stream_two_sources": f"""WITH o AS (SELECT batch_id, count(*) AS n_rows FROM ({ORDERS}) GROUP BY batch_id),
+  v AS (SELECT batch_id, count(*) AS n_rows FROM ({SHIPMENTS}) GROUP BY batch_id)
+  SELECT * FROM o UNION ALL SELECT * FROM v WHERE batch_id NOT IN (SELECT batch_id FROM o)""",
+    "raw_mixed_types": """SELECT strftime(o_orderdate, '%Y-%m') AS batch_id, o_orderkey,
+  CASE WHEN o_orderdate < '1998-01-01' THEN o_custkey::DOUBLE ELSE o_custkey + 0.5::DOUBLE END AS o_custkey,
+  CASE WHEN o_orderdate >= '1998-01-01' THEN 'n' END AS note FROM orders WHERE o_orderdate IS NOT NULL""",
+    "dq_listing": _dq(ORDERS, {"o_orderdate": CATEGORICAL, **ORDER_KINDS})
+    + """ SELECT row_number() OVER (ORDER BY batch_id, feature) - 1 AS place, batch_id, feature, unique_count,
+  (SELECT count(*) FROM v) AS ledger_rows FROM dq""",
+    "written_report": f"SELECT line FROM ({_report_lines(SHIPMENTS, ALL_SHIPMENT_KINDS)}) WHERE line <> ''",
+    "row_items_equals_one": _baskets(SHIPMENTS, SHIPMENT_KINDS, "l_orderkey, l_partkey, l_suppkey, l_linenumber,")
+    + """ SELECT * REPLACE (array_to_string(list_transform(list_filter(items, lambda x: x NOT LIKE 'l_linenumber=%'
+  OR x = 'l_linenumber=1'), lambda x: CASE WHEN x = 'l_linenumber=1' THEN 'l_linenumber' ELSE x END), ',') AS items)
+  FROM rows_items""",
     "update_run_dq": _profile(SHIPMENTS, UPDATE_KINDS),
 }
 ORACLES["batch_medians_ranged"] = ORACLES["batch_medians"]
 ORACLES["frequent_itemsets_stepwise"] = ORACLES["frequent_itemsets"]
 ORACLES["undated_rows"] = ORACLES["time_parse"]
+ORACLES["time_parse_bad"] = ORACLES["time_parse"]
 ORACLES["stream_ingest"] = ORACLES["batch_ledger"]
 ORACLES["update_run_rules"] = ORACLES["rules_orders"]

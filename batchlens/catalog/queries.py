@@ -8,10 +8,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, FloatType, StructType
 
 from batchlens.catalog.subjects import (
+    ALL_ORDER_KINDS,
+    ALL_SHIPMENT_KINDS,
     DOCUMENT_KINDS,
     EVENT_KINDS,
     ORDER_KINDS,
     SHIPMENT_KINDS,
+    all_orders,
+    all_shipments,
     labelled_documents,
     monthly_events,
     monthly_orders,
@@ -25,8 +29,8 @@ from batchlens.kinds import CATEGORICAL, NUMERIC
 from batchlens.operators import checks, cleaning, eda, itemsets, items, rules, trends
 from batchlens.operators.batching import BATCH, assign_batches, rows_per_batch
 from batchlens.operators.profile import numeric_statistics, profile, quality_records, text_counts, top_values
-from batchlens.plans.report import dq_lines
-from batchlens.plans.update import ingest, seed, update
+from batchlens.plans.report import dq_lines, write_report
+from batchlens.plans.update import backfill_dq, ingest, seed, update
 from batchlens.session import scratch_path, stage
 from batchlens.sources.csvs import read_csvs
 from batchlens.sources.warehouse import Warehouse, pending, split_late
@@ -35,6 +39,15 @@ from batchlens.streaming.ingest import ingest_stream
 # Thresholds of the cleaning queries.
 CLEANING = {"max_missing_rate": 0.3, "min_unique_ratio": 0.005, "max_unique_ratio": 0.9}
 
+# A table with 14 numeric columns.
+WIDE_KINDS = {f"p{i}": NUMERIC for i in range(14)}
+# Formats in which dates are rendered; a day-first text is left out where it would read as month-first.
+RENDERED = (
+    "yyyy-MM-dd", "M/d/yyyy", "M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy h:mm a", "M/d/yyyy H:mm:ss.SSS",
+    "M-d-yyyy", "d-MMM-yy", "d-MMM-yy H:mm:ss", "d-MMM-yyyy", "d MMM yyyy", "MMMM d, yyyy", "yyyy/M/d",
+    "yyyy/M/d H:mm:ss", "yyyy.M.d", "yyyyMMdd",
+)
+
 
 def _rounded(df: DataFrame, *exact: str) -> DataFrame:
     """Sums and interpolations of doubles to six decimals, as their last digits depend on the order of rows.
@@ -76,11 +89,11 @@ def batch_ledger(spark, sf_dir):
 
 
 def dq_profile(spark, sf_dir):
-    return _flat_profile(profile(shipments(spark, sf_dir), SHIPMENT_KINDS))
+    return _flat_profile(profile(all_shipments(spark, sf_dir), ALL_SHIPMENT_KINDS))
 
 
 def dq_profile_orders(spark, sf_dir):
-    return _flat_profile(profile(monthly_orders(spark, sf_dir), ORDER_KINDS))
+    return _flat_profile(profile(all_orders(spark, sf_dir), ALL_ORDER_KINDS))
 
 
 def dq_profile_events(spark, sf_dir):
@@ -88,57 +101,65 @@ def dq_profile_events(spark, sf_dir):
 
 
 def dq_missing_unique(spark, sf_dir):
-    dq = quality_records(shipments(spark, sf_dir), SHIPMENT_KINDS, top_k=None)
+    dq = quality_records(all_shipments(spark, sf_dir), ALL_SHIPMENT_KINDS, top_k=None)
     return dq.select(BATCH, "feature", "missing_rate", "unique_count")
 
 
 def dq_numeric_stats(spark, sf_dir):
-    stats = numeric_statistics(shipments(spark, sf_dir), SHIPMENT_KINDS)
+    stats = numeric_statistics(all_shipments(spark, sf_dir), ALL_SHIPMENT_KINDS)
     return _rounded(stats.filter(F.col("value_type") == NUMERIC).select(BATCH, "feature", "stats.*"))
 
 
 def dq_top10(spark, sf_dir):
-    cats = [c for c, k in SHIPMENT_KINDS.items() if k != NUMERIC]
-    return top_values(text_counts(shipments(spark, sf_dir), cats), 10)
+    cats = [c for c, k in ALL_SHIPMENT_KINDS.items() if k != NUMERIC]
+    return top_values(text_counts(all_shipments(spark, sf_dir), cats), 10)
 
 
 def dq_stats_json(spark, sf_dir):
     """Value counts of the categorical columns as JSON text."""
-    dq = profile(monthly_orders(spark, sf_dir), ORDER_KINDS)
+    dq = profile(all_orders(spark, sf_dir), ALL_ORDER_KINDS)
     return dq.filter(F.col("value_type") != NUMERIC).select(
         BATCH, "feature", stats_to_json(F.col("stats"), F.col("top")).alias("stats_json")
     )
 
 
+def dq_stats_json_numeric(spark, sf_dir):
+    """Statistics of the numeric columns as JSON text, read back as numbers."""
+    dq = profile(all_orders(spark, sf_dir), ALL_ORDER_KINDS).filter(F.col("value_type") == NUMERIC)
+    text = stats_to_json(F.col("stats"), F.col("top"))
+    parts = [F.get_json_object(text, f"$.{s}").cast("double").alias(s) for s in ("min", "max", "mean", "std")]
+    return _rounded(dq.select(BATCH, "feature", *parts))
+
+
 def dq_by_batch(spark, sf_dir):
-    return _rounded(trends.by_batch(profile(shipments(spark, sf_dir), SHIPMENT_KINDS)))
+    return _rounded(trends.by_batch(profile(all_shipments(spark, sf_dir), ALL_SHIPMENT_KINDS)))
 
 
 def dq_by_feature(spark, sf_dir):
-    found = trends.by_feature(profile(shipments(spark, sf_dir), SHIPMENT_KINDS))
+    found = trends.by_feature(profile(all_shipments(spark, sf_dir), ALL_SHIPMENT_KINDS))
     return _rounded(found, "min_missing_rate", "max_missing_rate")
 
 
 def dq_summary(spark, sf_dir):
-    return trends.summary(profile(shipments(spark, sf_dir), SHIPMENT_KINDS))
+    return trends.summary(profile(all_shipments(spark, sf_dir), ALL_SHIPMENT_KINDS))
 
 
 def report_lines(spark, sf_dir):
-    return dq_lines(stage(profile(shipments(spark, sf_dir), SHIPMENT_KINDS), "dq"))
+    return dq_lines(stage(profile(all_shipments(spark, sf_dir), ALL_SHIPMENT_KINDS), "dq"))
 
 
 # --- cleaning
 
 
 def clean_verdicts(spark, sf_dir):
-    return cleaning.verdicts(profile(shipments(spark, sf_dir), SHIPMENT_KINDS), **CLEANING)
+    return cleaning.verdicts(profile(all_shipments(spark, sf_dir), ALL_SHIPMENT_KINDS), **CLEANING)
 
 
 def clean_long(spark, sf_dir):
     """Kept cells by batch and feature, with a checksum of the numeric ones."""
-    df = shipments(spark, sf_dir)
-    verdicts = cleaning.verdicts(profile(df, SHIPMENT_KINDS), **CLEANING)
-    kept = cleaning.clean_long(df, SHIPMENT_KINDS, verdicts)
+    df = all_shipments(spark, sf_dir)
+    verdicts = cleaning.verdicts(profile(df, ALL_SHIPMENT_KINDS), **CLEANING)
+    kept = cleaning.clean_long(df, ALL_SHIPMENT_KINDS, verdicts)
     return _rounded(
         kept.groupBy(BATCH, "feature").agg(
             F.count(F.lit(1)).alias("cells"), F.avg("num").alias("mean"), F.max("text").alias("last_text")
@@ -161,11 +182,11 @@ def clean_batch_orders(spark, sf_dir):
 
 
 def eda_summary(spark, sf_dir):
-    return eda.summary(shipments(spark, sf_dir), SHIPMENT_KINDS)
+    return eda.summary(all_shipments(spark, sf_dir), ALL_SHIPMENT_KINDS)
 
 
 def eda_overview(spark, sf_dir):
-    return eda.overview(shipments(spark, sf_dir), SHIPMENT_KINDS)
+    return eda.overview(all_shipments(spark, sf_dir), ALL_SHIPMENT_KINDS)
 
 
 def eda_overview_documents(spark, sf_dir):
@@ -173,12 +194,12 @@ def eda_overview_documents(spark, sf_dir):
 
 
 def eda_describe(spark, sf_dir):
-    return eda.describe(shipments(spark, sf_dir), SHIPMENT_KINDS)
+    return eda.describe(all_shipments(spark, sf_dir), ALL_SHIPMENT_KINDS)
 
 
 def eda_describe_ranged(spark, sf_dir):
     """The same with quartiles ranked over range partitions, as for tables of any size."""
-    return eda.describe(shipments(spark, sf_dir), SHIPMENT_KINDS, small_table=0)
+    return eda.describe(all_shipments(spark, sf_dir), ALL_SHIPMENT_KINDS, small_table=0)
 
 
 def eda_describe_documents(spark, sf_dir):
@@ -186,20 +207,25 @@ def eda_describe_documents(spark, sf_dir):
 
 
 def eda_correlation(spark, sf_dir):
-    return _rounded(eda.correlation(shipments(spark, sf_dir), SHIPMENT_KINDS))
+    return _rounded(eda.correlation(all_shipments(spark, sf_dir), ALL_SHIPMENT_KINDS))
 
 
 def eda_histogram(spark, sf_dir):
-    return _rounded(eda.histogram(shipments(spark, sf_dir), SHIPMENT_KINDS))
+    return _rounded(eda.histogram(all_shipments(spark, sf_dir), ALL_SHIPMENT_KINDS))
 
 
 def eda_top10(spark, sf_dir):
-    return eda.top_values(shipments(spark, sf_dir), SHIPMENT_KINDS)
+    return eda.top_values(all_shipments(spark, sf_dir), ALL_SHIPMENT_KINDS)
 
 
 def eda_top10_documents(spark, sf_dir):
-    short = {c: k for c, k in DOCUMENT_KINDS.items() if c != "text"}
-    return eda.top_values(labelled_documents(spark, sf_dir), short)
+    return eda.top_values(labelled_documents(spark, sf_dir), DOCUMENT_KINDS)
+
+
+def eda_histogram_wide(spark, sf_dir):
+    """A table with more numeric columns than a page of charts would hold."""
+    df = table(spark, sf_dir, "orders").select(*[(F.col("o_totalprice") + i).alias(f"p{i}") for i in range(14)])
+    return _rounded(eda.histogram(df, WIDE_KINDS, bins=5))
 
 
 # --- rules
@@ -315,6 +341,8 @@ def csv_union(spark, sf_dir):
     )
     for part in (orders, customers):
         part.write.mode("append").option("header", True).csv(path)
+    # A subfolder is no part of the table, whatever its name looks like.
+    orders.write.option("header", True).csv(f"{path}/p=1")
     kinds = {"o_orderkey": NUMERIC, "custkey": NUMERIC, "o_totalprice": NUMERIC, "c_acctbal": NUMERIC}
     return read_csvs(spark, path, kinds).select("o_orderkey", "custkey", "o_totalprice", "segment", "c_acctbal")
 
@@ -328,6 +356,23 @@ def time_parse(spark, sf_dir):
     return rows_per_batch(months)
 
 
+def time_parse_formats(spark, sf_dir):
+    """Order dates written in every accepted format by turns, parsed back and counted by day."""
+    orders = table(spark, sf_dir, "orders").filter(F.col("o_orderdate").isNotNull())
+    turn = F.col("o_orderkey") % len(RENDERED)
+    shown = F.coalesce(*[F.when(turn == i, F.date_format("o_orderdate", f)) for i, f in enumerate(RENDERED)])
+    day = F.date_format(parse_timestamp(F.upper(shown)), "yyyy-MM-dd").alias("day")
+    return orders.select(turn.cast("int").alias("turn"), day).groupBy("turn", "day").agg(F.count(F.lit(1)).alias("n"))
+
+
+def time_parse_bad(spark, sf_dir):
+    """Texts that are no date count as missing when asked for; the others are read."""
+    orders = table(spark, sf_dir, "orders")
+    text = F.when(F.col("o_orderstatus") == "P", "soon").otherwise(F.date_format("o_orderdate", "yyyy.M.d"))
+    dated = orders.withColumn("o_orderdate", text)
+    return rows_per_batch(assign_batches(dated, "o_orderdate", on_bad="null"))
+
+
 def _warehouse(spark) -> Warehouse:
     return Warehouse(spark, scratch_path(spark, "warehouse"))
 
@@ -364,6 +409,59 @@ def stream_ingest(spark, sf_dir):
     return warehouse.list_batches().select(BATCH, "n_rows")
 
 
+def stream_two_sources(spark, sf_dir):
+    """Orders, then line items, as two streams with default names into one warehouse; the first to bring a month
+    stores it."""
+    warehouse = _warehouse(spark)
+    for name, day in (("orders", "o_orderdate"), ("lineitem", "l_shipdate")):
+        schema = table(spark, sf_dir, name).schema
+        stream = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+        ingest_stream(stream, warehouse, day, scratch_path(spark, "stream")).awaitTermination()
+    return warehouse.list_batches().select(BATCH, "n_rows")
+
+
+def raw_mixed_types(spark, sf_dir):
+    """Two ingests whose customer keys are whole numbers and decimals, read back as one table."""
+    warehouse = _warehouse(spark)
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    early = F.col("o_orderdate") < "1998-01-01"
+    ingest(warehouse, orders.filter(early), "o_orderdate")
+    later = orders.filter(~early).withColumn("o_custkey", F.col("o_custkey") + 0.5).withColumn("note", F.lit("n"))
+    ingest(warehouse, later, "o_orderdate")
+    return warehouse.raw().select(BATCH, "o_orderkey", "o_custkey", "note")
+
+
+def dq_listing(spark, sf_dir):
+    """Stored quality records as listed, with their place, and the rows of the ledger."""
+    warehouse = _warehouse(spark)
+    source = table(spark, sf_dir, "orders").select("o_orderdate", *ORDER_KINDS)
+    kinds = {"o_orderdate": CATEGORICAL, **ORDER_KINDS}
+    ingest(warehouse, source, "o_orderdate")
+    backfill_dq(warehouse, kinds)
+    total = warehouse.ledger().agg(F.sum("n_rows")).first()[0]
+    place = F.monotonically_increasing_id()
+    listed = warehouse.list_dq().select(BATCH, "feature", "unique_count").coalesce(1).withColumn("place", place)
+    return listed.select("place", BATCH, "feature", "unique_count", F.lit(total).alias("ledger_rows"))
+
+
+def written_report(spark, sf_dir):
+    """The quality part of a written report, line by line, as it is read back."""
+    warehouse = _warehouse(spark)
+    path = scratch_path(spark, "report")
+    warehouse.save_dq(profile(all_shipments(spark, sf_dir), ALL_SHIPMENT_KINDS), 84)
+    write_report(warehouse, ALL_SHIPMENT_KINDS, path)
+    return spark.read.text(f"{path}/text").select(F.col("value").alias("line")).filter("line <> ''")
+
+
+def row_items_equals_one(spark, sf_dir):
+    """Items where a whole-number category counts when it is 1, with a column that is always missing."""
+    keys = ("l_orderkey", "l_partkey", "l_suppkey")
+    df = shipments(spark, sf_dir, *keys).withColumn("never", F.lit(None).cast("string"))
+    kinds = {**SHIPMENT_KINDS, "never": CATEGORICAL}
+    out = items.with_items(df, kinds, exclude=keys, numeric_categorical="equals_one")
+    return out.select(BATCH, *keys, "l_linenumber", _joined("items"))
+
+
 _UPDATE_KINDS = {"l_shipdate": "categorical", **SHIPMENT_KINDS}
 
 
@@ -403,6 +501,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         dq_numeric_stats,
         dq_top10,
         dq_stats_json,
+        dq_stats_json_numeric,
         dq_by_batch,
         dq_by_feature,
         dq_summary,
@@ -420,6 +519,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         eda_histogram,
         eda_top10,
         eda_top10_documents,
+        eda_histogram_wide,
         batch_medians,
         batch_medians_ranged,
         row_items,
@@ -435,10 +535,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         json_roundtrip,
         csv_union,
         time_parse,
+        time_parse_formats,
+        time_parse_bad,
         undated_rows,
         latest_batch,
         seed_from_csv,
         stream_ingest,
+        stream_two_sources,
+        raw_mixed_types,
+        dq_listing,
+        written_report,
+        row_items_equals_one,
         update_run_dq,
         update_run_rules,
     )

@@ -17,8 +17,18 @@ SHIPMENT_KINDS = {
     "l_linestatus": CATEGORICAL,
     "l_linenumber": CATEGORICAL,
 }
+# Profiles and exploratory tables cover all columns; rules are mined over the ones above.
+ALL_SHIPMENT_KINDS = {
+    "l_orderkey": NUMERIC,
+    "l_partkey": NUMERIC,
+    "l_suppkey": NUMERIC,
+    "l_shipdate": CATEGORICAL,
+    **SHIPMENT_KINDS,
+}
 ORDER_KINDS = {"o_totalprice": NUMERIC, "o_orderstatus": CATEGORICAL, "o_orderpriority": CATEGORICAL}
+ALL_ORDER_KINDS = {"o_orderkey": NUMERIC, "o_custkey": NUMERIC, "o_orderdate": CATEGORICAL, **ORDER_KINDS}
 DOCUMENT_KINDS = {
+    "doc_id": NUMERIC,
     "text": CATEGORICAL,
     "lang": CATEGORICAL,
     "source": CATEGORICAL,
@@ -26,7 +36,14 @@ DOCUMENT_KINDS = {
     "quality": CATEGORICAL,
     "toxic": CATEGORICAL,
 }
-EVENT_KINDS = {"user_id": NUMERIC, "event_type": CATEGORICAL, "value": NUMERIC}
+EVENT_KINDS = {
+    "event_id": NUMERIC,
+    "ts": CATEGORICAL,
+    "user_id": NUMERIC,
+    "event_type": CATEGORICAL,
+    "value": NUMERIC,
+    "props": CATEGORICAL,
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,11 +62,19 @@ def shipments(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     return df.select(BATCH, *extra, *SHIPMENT_KINDS)
 
 
+def all_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shipments(spark, sf_dir, *(c for c in ALL_SHIPMENT_KINDS if c not in SHIPMENT_KINDS))
+
+
 def monthly_orders(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     df = split_batches(table(spark, sf_dir, "orders"), "o_orderdate")
     return df.select(BATCH, *extra, *ORDER_KINDS)
 
 
+def all_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return monthly_orders(spark, sf_dir, *(c for c in ALL_ORDER_KINDS if c not in ORDER_KINDS))
+
+
 def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return documents.join(labels, "doc_id", "left").select(*DOCUMENT_KINDS)

@@ -14,28 +14,42 @@ from batchlens.functions.values import column
 FORMATS = (
     "M/d/yyyy",
     "M/d/yyyy H:mm:ss",
+    "M/d/yyyy H:mm",
+    "M/d/yyyy h:mm a",
+    "M/d/yyyy H:mm:ss.SSS",
     "M/d/yy",
+    "M-d-yyyy",
     "d/M/yyyy",
     "d/M/yyyy H:mm:ss",
     "d/M/yy",
+    "d-M-yyyy",
     "d-MMM-yy",
+    "d-MMM-yy H:mm:ss",
     "d-MMM-yyyy",
     "d MMM yyyy",
+    "MMMM d, yyyy",
     "yyyy/M/d",
+    "yyyy/M/d H:mm:ss",
+    "yyyy.M.d",
+    "yyyy-M",
     "yyyyMMdd",
 )
 # What the parts of a format look like in a text.
 SHAPES = (
     ("yyyy", r"\d{4}"),
     ("yy", r"\d{2}"),
+    ("MMMM", r"[A-Za-z]{3,}"),
     ("MMM", r"[A-Za-z]{3,}"),
     ("MM", r"\d{2}"),
     ("M", r"\d{1,2}"),
     ("dd", r"\d{2}"),
     ("d", r"\d{1,2}"),
     ("H", r"\d{1,2}"),
+    ("h", r"\d{1,2}"),
     ("mm", r"\d{2}"),
     ("ss", r"\d{2}"),
+    ("SSS", r"\d{3}"),
+    ("a", r"[AaPp][Mm]"),
 )
 # Fixed value: two-digit years from here on belong to the 1900s.
 PIVOT = 69
@@ -45,7 +59,7 @@ def _shape(fmt: str) -> str:
     """Regular expression of the texts a format may fit. A failed parse costs far more than a mismatch."""
     looks = dict(SHAPES)
     parts = re.split("(" + "|".join(looks) + ")", fmt)
-    return "^" + "".join(looks.get(part, part) for part in parts) + "$"
+    return "^" + "".join(looks.get(part) or re.escape(part) for part in parts) + "$"
 
 
 def _attempt(c: Column, fmt: str, pivot: int) -> Column:

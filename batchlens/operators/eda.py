@@ -108,8 +108,8 @@ def correlation(df: DataFrame, kinds: Mapping[str, str], pairs_per_pass: int = 8
     return reduce(DataFrame.unionAll, parts)
 
 
-def histogram(df: DataFrame, kinds: Mapping[str, str], *, bins: int = 30, max_columns: int = 12) -> DataFrame:
-    """Equal-width histograms of the first numeric columns: (feature, bin, lo, hi, cnt).
+def histogram(df: DataFrame, kinds: Mapping[str, str], *, bins: int = 30, max_columns: int | None = None) -> DataFrame:
+    """Equal-width histograms of the numeric columns, or the first max_columns: (feature, bin, lo, hi, cnt).
 
     The last bin is closed on the right. A constant column gets a range of 1 around its value, a
     column without values the range 0 to 1. The ranges, two numbers per column, are computed first
@@ -167,5 +167,4 @@ def _with_bin(cells: DataFrame, bins: int) -> DataFrame:
 
 def top_values(df: DataFrame, kinds: Mapping[str, str], k: int = 10) -> DataFrame:
     """The k most frequent values of each categorical column over all rows."""
-    cats = of_kind(known(df, kinds), CATEGORICAL)
-    return prof.top_values(prof.text_counts(df, cats, ()), k, ())
+    return prof.top_long_values(df, of_kind(known(df, kinds), CATEGORICAL), k)

@@ -16,7 +16,10 @@ from pyspark.sql import DataFrame, Window, functions as F
 from batchlens.functions.values import number, text
 from batchlens.kinds import CATEGORICAL, NUMERIC, of_kind, resolve
 from batchlens.operators.batching import BATCH
+from batchlens.session import stage
 
+# Characters of a text that are ranked before the text itself is read.
+HEAD = 256
 STATS = ("min", "max", "mean", "std")
 STATS_TYPE = "struct<min:double,max:double,mean:double,std:double>"
 
@@ -44,6 +47,14 @@ def text_counts(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (BA
     return cells.groupBy(*keys, "feature", "text").agg(F.count(F.lit(1)).alias("cnt"))
 
 
+def digest_counts(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (BATCH,)) -> DataFrame:
+    """Rows per (keys, feature, head, digest): the shuffle carries no text beyond its first HEAD characters."""
+    cells = text_cells(df, columns, keys).select(
+        *keys, "feature", F.left("text", F.lit(HEAD)).alias("head"), F.sha2("text", 256).alias("digest")
+    )
+    return cells.groupBy(*keys, "feature", "head", "digest").agg(F.count(F.lit(1)).alias("cnt"))
+
+
 def distinct_counts(counts: DataFrame, keys: Sequence[str] = (BATCH,)) -> DataFrame:
     """Exact number of distinct values, and of valid rows, per (keys, feature)."""
     return counts.groupBy(*keys, "feature").agg(
@@ -64,6 +75,25 @@ def top_values(counts: DataFrame, k: int = 10, keys: Sequence[str] = (BATCH,)) -
     )
 
 
+def top_long_values(df: DataFrame, columns: Sequence[str], k: int = 10) -> DataFrame:
+    """The k most frequent texts of each column over all rows, where texts may be long.
+
+    Values are counted by digest and ranked by count and head; all that tie within the first k stay. These few are
+    written out, and only for those longer than their head is the text read again, for the final order.
+    """
+    order = Window.partitionBy("feature").orderBy(F.desc("cnt"), F.asc("head"))
+    ranked = digest_counts(df, columns, ()).withColumn("place", F.rank().over(order))
+    likely = stage(ranked.filter(F.col("place") <= k).drop("place"), "top-values")
+    cut = F.char_length("head") >= HEAD
+    values = likely.filter(~cut).select("feature", F.col("head").alias("text"), "cnt")
+    if not likely.filter(cut).isEmpty():
+        wanted = likely.filter(cut).select("feature", "digest", "cnt")
+        cells = text_cells(df, columns, ()).filter(F.char_length("text") >= HEAD)
+        whole = cells.withColumn("digest", F.sha2("text", 256)).join(wanted, ["feature", "digest"])
+        values = values.unionByName(whole.select("feature", "text", "cnt").distinct())
+    return top_values(values, k, ())
+
+
 def numeric_statistics(
     df: DataFrame, kinds: Mapping[str, str], keys: Sequence[str] = (BATCH,)
 ) -> DataFrame:
@@ -107,7 +137,7 @@ def quality_records(
     if nums:
         counted.append(distinct_counts(number_counts(df, nums, keys), keys))
     if cats:
-        texts = text_counts(df, cats, keys)
+        texts = text_counts(df, cats, keys) if top_k is not None else digest_counts(df, cats, keys)
         counted.append(distinct_counts(texts, keys))
         if top_k is not None:
             entries = F.sort_array(F.collect_list(F.struct("rank", "value", "cnt")))

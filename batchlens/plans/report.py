@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from batchlens.functions.texts import fixed, percent, plain, table_row, thousands
 from batchlens.kinds import CATEGORICAL, NUMERIC, of_kind
 from batchlens.operators import eda, trends
-from batchlens.session import stage
+from batchlens.session import configure, scratch_scope, stage
 from batchlens.sources.warehouse import Warehouse
 
 LINES = "section int, ord string, line string"
@@ -200,8 +200,14 @@ def write_lines(lines: DataFrame, path: str) -> None:
 def write_report(warehouse: Warehouse, kinds: Mapping[str, str], path: str) -> list[str]:
     """Write the report below path: text/ and one Parquet table per part; returns the table names.
 
-    The quality part is always written, the exploratory part when rows are stored.
+    The quality part is always written, the exploratory part when rows are stored. Intermediate tables
+    are gone when it ends.
     """
+    with scratch_scope(configure(warehouse.spark)):
+        return _write_report(warehouse, kinds, path)
+
+
+def _write_report(warehouse: Warehouse, kinds: Mapping[str, str], path: str) -> list[str]:
     dq = warehouse.dq()
     tables = dq_tables(dq)
     lines = dq_lines(dq)

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Mapping
+from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from batchlens.functions.dates import FORMATS, PIVOT
 from batchlens.operators.batching import assign_batches
 from batchlens.operators.profile import profile
 from batchlens.operators.rules import MIN_RULES, mine_rules
+from batchlens.session import configure, scratch_scope
 from batchlens.sources.csvs import read_csvs
 from batchlens.sources.warehouse import Saved, Warehouse
 
@@ -21,13 +23,34 @@ class Updated:
     mined: int
 
 
-def seed(warehouse: Warehouse, csv_path: str, kinds: Mapping[str, str], time_column: str, **reading) -> Saved:
+def seed(
+    warehouse: Warehouse,
+    csv_path: str,
+    kinds: Mapping[str, str],
+    time_column: str,
+    *,
+    multiline: bool = True,
+    on_bad: str = "error",
+    **saving,
+) -> Saved:
     """Ingest a CSV folder: merge the files, type them, assign batches, store the new ones."""
-    return ingest(warehouse, read_csvs(warehouse.spark, csv_path, kinds, **reading), time_column)
+    rows = read_csvs(configure(warehouse.spark), csv_path, kinds, multiline=multiline, on_bad=on_bad)
+    return ingest(warehouse, rows, time_column, on_bad=on_bad, **saving)
 
 
-def ingest(warehouse: Warehouse, df: DataFrame, time_column: str, **saving) -> Saved:
-    return warehouse.save(assign_batches(df, time_column), **saving)
+def ingest(
+    warehouse: Warehouse,
+    df: DataFrame,
+    time_column: str,
+    *,
+    formats: Sequence[str] = FORMATS,
+    pivot: int = PIVOT,
+    on_bad: str = "error",
+    **saving,
+) -> Saved:
+    """Store the new batches of df. With on_bad='null' a date text that fits no format makes its row undated."""
+    configure(warehouse.spark)
+    return warehouse.save(assign_batches(df, time_column, formats=formats, pivot=pivot, on_bad=on_bad), **saving)
 
 
 def backfill_dq(warehouse: Warehouse, kinds: Mapping[str, str], *, unknown: str = "error") -> int:
@@ -64,18 +87,25 @@ def update(
     late: str = "drop",
     unknown: str = "error",
     retry_empty: bool = True,
+    formats: Sequence[str] = FORMATS,
+    pivot: int = PIVOT,
+    on_bad: str = "error",
+    multiline: bool = True,
     **mining,
 ) -> Updated:
     """Bring the warehouse up to date with a CSV folder or a DataFrame.
 
     Time and target columns are profiled but not mined. A run that died is completed by the next
-    one, because every step takes the batches that still lack its result. Further arguments go to
-    the mining.
+    one, because every step takes the batches that still lack its result. formats, pivot and on_bad
+    tell how dates are read, multiline and on_bad how CSV files are; further arguments go to the mining.
+    Intermediate tables of the run are gone when it ends.
     """
-    df = read_csvs(warehouse.spark, source, kinds) if isinstance(source, str) else source
-    saved = ingest(warehouse, df, time_column, late=late)
-    profiled = backfill_dq(warehouse, kinds, unknown=unknown)
+    spark = configure(warehouse.spark)
     exclude = [time_column] if target is None else [time_column, target]
     mining["min_rules"] = min_rules
-    mined = backfill_rules(warehouse, kinds, exclude, retry_empty=retry_empty, **mining)
+    with scratch_scope(spark):
+        df = read_csvs(spark, source, kinds, multiline=multiline, on_bad=on_bad) if isinstance(source, str) else source
+        saved = ingest(warehouse, df, time_column, formats=formats, pivot=pivot, on_bad=on_bad, late=late)
+        profiled = backfill_dq(warehouse, kinds, unknown=unknown)
+        mined = backfill_rules(warehouse, kinds, exclude, retry_empty=retry_empty, **mining)
     return Updated(saved, profiled, mined)

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_scratch: dict[str, str] = {}
+_open_scopes: list[list[str]] = []
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -20,33 +19,52 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """Folder for intermediate tables: one per application below spark.checkpoint.dir.
+def _hadoop_path(spark: SparkSession, path: str):
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
+
 
-    Only a local session may fall back to a temporary folder of this machine, which is
-    removed at exit; a cluster has to name a folder that all its executors share.
+def scratch_dir(spark: SparkSession) -> str:
+    """Folder for intermediate tables, one per application: below spark.checkpoint.dir, else below the
+    checkpoint folder of the context, else below the warehouse, where it goes when the application ends.
     """
     app = spark.conf.get("spark.app.id", "local")
     base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        of_context = spark._jsc.sc().getCheckpointDir()
+        base = of_context.get() if of_context.isDefined() else None
     if base:
         return f"{base.rstrip('/')}/batchlens-{app}"
-    if app not in _local_scratch:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        path = tempfile.mkdtemp(prefix="batchlens-")
-        atexit.register(shutil.rmtree, path, ignore_errors=True)
-        _local_scratch[app] = path
-    return _local_scratch[app]
+    path = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch/batchlens-{app}"
+    system, folder = _hadoop_path(spark, path)
+    system.mkdirs(folder)
+    system.deleteOnExit(folder)
+    return path
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    for paths in _open_scopes[-1:]:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes the intermediate tables that were made within it; what leaves it must be written by then."""
+    _open_scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _open_scopes.pop():
+            system, folder = _hadoop_path(spark, path)
+            system.delete(folder, True)
 
 
 def clear_scratch(spark: SparkSession) -> None:
     """Delete the intermediate tables of this application, once no DataFrame needs them any more."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    system, folder = _hadoop_path(spark, scratch_dir(spark))
+    system.delete(folder, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import csv
+import io
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -37,45 +38,85 @@ NA_TOKENS = (
 )
 
 
+# Name of the column that holds what a row has beyond its header.
+BEYOND = "_beyond_header"
+
+
 def csv_files(spark: SparkSession, path: str) -> list[str]:
-    """CSV files directly below the folder in name order; FileNotFoundError when there are none."""
-    try:
-        listing = (
-            spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).select("path")
-        )
-        files = sorted(r.path for r in listing.collect())
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        files = []
+    """CSV files directly in the folder, in name order; FileNotFoundError when there are none.
+
+    Subfolders are never looked into, whatever their names.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = system.listStatus(folder) if system.exists(folder) else []
+    names = (s.getPath() for s in found if s.isFile())
+    files = sorted(p.toString() for p in names if p.getName().endswith(".csv"))
     if not files:
         raise FileNotFoundError(f"no CSV files in {path}")
     return files
 
 
+def _header(spark: SparkSession, file: str) -> tuple[str, ...]:
+    """Column names of a file, from its first lines; a repeated name gets a number, a blank one its place."""
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(file)
+    stream = place.getFileSystem(spark._jsc.hadoopConfiguration()).open(place)
+    lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+    try:
+        text = ""
+        while not text.strip() or text.count('"') % 2:
+            line = lines.readLine()
+            if line is None:
+                break
+            text = f"{text}\n{line}" if text.strip() else line
+    finally:
+        lines.close()
+    cells = next(csv.reader(io.StringIO(text.removeprefix("\ufeff"))), [])
+    names: list[str] = []
+    for i, cell in enumerate(cells):
+        name, k = cell or f"_c{i}", 0
+        while (name if not k else f"{name}.{k}") in names:
+            k += 1
+        names.append(f"{name}.{k}" if k else name)
+    return tuple(names)
+
+
 def _reader(spark: SparkSession, multiline: bool):
     return spark.read.option("header", True).option("multiLine", multiline).option("escape", '"')
 
 
-def read_text_csvs(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+def read_text_csvs(
+    spark: SparkSession, path: str, multiline: bool = True, on_bad: str = "error"
+) -> DataFrame:
     """All files as STRING columns, merged by name; a column a file lacks is NULL in its rows.
 
     Files with the same header are read by one scan, so the plan has as many scans as there are
     distinct headers. With multiline=False large files are split between tasks; it needs data
-    without line breaks inside quoted cells.
+    without line breaks inside quoted cells. A row with more cells than its header raises; with
+    on_bad='null' the cells beyond it are left out.
     """
     files = csv_files(spark, path)
     with ThreadPoolExecutor(16) as pool:
-        headers = list(pool.map(lambda f: tuple(_reader(spark, multiline).csv(f).columns), files))
+        headers = list(pool.map(lambda f: _header(spark, f), files))
     groups: dict[tuple[str, ...], list[str]] = {}
     for file, header in zip(files, headers):
         if not header:
             raise ValueError(f"no header in {file}")
         groups.setdefault(header, []).append(file)
+    spellings: dict[str, str] = {}
+    for name in (c for header in groups for c in header):
+        if spellings.setdefault(name.lower(), name) != name:
+            raise ValueError(f"columns {spellings[name.lower()]!r} and {name!r} differ in case only")
     parts = []
     for header, members in groups.items():
-        schema = StructType([StructField(c, StringType()) for c in header])
-        parts.append(_reader(spark, multiline).schema(schema).csv(members))
+        schema = StructType([StructField(c, StringType()) for c in (*header, BEYOND)])
+        rows = _reader(spark, multiline).schema(schema).csv(members)
+        if on_bad == "error":
+            message = F.concat(F.lit("row with more cells than its header: "), F.col(BEYOND))
+            # A filter, so that no projection above can leave the check out.
+            rows = rows.filter(F.when(F.col(BEYOND).isNull(), True).otherwise(F.raise_error(message).cast("boolean")))
+        parts.append(rows.drop(BEYOND))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
@@ -109,5 +150,5 @@ def read_csvs(
     on_bad: str = "error",
 ) -> DataFrame:
     """A CSV folder as one table: merged by name, missing-value texts blanked, numerics cast."""
-    df = blank_tokens(read_text_csvs(spark, path, multiline))
+    df = blank_tokens(read_text_csvs(spark, path, multiline, on_bad))
     return typed(df, kinds or {}, on_bad)

@@ -14,10 +14,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DataType, DoubleType, NumericType, StringType, StructField, StructType
 
 from batchlens.functions.values import column
 from batchlens.operators.batching import BATCH, rows_per_batch
@@ -94,8 +95,9 @@ class Warehouse:
     def raw(self, batch_ids: Sequence[str] | None = None) -> DataFrame:
         """Rows of all or of the given batches with their batch_id; only their partitions are read.
 
-        The columns come from the commits, so files are not opened for their schema, and ingests
-        with different columns are merged by name.
+        The columns come from the commits, so files are not opened for their schema. Ingests with
+        different columns are merged by name: each layout is read as it was written, by one scan, and
+        a column whose type differs between them becomes DOUBLE if all are numbers, STRING otherwise.
         """
         commits = self.commits()
         if batch_ids is not None:
@@ -104,14 +106,28 @@ class Warehouse:
         layouts = [r.fields for r in commits.select("fields").distinct().orderBy("fields").collect()]
         if not layouts:
             return self.spark.createDataFrame([], f"{BATCH} string")
-        fields = {f.name: f for ddl in layouts for f in StructType.fromDDL(ddl).fields}
+        schemas = {ddl: StructType.fromDDL(ddl) for ddl in layouts}
+        types: dict[str, set] = {}
+        for f in (f for schema in schemas.values() for f in schema.fields):
+            types.setdefault(f.name, set()).add(f.dataType)
         tags = [StructField("ingest_id", StringType()), StructField(BATCH, StringType())]
-        rows = self._read("raw", StructType([*fields.values(), *tags]))
-        if batch_ids is not None:
-            rows = rows.filter(F.col(BATCH).isin(list(batch_ids)))
-        valid = commits.select("ingest_id", BATCH)
-        kept = rows.join(valid, ["ingest_id", BATCH], "left_semi")
-        return kept.select(BATCH, *[column(c) for c in fields])
+        parts = []
+        for ddl, schema in schemas.items():
+            valid = commits.filter(F.col("fields") == ddl).select("ingest_id", BATCH)
+            paths = self._paths_of(valid) if len(layouts) > 1 else [self._path("raw")]
+            source = self.spark.read.option("basePath", self._path("raw")).schema(StructType([*schema.fields, *tags]))
+            rows = source.parquet(*paths)
+            if batch_ids is not None:
+                rows = rows.filter(F.col(BATCH).isin(list(batch_ids)))
+            kept = rows.join(valid, ["ingest_id", BATCH], "left_semi")
+            cells = [column(f.name).cast(_common(types[f.name])).alias(f.name) for f in schema.fields]
+            parts.append(kept.select(BATCH, *cells))
+        merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        return merged.select(BATCH, *[column(c) for c in types])
+
+    def _paths_of(self, valid: DataFrame) -> list[str]:
+        """Folders of the ingests, of which there is one per run or micro-batch."""
+        return sorted(f"{self._path('raw')}/ingest_id={r[0]}" for r in valid.select("ingest_id").distinct().collect())
 
     def load_batch(self, batch_id: str) -> DataFrame:
         """Rows of one batch without the tag; ValueError when it is not stored."""
@@ -145,16 +161,29 @@ class Warehouse:
 
     def save_batch(self, batch_id: str, df: DataFrame) -> bool:
         """Store one batch; False when it is stored already, in which case nothing is written."""
-        return self.save(df.withColumn(BATCH, F.lit(batch_id))).inserted == 1
+        tagged = df.withColumn(BATCH, F.lit(batch_id))
+        if self.save(tagged).inserted == 1:
+            return True
+        if not df.isEmpty() or not self.commits().filter(F.col(BATCH) == batch_id).isEmpty():
+            return False
+        # A batch without rows is stored as well: its commit says so.
+        ingest_id = uuid.uuid4().hex
+        tagged.limit(0).write.partitionBy(BATCH).parquet(f"{self._path('raw')}/ingest_id={ingest_id}")
+        none = self.spark.createDataFrame([(batch_id, 0)], f"{BATCH} string, n_rows bigint")
+        self._commit(none, ingest_id, tagged)
+        return True
 
     def _append(self, rows: DataFrame, ingest_id: str) -> None:
         path = f"{self._path('raw')}/ingest_id={ingest_id}"
-        fields = StructType([f for f in rows.schema.fields if f.name != BATCH])
         # Files per batch, with a batch too large for one task split between several.
         balanced = rows.hint("rebalance", BATCH)
         balanced.write.partitionBy(BATCH).mode("overwrite").parquet(path)
         written = self.spark.read.schema(StructType([StructField(BATCH, StringType())])).parquet(path)
-        rows_per_batch(written).select(
+        self._commit(rows_per_batch(written), ingest_id, rows)
+
+    def _commit(self, counts: DataFrame, ingest_id: str, rows: DataFrame) -> None:
+        fields = StructType([f for f in rows.schema.fields if f.name != BATCH])
+        counts.select(
             BATCH,
             F.lit(ingest_id).alias("ingest_id"),
             "n_rows",
@@ -233,5 +262,12 @@ class Warehouse:
         return [r[0] for r in left.select(BATCH).orderBy(BATCH).collect()]
 
 
+def _common(types: set) -> DataType:
+    """The type that values of all the types can be read as."""
+    if len(types) == 1:
+        return next(iter(types))
+    return DoubleType() if all(isinstance(t, NumericType) for t in types) else StringType()
+
+
 def _ddl(schema: StructType) -> str:
     return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema.fields)

@@ -102,3 +102,29 @@ def test_json_roundtrip_of_missing_values(spark):
     for source in (text, foreign):
         rows = {tuple(r) for r in row_from_json(source, "row_json", schema).collect()}
         assert rows == {(None, None), (1.5, "u")}
+
+
+def test_subfolders_with_partition_names_are_ignored(spark, tmp_path):
+    (tmp_path / "p=1").mkdir()
+    (tmp_path / "a.csv").write_text("a,b\n1,x\n")
+    (tmp_path / "p=1" / "b.csv").write_text("a,b\n2,y\n")
+    assert [tuple(r) for r in read_csvs(spark, str(tmp_path)).collect()] == [("1", "x")]
+
+
+@pytest.mark.parametrize("multiline", [True, False])
+def test_rows_longer_than_their_header(spark, tmp_path, multiline):
+    (tmp_path / "a.csv").write_text("a,b\n1,x\n2,y,EXTRA\n3\n")
+    with pytest.raises(Exception, match="more cells than its header"):
+        read_csvs(spark, str(tmp_path), multiline=multiline).select("a").collect()
+    kept = read_csvs(spark, str(tmp_path), multiline=multiline, on_bad="null").collect()
+    assert [tuple(r) for r in kept] == [("1", "x"), ("2", "y"), ("3", None)]
+
+
+def test_header_names(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('\n"x, y",x,x,,"q ""1"""\n1,2,3,4,5\n')
+    df = read_csvs(spark, str(tmp_path))
+    assert df.columns == ["x, y", "x", "x.1", "_c3", 'q "1"']
+    assert [tuple(r) for r in df.collect()] == [("1", "2", "3", "4", "5")]
+    (tmp_path / "b.csv").write_text("X\n1\n")
+    with pytest.raises(ValueError, match="differ in case only"):
+        read_csvs(spark, str(tmp_path))

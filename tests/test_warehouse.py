@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from batchlens.operators import checks
 from batchlens.operators.batching import BATCH
 from batchlens.plans.report import dq_lines, write_report
 from batchlens.plans.update import backfill_rules, seed, update
+from batchlens.session import scratch_dir
 from batchlens.sources.warehouse import Warehouse
 from batchlens.streaming.ingest import ingest_stream
 
@@ -253,3 +255,62 @@ def test_files_follow_batches(spark, warehouse, tmp_path):
     assert json.dumps({r[BATCH]: r.n_rows for r in warehouse.list_batches().collect()}) == (
         '{"2024-01": 50000, "2024-02": 10000}'
     )
+
+
+def test_two_streams_and_a_fresh_checkpoint(spark, tmp_path):
+    """A stream is not taken for another one, or for an earlier run of itself."""
+    schema = "day timestamp, x long"
+    for name, month in (("one", 1), ("two", 2)):
+        rows = spark.sql(f"SELECT timestamp '2024-0{month}-01' AS day, 1L AS x")
+        rows.write.parquet(str(tmp_path / name))
+    warehouse = Warehouse(spark, str(tmp_path / "w"))
+
+    def run(name, checkpoint, **options):
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / name))
+        ingest_stream(stream, warehouse, "day", str(tmp_path / checkpoint), **options).awaitTermination()
+        return {r.batch_id: r.n_rows for r in warehouse.list_batches().collect()}
+
+    assert run("one", "c1") == {"2024-01": 1}
+    assert run("two", "c2") == {"2024-01": 1, "2024-02": 1}
+    assert run("one", "c1", late="append") == {"2024-01": 1, "2024-02": 1}  # nothing new since its checkpoint
+    assert run("one", "c3", late="append") == {"2024-01": 2, "2024-02": 1}  # a fresh checkpoint reads all again
+
+
+def test_an_empty_batch_is_stored_once(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    none = spark.createDataFrame([], "x long")
+    assert warehouse.save_batch("2024-01", none)
+    assert [(r.batch_id, r.n_rows) for r in warehouse.list_batches().collect()] == [("2024-01", 0)]
+    assert not warehouse.save_batch("2024-01", none)
+    assert not warehouse.save_batch("2024-01", spark.range(2).withColumnRenamed("id", "x"))
+    assert warehouse.load_batch("2024-01").collect() == []
+
+
+def test_raw_rows_of_differing_types(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    warehouse.save_batch("2024-01", spark.sql("SELECT 1 AS x, 'a' AS y, 5L AS z"))
+    warehouse.save_batch("2024-02", spark.sql("SELECT 2.5D AS x, 7 AS y"))
+    df = warehouse.raw()
+    assert dict(df.dtypes) == {"batch_id": "string", "x": "double", "y": "string", "z": "bigint"}
+    assert {tuple(r) for r in df.collect()} == {("2024-01", 1.0, "a", 5), ("2024-02", 2.5, "7", None)}
+    assert warehouse.load_batch("2024-02").select("x").first()[0] == 2.5
+
+
+def test_update_leaves_no_staged_table(spark, tmp_path):
+    rows = [(f"2024-0{1 + k % 2}-03", float(k), "ab"[k % 3 == 0]) for k in range(60)] + [("soon", 1.0, "a")]
+    df = spark.createDataFrame(rows, "day string, x double, y string")
+    warehouse = Warehouse(spark, str(tmp_path / "w"))
+
+    def staged():
+        folder = scratch_dir(spark)
+        return sorted(os.listdir(folder)) if os.path.isdir(folder) else []
+
+    before = staged()
+    kinds = {"day": CATEGORICAL, "x": NUMERIC, "y": CATEGORICAL}
+    with pytest.raises(Exception, match="unparseable time value"):
+        update(warehouse, df, kinds, "day", min_rules=1)
+    found = update(warehouse, df, kinds, "day", min_rules=1, on_bad="null")
+    assert (found.saved.inserted, found.saved.undated_rows, found.profiled, found.mined) == (2, 1, 2, 2)
+    write_report(warehouse, kinds, str(tmp_path / "report"))
+    assert staged() == before
+    assert warehouse.rules().count() > 0
