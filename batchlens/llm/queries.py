@@ -16,6 +16,7 @@ from batchlens.llm.packing import pack
 from batchlens.llm.repeats import remove_repeats
 from batchlens.llm.sentencepiece_bpe import decode, encode
 from batchlens.llm.sharding import shard
+from batchlens.llm.token_counts import count_with_edits, derived_edits
 from batchlens.llm.topk import top_k
 from batchlens.llm.word_bpe import word_encoder
 
@@ -30,6 +31,13 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document before and after four edits."""
+    docs = table(spark, sf_dir, "documents")
+    counted = count_with_edits(docs, derived_edits(), f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
+    return counted.drop("text_edited")
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = f"{TOKENIZERS}/piece_bpe_32k.model"
     both = decode(encode(table(spark, sf_dir, "documents"), model), model)
@@ -83,6 +91,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_token_counts": op3_token_counts,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_quality": op5_quality,
     "op6_suffix_dedup": op6_suffix_dedup,
