@@ -118,6 +118,7 @@ class Parsed:
     """Triggers of the `length`-byte strings that lie within one document of a buffer."""
 
     def __init__(self, buffer: np.ndarray, sizes: np.ndarray, length: int, gram: int):
+        self.buffer = buffer
         self.prints = Fingerprints(buffer)
         self.ends = np.cumsum(sizes)
         self.starts = self.ends - sizes
@@ -216,20 +217,49 @@ def _pack(schema: pa.Schema):
     return run
 
 
-def _dealt(deal_by: np.ndarray, columns: dict[str, np.ndarray], unit: int, parts: int, schema: pa.Schema, **whole):
-    """Rows of one unit's entries by part; `whole` columns go with every row."""
+def _packed(values: np.ndarray) -> bytes:
+    """Numbers in rising order, as compressed differences, byte plane by byte plane."""
+    steps = np.diff(values, prepend=values.dtype.type(0))
+    return zstandard.compress(steps.view(np.uint8).reshape(len(values), -1).T.tobytes(), 1)
+
+
+def _unpacked(packed: bytes, dtype) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(np.dtype(dtype).itemsize, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(dtype).ravel(), dtype=dtype)
+
+
+def _part_order(deal_by: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of entries by part, and where each part begins in it."""
     part = (deal_by % deal_by.dtype.type(parts)).astype(np.int32)
     order = np.argsort(part, kind="stable")
-    edges = np.searchsorted(part[order], np.arange(parts + 1))
+    return order, np.searchsorted(part[order], np.arange(parts + 1))
+
+
+def _dealt(deal_by: np.ndarray, columns: dict, unit: int, parts: int, schema: pa.Schema, **whole):
+    """Rows of one unit's entries by part: `columns` has arrays and how to write them, `whole` goes with every row."""
+    order, edges = _part_order(deal_by, parts)
     full = np.flatnonzero(np.diff(edges))
     rows = {"part": full, "unit": [unit] * len(full)}
-    for name, array in columns.items():
+    for name, (array, write) in columns.items():
         array = array[order]
-        rows[name] = [array[edges[p] : edges[p + 1]].tobytes() for p in full]
+        rows[name] = [write(array[edges[p] : edges[p + 1]]) for p in full]
     rows |= {name: [value] * len(full) for name, value in whole.items()}
     return pa.RecordBatch.from_pydict(rows, schema=schema)
 
 
+def _plain(array: np.ndarray) -> bytes:
+    return array.tobytes()
+
+
+def _flags(replies: pa.Table, deal_by: np.ndarray, parts: int) -> np.ndarray:
+    """The answers to a unit's entries, which come by part, in the order of the entries."""
+    order, _ = _part_order(deal_by, parts)
+    by_part = sorted(zip(replies["part"].to_pylist(), replies["flags"].to_pylist()))
+    out = np.empty(len(order), np.uint8)
+    out[order] = np.frombuffer(b"".join(x for _, x in by_part), np.uint8)
+    return out
+
+
 def _trigger_windows(row: dict, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
     """Different trigger windows of a unit, sorted, and whether two of its documents hold each."""
     text, sizes = _opened(row)
@@ -249,18 +279,19 @@ def _deal_windows(schema: pa.Schema, parts: int, length: int, gram: int):
             for row in batch.to_pylist():
                 windows, twice = _trigger_windows(row, length, gram)
                 if len(windows):
-                    yield _dealt(windows, {"keys": windows, "twice": twice}, row["unit"], parts, schema)
+                    columns = {"keys": (windows, _packed), "twice": (twice, _plain)}
+                    yield _dealt(windows, columns, row["unit"], parts, schema)
 
     return run
 
 
 def _shared_windows(schema: pa.Schema):
     def run(table: pa.Table) -> pa.Table:
-        keys = [np.frombuffer(x, np.uint32) for x in table["keys"].to_pylist()]
+        keys = [_unpacked(x, np.uint32) for x in table["keys"].to_pylist()]
         _, inverse, counts = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
         twice = np.frombuffer(b"".join(table["twice"].to_pylist()), bool)
         shared = np.split((counts[inverse] > 1) | twice, np.cumsum([len(x) for x in keys])[:-1])
-        return pa.table({"unit": table["unit"], "keys": [k[s].tobytes() for k, s in zip(keys, shared)]}, schema=schema)
+        return pa.table({"unit": table["unit"], "keys": [_packed(k[s]) for k, s in zip(keys, shared)]}, schema=schema)
 
     return run
 
@@ -269,34 +300,54 @@ def _merged(replies: pa.Table, name: str, dtype) -> np.ndarray:
     return np.frombuffer(b"".join(replies[name].to_pylist()), dtype)
 
 
+def _region_columns(docs: np.ndarray, places: np.ndarray, sizes: np.ndarray) -> dict:
+    """Document in the unit, first byte in the document and size of each region."""
+    return {
+        "docs": zstandard.compress(docs.astype("<u4").tobytes(), 1),
+        "places": zstandard.compress(places.astype("<u4").tobytes(), 1),
+        "sizes": sizes.astype("<i8").tobytes(),
+    }
+
+
+def _region_numbers(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    return tuple(np.frombuffer(zstandard.decompress(row[c]), "<u4").astype(np.int64) for c in ("docs", "places"))
+
+
+def _region_ids(row: dict) -> np.ndarray:
+    return np.frombuffer(row["ids"], "<i8")[_region_numbers(row)[0]]
+
+
 def _regions(schema: pa.Schema, length: int, gram: int):
     """Runs of strings whose trigger window repeats: their document, place and bytes."""
 
     def run(units: pa.Table, replies: pa.Table) -> pa.Table:
         rows = []
         for row in units.to_pylist():
-            shared = np.sort(_merged(replies, "keys", np.uint32))
+            answers = [_unpacked(x, np.uint32) for x in replies["keys"].to_pylist()]
+            shared = np.sort(np.concatenate([*answers, np.zeros(0, np.uint32)]))
             text, sizes = _opened(row)
             docs, places, lengths, pieces = [], [], [], []
             for first, buffer, own in _buffers(text, sizes):
                 parsed = Parsed(buffer, own, length, gram)
                 starts, ends = _runs(parsed.repeated(shared))
+                ends = ends + length - 1
                 doc = np.searchsorted(parsed.ends, starts, "right")
+                # Runs whose bytes meet are one region.
+                apart = np.ones(len(starts), bool)
+                apart[1:] = (starts[1:] > ends[:-1]) | (doc[1:] != doc[:-1])
+                starts, doc, ends = starts[apart], doc[apart], ends[np.append(apart[1:], True)[: len(apart)]]
                 docs.append(doc + first)
                 places.append(starts - parsed.starts[doc])
-                lengths.append(ends - starts + length - 1)
-                pieces += [buffer[a : b + length - 1].tobytes() for a, b in zip(starts.tolist(), ends.tolist())]
+                lengths.append(ends - starts)
+                pieces += [buffer[a:b].tobytes() for a, b in zip(starts.tolist(), ends.tolist())]
             if pieces:
-                flat = [np.concatenate(x).astype("<i8") for x in (docs, places, lengths)]
+                flat = [np.concatenate(x) for x in (docs, places, lengths)]
                 rows.append(
                     {
                         "unit": row["unit"],
-                        "doc_ids": _order_ids(row)[flat[0]].tobytes(),
-                        "docs": flat[0].tobytes(),
-                        "places": flat[1].tobytes(),
-                        "sizes": flat[2].tobytes(),
+                        "ids": _order_ids(row).tobytes(),
+                        **_region_columns(*flat),
                         "text": zstandard.compress(b"".join(pieces), 3),
-                        "open": None,
                     }
                 )
         return pa.Table.from_pylist(rows, schema=schema)
@@ -315,14 +366,33 @@ def _parsed_regions(row: dict, length: int, gram: int):
 
 def _phrase_entries(row: dict, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Trigger window, phrase and document id of each trigger of a unit's regions."""
-    ids = np.frombuffer(row["doc_ids"], "<i8")
+    ids = _region_ids(row)
     found = []
     for first, _, parsed in _parsed_regions(row, length, gram):
         doc, prints = parsed.phrases(length)
-        found.append((parsed.tokens[parsed.triggers], prints, ids[doc + first]))
+        windows = parsed.tokens[parsed.triggers]
+        # Of 64 bits, 16 come from the window, which is sent anyway.
+        prints = (prints >> np.uint64(16)) | (windows.astype(np.uint64) << np.uint64(48))
+        found.append((windows, prints, ids[doc + first]))
     return tuple(map(np.concatenate, zip(*found)))
 
 
+def _first_phrases(windows: np.ndarray, keys: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Where each different phrase of a unit stands with its least id, by window."""
+    at = _first_of(keys, ids)
+    return at[np.argsort(windows[at], kind="stable")]
+
+
+def _removed(keys: np.ndarray, ids: np.ndarray, at: np.ndarray, earlier: np.ndarray) -> np.ndarray:
+    """Which entries some document holds under a smaller id: another unit, or else a document of this unit.
+
+    `at` has the entries that were sent, one of each key with its least id, `earlier` the answers.
+    """
+    order = np.argsort(keys[at], kind="stable")
+    place = order[np.searchsorted(keys[at][order], keys)]
+    return earlier[place] | (ids > ids[at][place])
+
+
 def _first_of(keys: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Where each different key stands with its least id, in key order."""
     order = np.lexsort((ids, keys))
@@ -349,78 +419,118 @@ def _decoded(table: pa.Table, keys: list[np.ndarray]) -> list[np.ndarray]:
 def _deal_phrases(schema: pa.Schema, parts: int, length: int, gram: int):
     """Each unit's different phrases with their trigger window and least id, dealt by the window."""
 
+    def six_bytes(keys: np.ndarray) -> bytes:
+        return keys.view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 windows, keys, ids = _phrase_entries(row, length, gram)
-                at = _first_of(keys, ids)
+                at = _first_phrases(windows, keys, ids)
                 if len(at):
                     known, number = _coded(ids[at])
-                    columns = {"keys": keys[at], "least": number, "windows": windows[at]}
+                    columns = {
+                        "keys": (keys[at], six_bytes),
+                        "least": (number, _plain),
+                        "windows": (windows[at], _packed),
+                    }
                     yield _dealt(windows[at], columns, row["unit"], parts, schema, ids=known)
 
     return run
 
 
+def _phrase_keys(packed: bytes, windows: np.ndarray) -> np.ndarray:
+    keys = np.zeros((len(windows), 8), np.uint8)
+    keys[:, :6] = np.frombuffer(packed, np.uint8).reshape(-1, 6)
+    return keys.view(np.uint64).ravel() | (windows.astype(np.uint64) << np.uint64(48))
+
+
 def _phrase_answers(schema: pa.Schema):
-    """For one part: the phrases of each unit that another unit holds under a smaller id, or whose window has more
-    than one phrase."""
+    """For one part, of each entry: 1 if its window has more than one phrase, 2 if another unit has a smaller id."""
 
     def run(table: pa.Table) -> pa.Table:
-        keys = [np.frombuffer(x, np.uint64) for x in table["keys"].to_pylist()]
-        ids = _decoded(table, keys)
-        all_keys, all_ids = np.concatenate(keys), np.concatenate(ids)
-        windows = np.frombuffer(b"".join(table["windows"].to_pylist()), np.uint32)
-        at = _first_of(all_keys, all_ids)
-        known, least = all_keys[at], all_ids[at]
-        _, inverse, counts = np.unique(windows[at], return_inverse=True, return_counts=True)
-        several = counts[inverse] > 1
-        out: dict[str, list] = {"keys": [], "least": [], "several": []}
-        for own, own_ids in zip(keys, ids):
-            place = np.searchsorted(known, own)
-            wanted = (least[place] < own_ids) | several[place]
-            out["keys"].append(own[wanted].tobytes())
-            out["least"].append(least[place][wanted].tobytes())
-            out["several"].append(several[place][wanted].tobytes())
-        return pa.table({"unit": table["unit"], **out}, schema=schema)
+        windows = [_unpacked(x, np.uint32) for x in table["windows"].to_pylist()]
+        keys = [_phrase_keys(x, w) for x, w in zip(table["keys"].to_pylist(), windows)]
+        ids = np.concatenate(_decoded(table, keys))
+        all_keys = np.concatenate(keys)
+        at = _first_of(all_keys, ids)
+        _, inverse, counts = np.unique(np.concatenate(windows)[at], return_inverse=True, return_counts=True)
+        place = np.searchsorted(all_keys[at], all_keys)
+        flags = (counts[inverse] > 1)[place].astype(np.uint8) + 2 * (ids[at][place] < ids).astype(np.uint8)
+        own = np.split(flags.astype(np.uint8), np.cumsum([len(x) for x in keys])[:-1])
+        out = {"part": table["part"], "unit": table["unit"], "flags": [x.tobytes() for x in own]}
+        return pa.table(out, schema=schema)
 
     return run
 
 
-def _least_ids(keys: np.ndarray, ids: np.ndarray, replies: pa.Table) -> np.ndarray:
-    """The least id that holds the key of each entry of a unit, in the unit or elsewhere."""
-    all_keys = np.concatenate([keys, _merged(replies, "keys", np.uint64)])
-    all_ids = np.concatenate([ids, _merged(replies, "least", np.int64)])
-    at = _first_of(all_keys, all_ids)
-    return all_ids[at][np.searchsorted(all_keys[at], keys)]
+def _decided(schema: pa.Schema, parts: int, length: int, gram: int):
+    """What the dictionary removes, as runs of strings, and the regions with strings that are still open.
 
-
-def _decided(schema: pa.Schema, length: int, gram: int):
-    """Regions with a mark per byte, for the string that starts there: 2 removed, 1 still open."""
+    A mark per byte of these regions tells which strings are open.
+    """
 
     def run(regions: pa.Table, replies: pa.Table) -> pa.Table:
         rows = []
         for row in regions.to_pylist():
-            _, keys, ids = _phrase_entries(row, length, gram)
-            removed = _least_ids(keys, ids, replies) < ids
-            answered = _merged(replies, "keys", np.uint64)
-            several = np.sort(answered[_merged(replies, "several", bool)])
-            still = np.isin(keys, several) & ~removed
-            marks, at = [], 0
-            for _, _, parsed in _parsed_regions(row, length, gram):
-                n = len(parsed.triggers)
-                mark = np.zeros(int(parsed.ends[-1]), np.uint8)
-                mark[: len(parsed.valid)][parsed.strings_of(still[at : at + n])] = 1
-                mark[: len(parsed.valid)][parsed.strings_of(removed[at : at + n])] = 2
-                marks.append(mark)
-                at += n
-            row["open"] = zstandard.compress(np.concatenate(marks).tobytes(), 1)
-            rows.append(row)
+            windows, keys, ids = _phrase_entries(row, length, gram)
+            at = _first_phrases(windows, keys, ids)
+            flags = _flags(replies, windows[at], parts)
+            removed = _removed(keys, ids, at, flags > 1)
+            order = np.argsort(keys[at], kind="stable")
+            several = (flags & 1 > 0)[order[np.searchsorted(keys[at][order], keys)]]
+            still = several & ~removed
+            docs, places = _region_numbers(row)
+            sizes = np.frombuffer(row["sizes"], "<i8")
+            gone, kept, marks, texts, done = [], [], [], [], 0
+            for first, _, parsed in _parsed_regions(row, length, gram):
+                n, bytes_here = len(parsed.triggers), int(parsed.ends[-1])
+                settled, opened = np.zeros(bytes_here, bool), np.zeros(bytes_here, bool)
+                settled[: len(parsed.valid)] = parsed.strings_of(removed[done : done + n])
+                opened[: len(parsed.valid)] = parsed.strings_of(still[done : done + n])
+                opened &= ~settled
+                done += n
+                starts, ends = _runs(settled)
+                region = np.searchsorted(parsed.ends, starts, "right")
+                shift = places[region + first] - parsed.starts[region]
+                gone.append(np.stack([docs[region + first], starts + shift, ends + shift + length - 1]))
+                has_open = np.add.reduceat(opened, parsed.starts) > 0
+                inside = np.repeat(has_open, parsed.ends - parsed.starts)
+                kept.append(np.flatnonzero(has_open) + first)
+                marks.append(opened[inside])
+                texts.append(parsed.buffer[inside].tobytes())
+            kept = np.concatenate(kept)
+            gone = np.concatenate(gone, axis=1).astype("<u4")
+            rows.append(
+                {
+                    "unit": row["unit"],
+                    "ids": row["ids"],
+                    **_region_columns(docs[kept], places[kept], sizes[kept]),
+                    "text": zstandard.compress(b"".join(texts), 3),
+                    "open": zstandard.compress(np.packbits(np.concatenate(marks)).tobytes(), 1),
+                    "gone": zstandard.compress(gone.tobytes(), 1),
+                }
+            )
         return pa.Table.from_pylist(rows, schema=schema)
 
     return run
 
 
+def _suffixes(row: dict, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Open strings of a unit: place in its region bytes, fingerprint, id."""
+    text, sizes = _opened(row)
+    state = np.unpackbits(np.frombuffer(zstandard.decompress(row["open"]), np.uint8))
+    ids = _region_ids(row)
+    places, prints, owners, begin = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
+    for first, buffer, own in _buffers(text, sizes):
+        at = np.flatnonzero(state[begin : begin + len(buffer)])
+        places.append(at + begin)
+        prints.append(Fingerprints(buffer).at(at, length))
+        owners.append(ids[first + np.searchsorted(np.cumsum(own), at, "right")])
+        begin += len(buffer)
+    return np.concatenate(places), np.concatenate(prints), np.concatenate(owners)
+
+
 def _deal_suffixes(schema: pa.Schema, parts: int, length: int):
     """Each unit's different open strings with their least id, by part."""
 
@@ -431,69 +541,49 @@ def _deal_suffixes(schema: pa.Schema, parts: int, length: int):
                 at = _first_of(keys, ids)
                 if len(at):
                     known, number = _coded(ids[at])
-                    yield _dealt(keys[at], {"keys": keys[at], "least": number}, row["unit"], parts, schema, ids=known)
+                    columns = {"keys": (keys[at], _packed), "least": (number, _plain)}
+                    yield _dealt(keys[at], columns, row["unit"], parts, schema, ids=known)
 
     return run
 
 
 def _suffix_answers(schema: pa.Schema):
-    """For one part: the strings of each unit that another unit holds under a smaller id, with that id."""
+    """For one part, of each entry: 1 if another unit holds the string under a smaller id."""
 
     def run(table: pa.Table) -> pa.Table:
-        keys = [np.frombuffer(x, np.uint64) for x in table["keys"].to_pylist()]
-        ids = _decoded(table, keys)
-        all_keys, all_ids = np.concatenate(keys), np.concatenate(ids)
-        at = _first_of(all_keys, all_ids)
-        known, least = all_keys[at], all_ids[at]
-        out: dict[str, list] = {"keys": [], "least": []}
-        for own, own_ids in zip(keys, ids):
-            best = least[np.searchsorted(known, own)]
-            earlier = best < own_ids
-            out["keys"].append(own[earlier].tobytes())
-            out["least"].append(best[earlier].tobytes())
-        return pa.table({"unit": table["unit"], **out}, schema=schema)
+        keys = [_unpacked(x, np.uint64) for x in table["keys"].to_pylist()]
+        ids = np.concatenate(_decoded(table, keys))
+        all_keys = np.concatenate(keys)
+        at = _first_of(all_keys, ids)
+        earlier = (ids[at][np.searchsorted(all_keys[at], all_keys)] < ids).astype(np.uint8)
+        own = np.split(earlier, np.cumsum([len(x) for x in keys])[:-1])
+        out = {"part": table["part"], "unit": table["unit"], "flags": [x.tobytes() for x in own]}
+        return pa.table(out, schema=schema)
 
     return run
 
 
-def _suffixes(row: dict, length: int):
-    """Open strings of a unit: place in its region bytes, fingerprint, id."""
-    text, sizes = _opened(row)
-    state = np.frombuffer(zstandard.decompress(row["open"]), np.uint8)
-    ids = np.frombuffer(row["doc_ids"], "<i8")
-    places, prints, owners, begin = [], [], [], 0
-    for first, buffer, own in _buffers(text, sizes):
-        at = np.flatnonzero(state[begin : begin + len(buffer)] == 1)
-        places.append(at + begin)
-        prints.append(Fingerprints(buffer).at(at, length))
-        owners.append(ids[first + np.searchsorted(np.cumsum(own), at, "right")])
-        begin += len(buffer)
-    return np.concatenate(places), np.concatenate(prints), np.concatenate(owners)
-
-
-def _spans(schema: pa.Schema, length: int):
-    """Removed bytes of each document of a unit, as runs."""
+def _spans(schema: pa.Schema, parts: int, length: int):
+    """Removed bytes of each document of a unit, as runs: those of the dictionary and those of the suffixes."""
 
     def run(regions: pa.Table, replies: pa.Table) -> pa.Table:
         rows = []
         for row in regions.to_pylist():
-            places, prints, owners = _suffixes(row, length)
-            state = np.frombuffer(zstandard.decompress(row["open"]), np.uint8)
-            gone = state == 2
-            gone[places[_least_ids(prints, owners, replies) < owners]] = True
-            starts, ends = _runs(gone)
+            at_byte, keys, ids = _suffixes(row, length)
+            at = _first_of(keys, ids)
+            removed = _removed(keys, ids, at, _flags(replies, keys[at], parts) > 0) if len(at) else keys > 0
+            docs, places = _region_numbers(row)
             sizes = np.frombuffer(row["sizes"], "<i8")
+            gone = np.zeros(int(sizes.sum()), bool)
+            gone[at_byte[removed]] = True
+            starts, ends = _runs(gone)
             bounds = np.cumsum(sizes)
             region = np.searchsorted(bounds, starts, "right")
-            shift = np.frombuffer(row["places"], "<i8")[region] - (bounds - sizes)[region]
-            rows.append(
-                {
-                    "unit": row["unit"],
-                    "docs": np.frombuffer(row["docs"], "<i8")[region].astype("<i8").tobytes(),
-                    "starts": (starts + shift).astype("<i8").tobytes(),
-                    "ends": (ends + shift + length - 1).astype("<i8").tobytes(),
-                }
-            )
+            shift = places[region] - (bounds - sizes)[region] if len(region) else 0
+            open_spans = np.stack([docs[region], starts + shift, ends + shift + length - 1]) if len(region) else np.zeros((3, 0), np.int64)
+            settled = np.frombuffer(zstandard.decompress(row["gone"]), "<u4").reshape(3, -1)
+            both = np.concatenate([settled, open_spans], axis=1).astype("<i8")
+            rows.append({"unit": row["unit"], **dict(zip(("docs", "starts", "ends"), (x.tobytes() for x in both)))})
         return pa.Table.from_pylist(rows, schema=schema)
 
     return run
@@ -558,22 +648,25 @@ def find_repeats(
     volume = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-volume // PART_BYTES))
 
-    def exchanged(rows: DataFrame, sent: list[str], returned: list[str], deal, answer) -> DataFrame:
+    def exchanged(rows: DataFrame, sent: list[str], returned: list[StructField], deal, answer) -> DataFrame:
         """Sends entries to the task of their part and returns the answers by unit."""
         out = StructType(
             [field("part", IntegerType()), field("unit", LongType()), *(field(c, BinaryType()) for c in sent)]
         )
-        back = StructType([field("unit", LongType()), *(field(c, BinaryType()) for c in returned)])
+        back = StructType(returned)
         dealt = rows.mapInArrow(deal(to_arrow_schema(out)), out)
         return dealt.groupBy("part").applyInArrow(answer(to_arrow_schema(back)), back)
 
+    flags = [field("part", IntegerType()), field("unit", LongType()), field("flags", BinaryType())]
+
     def with_answers(rows: DataFrame, answers: DataFrame, function, out: StructType, label: str) -> DataFrame:
         joined = rows.groupBy("unit").cogroup(answers.groupBy("unit"))
         return stage(joined.applyInArrow(function(to_arrow_schema(out)), out), label)
 
-    region_row = StructType(
-        [field("unit", LongType()), *(field(c, BinaryType()) for c in ("doc_ids", "docs", "places", "sizes", "text", "open"))]
-    )
+    def region_row(*more: str) -> StructType:
+        columns = ("ids", "docs", "places", "sizes", "text", *more)
+        return StructType([field("unit", LongType()), *(field(c, BinaryType()) for c in columns)])
+
     span_row = StructType([field("unit", LongType()), *(field(c, BinaryType()) for c in ("docs", "starts", "ends"))])
     final_row = StructType(
         [
@@ -588,21 +681,23 @@ def find_repeats(
     )
 
     shared = exchanged(
-        units, ["keys", "twice"], ["keys"], lambda s: _deal_windows(s, parts, length, screen_gram), _shared_windows
+        units,
+        ["keys", "twice"],
+        [field("unit", LongType()), field("keys", BinaryType())],
+        lambda s: _deal_windows(s, parts, length, screen_gram),
+        _shared_windows,
     )
-    regions = with_answers(units, shared, lambda s: _regions(s, length, screen_gram), region_row, "regions")
+    regions = with_answers(units, shared, lambda s: _regions(s, length, screen_gram), region_row(), "regions")
     held = exchanged(
-        regions,
-        ["keys", "least", "windows", "ids"],
-        ["keys", "least", "several"],
-        lambda s: _deal_phrases(s, parts, length, gram),
-        _phrase_answers,
+        regions, ["keys", "least", "windows", "ids"], flags, lambda s: _deal_phrases(s, parts, length, gram), _phrase_answers
+    )
+    decided = with_answers(
+        regions, held, lambda s: _decided(s, parts, length, gram), region_row("open", "gone"), "decided"
     )
-    decided = with_answers(regions, held, lambda s: _decided(s, length, gram), region_row, "decided")
     first = exchanged(
-        decided, ["keys", "least", "ids"], ["keys", "least"], lambda s: _deal_suffixes(s, parts, length), _suffix_answers
+        decided, ["keys", "least", "ids"], flags, lambda s: _deal_suffixes(s, parts, length), _suffix_answers
     )
-    spans = with_answers(decided, first, lambda s: _spans(s, length), span_row, "spans")
+    spans = with_answers(decided, first, lambda s: _spans(s, parts, length), span_row, "spans")
     return units.groupBy("unit").cogroup(spans.groupBy("unit")).applyInArrow(_cut(to_arrow_schema(final_row)), final_row)
 
 
