@@ -220,7 +220,7 @@ def _pack(schema: pa.Schema):
 def _packed(values: np.ndarray) -> bytes:
     """Numbers in rising order, as compressed differences, byte plane by byte plane."""
     steps = np.diff(values, prepend=values.dtype.type(0))
-    return zstandard.compress(steps.view(np.uint8).reshape(len(values), -1).T.tobytes(), 1)
+    return zstandard.compress(steps.view(np.uint8).reshape(-1, values.itemsize).T.tobytes(), 1)
 
 
 def _unpacked(packed: bytes, dtype) -> np.ndarray:
