@@ -6,7 +6,14 @@ from pyspark.sql import Column, functions as F
 
 
 def fixed(c: Column, digits: int) -> Column:
-    return F.format_string(f"%.{digits}f", c.cast("double"))
+    """A number with so many decimals. A value exactly between two texts takes the even one.
+
+    Only multiples of 1/2**(digits + 1) can lie there; the formatter alone would round them up.
+    """
+    x = c.cast("double")
+    steps = x * float(2 ** (digits + 1))
+    between = F.when(steps == F.floor(steps), F.bround(x, digits)).otherwise(x)
+    return F.format_string(f"%.{digits}f", between)
 
 
 def thousands(c: Column) -> Column:
