@@ -174,7 +174,7 @@ def _lasso(x: np.ndarray, y: np.ndarray, penalty: float, steps: int = 400) -> tu
 def fit(x: np.ndarray, y: np.ndarray, penalty: float = PENALTY) -> RuleSet:
     """Rules from boosted trees, weighed by the lasso; `x` has a column per name."""
     share = float(y.mean()) if len(y) else 0.5
-    if not 0 < share < 1:
+    if not len(y) or not 0 < share < 1:
         return RuleSet(float(np.log((share + 1e-9) / (1 - share + 1e-9))), ())
     order = np.lexsort((y, *x.T))
     x, y = x[order], y[order]

@@ -93,7 +93,7 @@ def fit(rows: list[np.ndarray], y: np.ndarray, seed: int = SEED) -> Machine:
     rows, y = [r for r, _ in once.values()], np.array([label for _, label in once.values()], dtype=float)
     share = float(y.mean()) if len(y) else 0.5
     empty = Machine(np.zeros(0, np.int32), float(np.log((share + 1e-9) / (1 - share + 1e-9))), np.zeros(0), np.zeros((0, FACTORS)))
-    if not 0 < share < 1:
+    if not len(y) or not 0 < share < 1:
         return empty
     sizes = np.array([len(r) for r in rows])
     flat = np.concatenate(rows)
