@@ -155,7 +155,7 @@ def test_pipeline_stages(spark):
         assert out.columns == docs.columns and out.dtypes == docs.dtypes, name
         kept.append(out.toPandas())
         docs = spark.createDataFrame(kept[-1], docs.schema)
-    assert 0 < len(kept[4]) <= len(kept[3]) <= len(kept[2]) < len(kept[1]) < len(kept[0])
+    assert 0 < len(kept[4]) <= len(kept[3]) <= len(kept[2]) < len(kept[1]) <= len(kept[0])
     # Exact copies: the largest id of each text.
     assert set(kept[2].doc_id) == set(kept[1].groupby("text").doc_id.max())
     # Passages are cut from the later of two documents only; nobody goes.
@@ -166,6 +166,15 @@ def test_pipeline_stages(spark):
     assert packed.groupby("sequence_id").length.sum().max() <= 2048
 
 
+def test_pipeline_rejects_toxic_documents(spark):
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    kept = {r[0] for r in corpus_pipeline.drop_toxic(spark, docs, folder).select("doc_id").collect()}
+    toxic = {r[0]: r[1] for r in labels.select("doc_id", "toxic").collect()}
+    caught = [t for i, t in toxic.items() if i not in kept]
+    assert len(caught) > 20 and sum(caught) >= 0.95 * len(caught)
+
+
 def test_pipeline_odd_rows(spark, odd_rows):
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     docs = spark.createDataFrame([(i, t, None, "s", len(t or "")) for i, t in odd_rows], schema)
