@@ -11,7 +11,12 @@ from pyspark.sql import functions as F
 from batchlens.session import stage
 
 
+#: Rows that pass between Spark and a Python worker at once. Texts may be long, so these are fewer than usual.
+ROWS_AT_ONCE = 1000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_AT_ONCE)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -56,7 +56,7 @@ GRAM = 24
 #: Trigger windows of the screen; nearly as long as a string, so that few of them repeat by chance.
 SCREEN_GRAM = 40
 #: Bytes of text in a unit, and bytes hashed at once.
-UNIT_BYTES = 8 << 20
+UNIT_BYTES = 4 << 20
 BUFFER_BYTES = 1 << 20
 #: Bytes of text per part of the fingerprint exchanges.
 PART_BYTES = 64 << 20
@@ -596,11 +596,10 @@ def _cut(schema: pa.Schema):
             text, sizes = _opened(row)
             ends = np.cumsum(sizes)
             docs, starts, stops = (_merged(spans, c, "<i8") for c in ("docs", "starts", "ends"))
-            gone = np.zeros(len(text) + 1, np.int32)
+            gone = np.zeros(len(text), bool)
             base = (ends - sizes)[docs]
-            np.add.at(gone, base + starts, 1)
-            np.add.at(gone, base + stops, -1)
-            gone = np.cumsum(gone[:-1]) > 0
+            for a, b in zip((base + starts).tolist(), (base + stops).tolist()):
+                gone[a:b] = True
             raw = np.frombuffer(text, np.uint8)
             for i, a, b in zip(row["ids"], (ends - sizes).tolist(), ends.tolist()):
                 mask = gone[a:b]
