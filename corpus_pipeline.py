@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from batchlens.llm import toxicity
@@ -15,10 +15,22 @@ from batchlens.llm.repeats import without_repeats
 from batchlens.session import stage
 
 
-def _with_ids(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The documents whose id is among the kept ones; rows move by id, not by text, so no group is gathered."""
-    kept = kept.select(F.col("doc_id").alias("kept_id"))
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+def _digest() -> Column:
+    return F.sha2(F.coalesce("text", F.lit("")), 256)
+
+
+def _one_row_each(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """One row for each kept (doc_id, digest of the text).
+
+    The decision is about rows, not ids, which may be NULL or repeat. Rows that agree in both fold to the least of
+    their other columns before they move, so no group is gathered.
+    """
+    rest = [c for c in docs.columns if c != "doc_id"]
+    keyed = docs.select("*", F.struct("doc_id", _digest().alias("digest")).alias("key"))
+    folded = keyed.groupBy("key").agg(F.min(F.struct(*rest)).alias("row"))
+    wanted = kept.select(F.struct("doc_id", "digest").alias("key")).distinct()
+    chosen = folded.join(wanted, "key", "left_semi")
+    return chosen.select(*(F.col("key.doc_id" if c == "doc_id" else f"row.{c}").alias(c) for c in docs.columns))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,14 +40,19 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the row with the largest id stays."""
-    return _with_ids(docs, exact_duplicates(docs).filter("kept"))
+    """Of equal texts one row stays, one with the largest id."""
+    found = exact_duplicates(docs).filter("kept")
+    return _one_row_each(docs, found.select("doc_id", F.col("text_sha256").alias("digest")))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of linked documents, the one with the smallest id stays."""
-    found = jaccard_components(docs)
-    return _with_ids(docs, found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    """Of linked documents one row stays: the smallest id, NULL last, then the smallest digest of the text.
+
+    Documents go by (id is NULL, id, digest) in the join, so that its component ids tell rows of one id apart.
+    """
+    row = F.struct(F.isnull("doc_id").alias("missing"), "doc_id", _digest().alias("digest"))
+    found = jaccard_components(docs.select(row.alias("row"), "text"), id_col="row")
+    return _one_row_each(docs, found.filter(F.col("row") == F.col("component_id")).select("row.doc_id", "row.digest"))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

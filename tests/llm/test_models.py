@@ -1,13 +1,16 @@
 """Classifiers by held-out accuracy, exact top-k by SQL and brute force, and the pipeline."""
 
+import hashlib
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 from llm_data import SF_DIR
 from oracle import compare, connect
 from pyspark.sql import functions as F
+from test_dedup import shingle_set
 
 import corpus_pipeline
 from batchlens.llm import quality, topk, toxicity
@@ -184,6 +187,31 @@ def test_pipeline_odd_rows(spark, odd_rows):
             rows.count()
 
 
+def test_pipeline_dedup_keeps_one_row_of_each_group(spark, odd_rows):
+    """NULL ids, an id with two texts, and an input that comes twice."""
+    rows = [(i, t) for i, t in odd_rows if t is None or len(t) < 10_000]
+    rows += [(8, f"{odd_rows[3][1]} more"), (None, f"{odd_rows[3][1]} again"), (None, odd_rows[9][1]), (4, odd_rows[9][1])]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([(i, t, None, f"s{k}", len(t or "")) for k, (i, t) in enumerate(rows * 2)], schema)
+
+    largest = {}
+    for i, t in rows:
+        largest[t or ""] = max(largest.get(t or "", -1), -1 if i is None else i)
+    exact = corpus_pipeline.drop_exact_copies(spark, docs, SF_DIR).collect()
+    assert Counter((r["text"] or "", -1 if r["doc_id"] is None else r["doc_id"]) for r in exact) == Counter(largest.items())
+
+    unique = sorted(set(rows), key=lambda x: (x[0] is None, x[0] or 0, hashlib.sha256((x[1] or "").encode()).hexdigest()))
+    sets = [shingle_set(t) for _, t in unique]
+    group = list(range(len(unique)))
+    for a in range(len(unique)):
+        for b in range(a):
+            same = len(sets[a] & sets[b])
+            if same and 100 * same >= 75 * len(sets[a] | sets[b]):
+                group = [min(group[a], group[b]) if g in (group[a], group[b]) else g for g in group]
+    near = corpus_pipeline.drop_near_copies(spark, docs, SF_DIR).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in near) == Counter(unique[g] for g in set(group))
+
+
 @pytest.mark.parametrize("name", ["op5_quality", "op10_toxicity"])
 def test_held_out_column(spark, name):
     mod, rest = (5, 0) if name == "op5_quality" else (3, 1)
