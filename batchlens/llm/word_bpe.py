@@ -59,7 +59,7 @@ class WordEncoder:
         found = dict(zip(order, self._library(order)))
         for piece, (body, mark) in parts.items():
             if piece not in found:
-                found[piece] = b"".join(found.get(x) or known[x] for x in (body, mark) if x)
+                found[piece] = b"".join(found[x] if x in found else known[x] for x in (body, mark) if x)
         known.update((p, ids) for p, ids in found.items() if len(p) <= LONGEST_KEPT)
         return found
 
@@ -73,7 +73,7 @@ class WordEncoder:
         found = self._learn(new) if new else {}
         get = self._known.__getitem__
         if any(len(p) > LONGEST_KEPT for p in new):
-            return [b"".join(found.get(p) or get(p) for p in pieces) for pieces in cut]
+            return [b"".join(found[p] if p in found else get(p) for p in pieces) for pieces in cut]
         return [b"".join(map(get, pieces)) for pieces in cut]
 
 

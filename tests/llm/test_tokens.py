@@ -99,6 +99,17 @@ def test_word_ids_equal_the_library(odd_rows):
             assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
+def test_long_runs_of_white_space():
+    """Pieces longer than the table keeps, of white space only: they have no ids at all."""
+    library = Tokenizer.from_file(WORDS)
+    blanks = ["\u00a0", "\u3000", "\u2028", "\x0b", "\x0c"]
+    texts = [x for b in blanks for x in (b * 100, f"a {b * 100} c", f"a{b * 100}c.", b * 65 + ".", f"{b * 99}. d")]
+    encoder = WordEncoder(WORDS)
+    for _ in range(2):
+        for text, ids in zip(texts, encoder.encode_all(texts)):
+            assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
 def best_fit_decreasing(lengths, capacity):
     free = []
     for n in sorted(lengths, reverse=True):
