@@ -20,7 +20,7 @@ have equal triggers, and triggers cut all texts into phrases at the same places
 5. Spans of removed bytes go back to their units and are cut out.
 
 The whole-corpus order of suffixes is not built: here only equality of `LENGTH`-byte prefixes counts, so equal
-suffixes meet by a 64-bit fingerprint instead of by rank. Each unit sends a fingerprint once, with its least id, so
+suffixes meet by a 128-bit fingerprint instead of by rank. Each unit sends a fingerprint once, with its least id, so
 a passage that a third of all documents share costs an owner task one entry per unit.
 
 Defined results: NULL and short texts keep all their bytes. NULL ids come after all others; rows with equal ids
@@ -62,9 +62,10 @@ BUFFER_BYTES = 1 << 20
 PART_BYTES = 64 << 20
 LAST_ID = np.iinfo(np.int64).max
 
-_BASE = 0xD6E8FEB86659FD93
-_BASE_INVERSE = pow(_BASE, -1, 2**64)
-_BYTE_VALUES = np.random.default_rng(2024).integers(0, 2**64, 256, dtype=np.uint64)
+#: Of the two halves of a fingerprint.
+_BASES = (0xD6E8FEB86659FD93, 0xA3B195354A39B70D)
+_BASE_INVERSES = tuple(pow(b, -1, 2**64) for b in _BASES)
+_BYTE_VALUES = [np.random.default_rng(seed).integers(0, 2**64, 256, dtype=np.uint64) for seed in (2024, 2025)]
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -80,13 +81,13 @@ def _power_table(base: int, size: int) -> np.ndarray:
 
 
 class Fingerprints:
-    """64-bit fingerprints of any substring of a buffer, from running sums."""
+    """64-bit halves (0 or 1) of the fingerprints of any substring of a buffer, from running sums."""
 
-    def __init__(self, buffer: np.ndarray):
+    def __init__(self, buffer: np.ndarray, half: int = 0):
         n = len(buffer)
         self._sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE_VALUES[buffer] * _power_table(_BASE, n), out=self._sums[1:])
-        self._shift = _power_table(_BASE_INVERSE, n + 1)
+        np.cumsum(_BYTE_VALUES[half][buffer] * _power_table(_BASES[half], n), out=self._sums[1:])
+        self._shift = _power_table(_BASE_INVERSES[half], n + 1)
 
     def windows(self, length: int) -> np.ndarray:
         """Of the substring of `length` bytes at each place."""
@@ -128,14 +129,14 @@ class Parsed:
             if b - a >= length:
                 self.valid[a : b - length + 1] = True
         if not self.valid.any():
-            self.tokens = np.zeros(0, np.uint32)
+            self.tokens = np.zeros(0, np.uint64)
             self.least = self.triggers = np.zeros(0, np.int64)
             return
         # 0 is kept for "no string here".
-        self.tokens = np.maximum((self.prints.windows(gram) >> np.uint64(32)).astype(np.uint32), 1)
+        self.tokens = np.maximum(self.prints.windows(gram), np.uint64(1))
         self.least = _sliding(self.tokens, self.width, np.minimum)
         self.least[~self.valid] = 0
-        pad = np.zeros(self.width - 1, np.uint32)
+        pad = np.zeros(self.width - 1, np.uint64)
         most = _sliding(np.concatenate([pad, self.least, pad]), self.width, np.maximum)
         self.triggers = np.flatnonzero(most == self.tokens)
 
@@ -143,7 +144,7 @@ class Parsed:
         """The strings (by start) that have one of the chosen triggers (a flag for each)."""
         if not chosen.any():
             return np.zeros(len(self.valid), bool)
-        marked = np.full(len(self.tokens), np.iinfo(np.uint32).max, np.uint32)
+        marked = np.full(len(self.tokens), np.iinfo(np.uint64).max, np.uint64)
         places = self.triggers[chosen]
         marked[places] = self.tokens[places]
         return (_sliding(marked, self.width, np.minimum) == self.least) & self.valid
@@ -155,13 +156,15 @@ class Parsed:
             return np.zeros(len(self.valid), bool)
         return self.strings_of(np.take(windows, np.searchsorted(windows, own), mode="clip") == own)
 
-    def phrases(self, length: int) -> tuple[np.ndarray, np.ndarray]:
-        """Of each trigger: its document, and the fingerprint of its phrase with the place of the trigger in it."""
+    def phrases(self, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each trigger: its document, and both halves of the fingerprint of its phrase with the place of the
+        trigger in it."""
         doc = np.searchsorted(self.ends, self.triggers, "right")
         first = np.maximum(self.triggers - self.width + 1, self.starts[doc])
         last = np.minimum(self.triggers + length, self.ends[doc])
         place = (self.triggers - first).astype(np.uint64) * np.uint64(2 * length) + (last - first).astype(np.uint64)
-        return doc, Fingerprints._mixed(self.prints.at(first, last - first) ^ place)
+        halves = (self.prints, Fingerprints(self.buffer, 1))
+        return doc, *(Fingerprints._mixed(x.at(first, last - first) ^ place) for x in halves)
 
 
 def _runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -264,11 +267,17 @@ def _trigger_windows(row: dict, length: int, gram: int) -> tuple[np.ndarray, np.
     """Different trigger windows of a unit, sorted, and whether two of its documents hold each."""
     text, sizes = _opened(row)
     found = []
-    for _, buffer, own in _buffers(text, sizes):
-        parsed = Parsed(buffer, own, length, gram)
+    for _, buffer, inside in _buffers(text, sizes):
+        parsed = Parsed(buffer, inside, length, gram)
         owner = np.searchsorted(parsed.ends, parsed.triggers, "right")
-        found.append(np.unique((parsed.tokens[parsed.triggers].astype(np.uint64) << np.uint64(32)) | owner.astype(np.uint64)))
-    windows = np.concatenate([(x >> np.uint64(32)).astype(np.uint32) for x in found]) if found else np.zeros(0, np.uint32)
+        # Each window once for a document; owners rise already.
+        own = parsed.tokens[parsed.triggers]
+        order = np.argsort(own, kind="stable")
+        own, owner = own[order], owner[order]
+        first = np.ones(len(own), bool)
+        first[1:] = (own[1:] != own[:-1]) | (owner[1:] != owner[:-1])
+        found.append(own[first])
+    windows = np.concatenate([*found, np.zeros(0, np.uint64)])
     windows, counts = np.unique(windows, return_counts=True)
     return windows, counts > 1
 
@@ -287,7 +296,7 @@ def _deal_windows(schema: pa.Schema, parts: int, length: int, gram: int):
 
 def _shared_windows(schema: pa.Schema):
     def run(table: pa.Table) -> pa.Table:
-        keys = [_unpacked(x, np.uint32) for x in table["keys"].to_pylist()]
+        keys = [_unpacked(x, np.uint64) for x in table["keys"].to_pylist()]
         _, inverse, counts = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
         twice = np.frombuffer(b"".join(table["twice"].to_pylist()), bool)
         shared = np.split((counts[inverse] > 1) | twice, np.cumsum([len(x) for x in keys])[:-1])
@@ -323,8 +332,8 @@ def _regions(schema: pa.Schema, length: int, gram: int):
     def run(units: pa.Table, replies: pa.Table) -> pa.Table:
         rows = []
         for row in units.to_pylist():
-            answers = [_unpacked(x, np.uint32) for x in replies["keys"].to_pylist()]
-            shared = np.sort(np.concatenate([*answers, np.zeros(0, np.uint32)]))
+            answers = [_unpacked(x, np.uint64) for x in replies["keys"].to_pylist()]
+            shared = np.sort(np.concatenate([*answers, np.zeros(0, np.uint64)]))
             text, sizes = _opened(row)
             docs, places, lengths, pieces = [], [], [], []
             for first, buffer, own in _buffers(text, sizes):
@@ -364,42 +373,42 @@ def _parsed_regions(row: dict, length: int, gram: int):
         begin += len(buffer)
 
 
-def _phrase_entries(row: dict, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Trigger window, phrase and document id of each trigger of a unit's regions."""
+def _phrase_entries(row: dict, length: int, gram: int) -> tuple[np.ndarray, ...]:
+    """Trigger window, both halves of the phrase and document id of each trigger of a unit's regions."""
     ids = _region_ids(row)
     found = []
     for first, _, parsed in _parsed_regions(row, length, gram):
-        doc, prints = parsed.phrases(length)
-        windows = parsed.tokens[parsed.triggers]
-        # Of 64 bits, 16 come from the window, which is sent anyway.
-        prints = (prints >> np.uint64(16)) | (windows.astype(np.uint64) << np.uint64(48))
-        found.append((windows, prints, ids[doc + first]))
+        doc, prints, more = parsed.phrases(length)
+        found.append((parsed.tokens[parsed.triggers], prints, more, ids[doc + first]))
     return tuple(map(np.concatenate, zip(*found)))
 
 
-def _first_phrases(windows: np.ndarray, keys: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Where each different phrase of a unit stands with its least id, by window."""
-    at = _first_of(keys, ids)
-    return at[np.argsort(windows[at], kind="stable")]
-
+class Groups:
+    """Entries of equal fingerprints: one of each (`at`), its least id, and the number of each entry's group."""
 
-def _removed(keys: np.ndarray, ids: np.ndarray, at: np.ndarray, earlier: np.ndarray) -> np.ndarray:
-    """Which entries some document holds under a smaller id: another unit, or else a document of this unit.
-
-    `at` has the entries that were sent, one of each key with its least id, `earlier` the answers.
-    """
-    order = np.argsort(keys[at], kind="stable")
-    place = order[np.searchsorted(keys[at][order], keys)]
-    return earlier[place] | (ids > ids[at][place])
+    def __init__(self, keys: np.ndarray, more: np.ndarray, ids: np.ndarray):
+        order = np.argsort(keys)
+        same, other = self._neighbours(keys, more, order)
+        if (same & other).any():  # equal first halves of different fingerprints
+            order = np.lexsort((more, keys))
+            same, other = self._neighbours(keys, more, order)
+        first = np.ones(len(keys), bool)
+        first[1:] = ~same | other
+        starts = np.flatnonzero(first)
+        self.at = order[starts]
+        self.least = np.minimum.reduceat(ids[order], starts) if len(starts) else ids
+        self.number = np.empty(len(keys), np.int64)
+        self.number[order] = np.cumsum(first) - 1
 
+    @staticmethod
+    def _neighbours(keys: np.ndarray, more: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of neighbours: first halves are equal, second halves differ."""
+        k, m = keys[order], more[order]
+        return k[1:] == k[:-1], m[1:] != m[:-1]
 
-def _first_of(keys: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Where each different key stands with its least id, in key order."""
-    order = np.lexsort((ids, keys))
-    sorted_keys = keys[order]
-    first = np.ones(len(keys), bool)
-    np.not_equal(sorted_keys[1:], sorted_keys[:-1], out=first[1:])
-    return order[first]
+    def removed(self, ids: np.ndarray, earlier: np.ndarray) -> np.ndarray:
+        """Which entries some document holds under a smaller id: another unit (`earlier`, by group), or one here."""
+        return earlier[self.number] | (ids > self.least[self.number])
 
 
 def _coded(ids: np.ndarray) -> tuple[bytes, np.ndarray]:
@@ -419,18 +428,18 @@ def _decoded(table: pa.Table, keys: list[np.ndarray]) -> list[np.ndarray]:
 def _deal_phrases(schema: pa.Schema, parts: int, length: int, gram: int):
     """Each unit's different phrases with their trigger window and least id, dealt by the window."""
 
-    def six_bytes(keys: np.ndarray) -> bytes:
-        return keys.view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                windows, keys, ids = _phrase_entries(row, length, gram)
-                at = _first_phrases(windows, keys, ids)
+                windows, keys, more, ids = _phrase_entries(row, length, gram)
+                groups = Groups(keys, more, ids)
+                by_window = np.argsort(windows[groups.at], kind="stable")
+                at = groups.at[by_window]
                 if len(at):
-                    known, number = _coded(ids[at])
+                    known, number = _coded(groups.least[by_window])
                     columns = {
-                        "keys": (keys[at], six_bytes),
+                        "keys": (keys[at], _plain),
+                        "more": (more[at], _plain),
                         "least": (number, _plain),
                         "windows": (windows[at], _packed),
                     }
@@ -439,25 +448,21 @@ def _deal_phrases(schema: pa.Schema, parts: int, length: int, gram: int):
     return run
 
 
-def _phrase_keys(packed: bytes, windows: np.ndarray) -> np.ndarray:
-    keys = np.zeros((len(windows), 8), np.uint8)
-    keys[:, :6] = np.frombuffer(packed, np.uint8).reshape(-1, 6)
-    return keys.view(np.uint64).ravel() | (windows.astype(np.uint64) << np.uint64(48))
+def _halves(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64)
 
 
 def _phrase_answers(schema: pa.Schema):
     """For one part, of each entry: 1 if its window has more than one phrase, 2 if another unit has a smaller id."""
 
     def run(table: pa.Table) -> pa.Table:
-        windows = [_unpacked(x, np.uint32) for x in table["windows"].to_pylist()]
-        keys = [_phrase_keys(x, w) for x, w in zip(table["keys"].to_pylist(), windows)]
-        ids = np.concatenate(_decoded(table, keys))
-        all_keys = np.concatenate(keys)
-        at = _first_of(all_keys, ids)
-        _, inverse, counts = np.unique(np.concatenate(windows)[at], return_inverse=True, return_counts=True)
-        place = np.searchsorted(all_keys[at], all_keys)
-        flags = (counts[inverse] > 1)[place].astype(np.uint8) + 2 * (ids[at][place] < ids).astype(np.uint8)
-        own = np.split(flags.astype(np.uint8), np.cumsum([len(x) for x in keys])[:-1])
+        windows = [_unpacked(x, np.uint64) for x in table["windows"].to_pylist()]
+        ids = np.concatenate(_decoded(table, windows))
+        groups = Groups(_halves(table["keys"]), _halves(table["more"]), ids)
+        _, inverse, counts = np.unique(np.concatenate(windows)[groups.at], return_inverse=True, return_counts=True)
+        earlier = groups.least[groups.number] < ids
+        flags = (counts[inverse] > 1)[groups.number].astype(np.uint8) + 2 * earlier.astype(np.uint8)
+        own = np.split(flags.astype(np.uint8), np.cumsum([len(x) for x in windows])[:-1])
         out = {"part": table["part"], "unit": table["unit"], "flags": [x.tobytes() for x in own]}
         return pa.table(out, schema=schema)
 
@@ -473,13 +478,13 @@ def _decided(schema: pa.Schema, parts: int, length: int, gram: int):
     def run(regions: pa.Table, replies: pa.Table) -> pa.Table:
         rows = []
         for row in regions.to_pylist():
-            windows, keys, ids = _phrase_entries(row, length, gram)
-            at = _first_phrases(windows, keys, ids)
-            flags = _flags(replies, windows[at], parts)
-            removed = _removed(keys, ids, at, flags > 1)
-            order = np.argsort(keys[at], kind="stable")
-            several = (flags & 1 > 0)[order[np.searchsorted(keys[at][order], keys)]]
-            still = several & ~removed
+            windows, keys, more, ids = _phrase_entries(row, length, gram)
+            groups = Groups(keys, more, ids)
+            by_window = np.argsort(windows[groups.at], kind="stable")
+            flags = np.empty(len(by_window), np.uint8)
+            flags[by_window] = _flags(replies, windows[groups.at[by_window]], parts)
+            removed = groups.removed(ids, flags > 1)
+            still = (flags & 1 > 0)[groups.number] & ~removed
             docs, places = _region_numbers(row)
             sizes = np.frombuffer(row["sizes"], "<i8")
             gone, kept, marks, texts, done = [], [], [], [], 0
@@ -516,19 +521,21 @@ def _decided(schema: pa.Schema, parts: int, length: int, gram: int):
     return run
 
 
-def _suffixes(row: dict, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Open strings of a unit: place in its region bytes, fingerprint, id."""
+def _suffixes(row: dict, length: int) -> tuple[np.ndarray, ...]:
+    """Open strings of a unit: place in its region bytes, both halves of the fingerprint, id."""
     text, sizes = _opened(row)
     state = np.unpackbits(np.frombuffer(zstandard.decompress(row["open"]), np.uint8))
     ids = _region_ids(row)
-    places, prints, owners, begin = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
+    places, prints, more, owners = ([np.zeros(0, kind)] for kind in (np.int64, np.uint64, np.uint64, np.int64))
+    begin = 0
     for first, buffer, own in _buffers(text, sizes):
         at = np.flatnonzero(state[begin : begin + len(buffer)])
         places.append(at + begin)
         prints.append(Fingerprints(buffer).at(at, length))
+        more.append(Fingerprints(buffer, 1).at(at, length))
         owners.append(ids[first + np.searchsorted(np.cumsum(own), at, "right")])
         begin += len(buffer)
-    return np.concatenate(places), np.concatenate(prints), np.concatenate(owners)
+    return tuple(map(np.concatenate, (places, prints, more, owners)))
 
 
 def _deal_suffixes(schema: pa.Schema, parts: int, length: int):
@@ -537,11 +544,12 @@ def _deal_suffixes(schema: pa.Schema, parts: int, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                _, keys, ids = _suffixes(row, length)
-                at = _first_of(keys, ids)
+                _, keys, more, ids = _suffixes(row, length)
+                groups = Groups(keys, more, ids)
+                at = groups.at
                 if len(at):
-                    known, number = _coded(ids[at])
-                    columns = {"keys": (keys[at], _packed), "least": (number, _plain)}
+                    known, number = _coded(groups.least)
+                    columns = {"keys": (keys[at], _packed), "more": (more[at], _plain), "least": (number, _plain)}
                     yield _dealt(keys[at], columns, row["unit"], parts, schema, ids=known)
 
     return run
@@ -553,9 +561,8 @@ def _suffix_answers(schema: pa.Schema):
     def run(table: pa.Table) -> pa.Table:
         keys = [_unpacked(x, np.uint64) for x in table["keys"].to_pylist()]
         ids = np.concatenate(_decoded(table, keys))
-        all_keys = np.concatenate(keys)
-        at = _first_of(all_keys, ids)
-        earlier = (ids[at][np.searchsorted(all_keys[at], all_keys)] < ids).astype(np.uint8)
+        groups = Groups(np.concatenate(keys), _halves(table["more"]), ids)
+        earlier = (groups.least[groups.number] < ids).astype(np.uint8)
         own = np.split(earlier, np.cumsum([len(x) for x in keys])[:-1])
         out = {"part": table["part"], "unit": table["unit"], "flags": [x.tobytes() for x in own]}
         return pa.table(out, schema=schema)
@@ -569,9 +576,9 @@ def _spans(schema: pa.Schema, parts: int, length: int):
     def run(regions: pa.Table, replies: pa.Table) -> pa.Table:
         rows = []
         for row in regions.to_pylist():
-            at_byte, keys, ids = _suffixes(row, length)
-            at = _first_of(keys, ids)
-            removed = _removed(keys, ids, at, _flags(replies, keys[at], parts) > 0) if len(at) else keys > 0
+            at_byte, keys, more, ids = _suffixes(row, length)
+            groups = Groups(keys, more, ids)
+            removed = groups.removed(ids, _flags(replies, keys[groups.at], parts) > 0) if len(keys) else keys > 0
             docs, places = _region_numbers(row)
             sizes = np.frombuffer(row["sizes"], "<i8")
             gone = np.zeros(int(sizes.sum()), bool)
@@ -688,13 +695,13 @@ def find_repeats(
     )
     regions = with_answers(units, shared, lambda s: _regions(s, length, screen_gram), region_row(), "regions")
     held = exchanged(
-        regions, ["keys", "least", "windows", "ids"], flags, lambda s: _deal_phrases(s, parts, length, gram), _phrase_answers
+        regions, ["keys", "more", "least", "windows", "ids"], flags, lambda s: _deal_phrases(s, parts, length, gram), _phrase_answers
     )
     decided = with_answers(
         regions, held, lambda s: _decided(s, parts, length, gram), region_row("open", "gone"), "decided"
     )
     first = exchanged(
-        decided, ["keys", "least", "ids"], flags, lambda s: _deal_suffixes(s, parts, length), _suffix_answers
+        decided, ["keys", "more", "least", "ids"], flags, lambda s: _deal_suffixes(s, parts, length), _suffix_answers
     )
     spans = with_answers(decided, first, lambda s: _spans(s, parts, length), span_row, "spans")
     return units.groupBy("unit").cogroup(spans.groupBy("unit")).applyInArrow(_cut(to_arrow_schema(final_row)), final_row)

@@ -226,3 +226,22 @@ def test_repeats_query(spark):
     found = QUERIES["op6_suffix_dedup"](spark, SF_DIR)
     got = Counter(tuple(r) for r in found.collect())
     assert got == repeats_brute(sample())
+
+
+def test_windows_of_unique_text_do_not_meet_by_chance():
+    raw = np.random.default_rng(7).integers(0, 256, 4 << 20, dtype=np.uint8)
+    parsed = repeats.Parsed(raw, np.array([len(raw)]), repeats.LENGTH, repeats.SCREEN_GRAM)
+    found = parsed.tokens[parsed.triggers]
+    assert len(found) > 500_000 and len(np.unique(found)) == len(found)
+
+
+def test_equal_half_fingerprints_of_different_strings_remove_nothing():
+    import pyarrow as pa
+
+    keys = np.array([5, 9, 9], np.uint64)
+    rows = {"part": [0, 0], "unit": [1, 2], "keys": [repeats._packed(keys)] * 2, "ids": [np.array([i]).tobytes() for i in (3, 8)]}
+    rows["more"] = [np.array(x, np.uint64).tobytes() for x in ([1, 2, 3], [7, 3, 4])]
+    rows["least"] = [np.zeros(3, np.uint16).tobytes()] * 2
+    schema = pa.schema([("part", pa.int32()), ("unit", pa.int64()), ("flags", pa.binary())])
+    found = repeats._suffix_answers(schema)(pa.table(rows))
+    assert [list(x) for x in found["flags"].to_pylist()] == [[0, 0, 0], [0, 1, 0]]
