@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from batchlens.llm import quality as quality_rules
 from batchlens.llm import toxicity
+from batchlens.llm.collisions import near_duplicates
 from batchlens.llm.common import crc_mod, table
 from batchlens.llm.exact_dedup import exact_duplicates
 from batchlens.llm.jaccard_join import jaccard_components
 from batchlens.llm.packing import pack
+from batchlens.llm.prefix_trie import prefix_trie, rebuilt, turns_of
 from batchlens.llm.repeats import remove_repeats
+from batchlens.llm.rtree import hard_negatives
 from batchlens.llm.sentencepiece_bpe import decode, encode
 from batchlens.llm.sharding import shard
 from batchlens.llm.token_counts import count_with_edits, derived_edits
@@ -88,6 +91,20 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.withColumn("label", moved), F.col("id") % 100 == 0)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(*rebuilt(turns_of(table(spark, sf_dir, "conversations"))))
+
+
+def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_exact_dedup": op2_exact_dedup,
@@ -99,6 +116,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_topk": op9_topk,
     "op10_toxicity": op10_toxicity,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_embedding_dedup": op13_embedding_dedup,
 }
 
 ORACLES: dict[str, str] = {
@@ -117,4 +137,73 @@ ORACLES: dict[str, str] = {
             FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0),
         r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
         SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 10""",
+    "op11_hard_negatives": """
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   [floor(256 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+            WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+              AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+        s AS (
+            SELECT q.vec_id AS anchor_id, c.vec_id, q.label = c.label AS same,
+                   list_inner_product(q.v, c.v)::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0),
+        p AS (
+            SELECT * FROM s WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score,
+               s.score AS negative_score, row_number() OVER (
+                   PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id)::INT AS rank
+        FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same
+         AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+        QUALIFY rank <= 10""",
+    "op12_prefix_trie": """
+        WITH t AS (
+            SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos
+            FROM conversations WHERE conv_id IS NOT NULL),
+        k AS (
+            -- crc32 of the decimal number, bit by bit.
+            SELECT DISTINCT c, c - c % 5 AS base, xor(4294967295, list_reduce(
+                [4294967295::BIGINT] || [ascii(x)::BIGINT FOR x IN string_split(c::VARCHAR, '')],
+                lambda crc, x: list_reduce([xor(crc, x)] || [0::BIGINT FOR i IN range(8)],
+                    lambda r, i: xor(r // 2, 3988292384 * (r % 2))))) % 9 AS h
+            FROM t),
+        r AS (
+            SELECT k.c, 0 AS part, t.pos, t.role, t.text FROM k JOIN t ON t.c = k.base AND t.pos <= k.h
+            UNION ALL
+            SELECT k.c, 1, t.pos, t.role, t.text FROM k JOIN t ON t.c = k.c AND t.pos > k.h),
+        w AS (
+            SELECT k.c, coalesce(l.turns, []) AS turns FROM k LEFT JOIN (
+                SELECT c, list({'role': role, 'text': text} ORDER BY part, pos) AS turns FROM r GROUP BY c) l
+            ON k.c = l.c),
+        m AS (SELECT c, turns[1:d] AS node, d, len(turns) = d AS ends
+              FROM (SELECT c, turns, unnest(range(len(turns) + 1)) AS d FROM w)),
+        n AS (
+            SELECT node, d, min(c) AS conv_id, count(*) AS n_convs,
+                   coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '') AS ended,
+                   CASE WHEN d = 0 THEN 0 ELSE (count(*) - 1) * strlen(node[d].text) END AS saved
+            FROM m GROUP BY node, d),
+        f AS (
+            SELECT n.*, p.conv_id AS parent_conv_id, (
+                SELECT count(*) FROM n x WHERE x.d = n.d + 1 AND x.node[1:n.d] = n.node) AS n_children
+            FROM n LEFT JOIN n p ON p.d = n.d - 1 AND p.node = n.node[1:p.d])
+        SELECT a.conv_id, a.d AS depth, any_value(a.parent_conv_id) AS parent_conv_id, any_value(a.n_convs) AS n_convs,
+               any_value(a.n_children) AS n_children, count(*) FILTER (b.n_children = 0) AS n_leaves,
+               sum(b.saved)::BIGINT AS saved_tokens, sha256(any_value(a.ended)) AS ends_sha256
+        FROM f a JOIN f b ON b.d >= a.d AND b.node[1:a.d] = a.node GROUP BY a.conv_id, a.d""",
+    "op13_embedding_dedup": """
+        WITH RECURSIVE u AS (
+            SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+            WHERE embedding IS NOT NULL AND label IS NOT NULL
+              AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+              AND len([x FOR x IN embedding IF x <> 0]) > 0),
+        l AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b
+            ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+            AND list_cosine_similarity(a.v, b.v) >= 0.98),
+        reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings
+                  UNION SELECT reach.a, l.b FROM reach JOIN l ON reach.b = l.a)
+        SELECT a AS vec_id, min(b) AS component_id, a = min(b) AS kept,
+               coalesce(any_value(n), 0)::BIGINT AS n_links
+        FROM reach LEFT JOIN (SELECT a AS la, count(*) AS n FROM l GROUP BY a) ON a = la GROUP BY a""",
 }
