@@ -379,6 +379,24 @@ ORACLES: dict[str, str] = {
   OR x = 'l_linenumber=1'), lambda x: CASE WHEN x = 'l_linenumber=1' THEN 'l_linenumber' ELSE x END), ',') AS items)
   FROM rows_items""",
     "update_run_dq": _profile(SHIPMENTS, UPDATE_KINDS),
+    "two_writers": f"""SELECT batch_id, count(*) AS n_rows, count(*) AS stored_rows FROM ({ORDERS})
+  GROUP BY batch_id""",
+    "guarded_ingest": f"""WITH o AS ({ORDERS}), bad AS (
+    SELECT batch_id, 'price in range' AS "check", count(*) AS n FROM o
+    WHERE NOT o_totalprice BETWEEN 1000 AND 499700 GROUP BY batch_id
+    UNION ALL SELECT batch_id, 'one order a day, customer and priority', count(*) FROM (
+      SELECT batch_id FROM o GROUP BY batch_id, o_custkey, o_orderdate, o_orderpriority HAVING count(*) > 1)
+    GROUP BY batch_id
+    UNION ALL SELECT batch_id, 'customer exists', count(*) FROM o
+    WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey > 1) GROUP BY batch_id)
+  SELECT * FROM bad UNION ALL SELECT batch_id, 'stored', count(*) FROM o
+  WHERE batch_id NOT IN (SELECT batch_id FROM bad) GROUP BY batch_id""",
+    "stream_closed_months": f"""WITH o AS ({ORDERS}),
+  closed AS (
+    SELECT strftime(max(date_trunc('day', o_orderdate) + INTERVAL 1 DAY), '%Y-%m') AS month FROM o
+    WHERE date_trunc('day', o_orderdate) + INTERVAL 1 DAY <= (SELECT max(o_orderdate) - INTERVAL 10 DAY FROM o))
+  SELECT batch_id, count(*) AS n_rows, count(*) FILTER (o_orderkey % 50 = 0) AS late_rows
+  FROM o, closed WHERE batch_id < month GROUP BY batch_id""",
 }
 ORACLES["batch_medians_ranged"] = ORACLES["batch_medians"]
 ORACLES["frequent_itemsets_stepwise"] = ORACLES["frequent_itemsets"]

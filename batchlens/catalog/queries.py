@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, FloatType, StructType
@@ -34,6 +35,7 @@ from batchlens.plans.update import backfill_dq, ingest, seed, update
 from batchlens.session import scratch_path, stage
 from batchlens.sources.csvs import read_csvs
 from batchlens.sources.warehouse import Warehouse, pending, split_late
+from batchlens.streaming.closing import collect_arrivals, late_arrivals, store_closed_months
 from batchlens.streaming.ingest import ingest_stream
 
 # Thresholds of the cleaning queries.
@@ -420,6 +422,59 @@ def stream_two_sources(spark, sf_dir):
     return warehouse.list_batches().select(BATCH, "n_rows")
 
 
+def two_writers(spark, sf_dir):
+    """The same orders stored by two writers at once: rows of the ledger and stored rows, by month."""
+    warehouse = _warehouse(spark)
+    source = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", *ORDER_KINDS)
+    with ThreadPoolExecutor(2) as pool:
+        for done in [pool.submit(ingest, warehouse, source, "o_orderdate") for _ in range(2)]:
+            done.result()
+    stored = rows_per_batch(warehouse.raw()).withColumnRenamed("n_rows", "stored_rows")
+    return warehouse.ledger().join(stored, BATCH).select(BATCH, "n_rows", "stored_rows")
+
+
+def guarded_ingest(spark, sf_dir):
+    """Months of orders that keep all rules are stored, the others refused: violations by month and rule."""
+    warehouse = _warehouse(spark)
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", *ORDER_KINDS)
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"))
+    guard = checks.Guard(
+        rows={"price in range": ~F.col("o_totalprice").between(1000, 499_700)},
+        unique={"one order a day, customer and priority": ["o_custkey", "o_orderdate", "o_orderpriority"]},
+        references={"customer exists": ("o_custkey", customers.filter("o_custkey > 1"))},
+    )
+    ingest(warehouse, orders, "o_orderdate", guard=guard)
+    kept = rows_per_batch(warehouse.raw()).select(BATCH, F.lit("stored").alias("check"), F.col("n_rows").alias("n"))
+    return kept.unionByName(warehouse.refused().select(BATCH, "check", "n"))
+
+
+def stream_closed_months(spark, sf_dir):
+    """Orders that arrive in three parts, cut within months, and some again at the end: rows of the months that the
+    watermark has closed, and how many came too late."""
+    warehouse, source = _warehouse(spark), scratch_path(spark, "landing")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    marks = (scratch_path(spark, "stream"), scratch_path(spark, "stream"))
+
+    def run(part: DataFrame) -> None:
+        part.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(orders.schema).parquet(source)
+        collect_arrivals(stream, warehouse, "o_orderdate", marks[0]).awaitTermination()
+        store_closed_months(warehouse, schema, "o_orderdate", marks[1], delay="10 days").awaitTermination()
+
+    schema = assign_batches(orders, "o_orderdate").schema
+    day = F.col("o_orderdate")
+    run(orders.filter(day < "1997-03-15"))
+    run(orders.filter((day >= "1997-03-15") & (day < "1999-06-20")))
+    run(orders.filter(day >= "1999-06-20"))
+    run(orders.filter(F.col("o_orderkey") % 50 == 0))
+    late = late_arrivals(warehouse, schema).select(BATCH, "late_rows")
+    return (
+        rows_per_batch(warehouse.raw())
+        .join(late, BATCH, "left")
+        .select(BATCH, "n_rows", F.coalesce("late_rows", F.lit(0)).cast("long").alias("late_rows"))
+    )
+
+
 def raw_mixed_types(spark, sf_dir):
     """Two ingests whose customer keys are whole numbers and decimals, read back as one table."""
     warehouse = _warehouse(spark)
@@ -542,6 +597,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         seed_from_csv,
         stream_ingest,
         stream_two_sources,
+        stream_closed_months,
+        two_writers,
+        guarded_ingest,
         raw_mixed_types,
         dq_listing,
         written_report,

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
-from itertools import combinations
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -12,6 +10,7 @@ from batchlens.functions.values import number
 from batchlens.kinds import CATEGORICAL, NUMERIC, of_kind, resolve
 from batchlens.operators import profile as prof
 from batchlens.operators.batching import BATCH
+from batchlens.operators.comoments import comoments, correlations, merged
 from batchlens.operators.quantiles import SMALL_TABLE, quantiles
 
 DESCRIBE = ("count", "mean", "std", "min", "p25", "p50", "p75", "max")
@@ -71,41 +70,15 @@ def describe(
     return out.select("ord", "feature", "count", *values)
 
 
-def correlation(df: DataFrame, kinds: Mapping[str, str], pairs_per_pass: int = 800) -> DataFrame:
+def correlation(df: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
     """Pearson matrix of the numeric columns as (x, y, corr), each pair over the rows that have both.
 
     NULL when either column is constant over those rows. Less than two numeric columns give no rows.
     """
     nums = of_kind(known(df, kinds), NUMERIC)
-    spark = df.sparkSession
     if len(nums) < 2:
-        return spark.createDataFrame([], "x string, y string, corr double")
-    values = df.select(*[number(df, c).alias(f"c{i}") for i, c in enumerate(nums)])
-    pairs = [(i, i) for i in range(len(nums))] + list(combinations(range(len(nums)), 2))
-    parts = []
-    for start in range(0, len(pairs), pairs_per_pass):
-        chunk = pairs[start : start + pairs_per_pass]
-        records = []
-        aggs = []
-        for i, j in chunk:
-            x, y = F.col(f"c{i}"), F.col(f"c{j}")
-            if i == j:
-                spread = F.when(F.stddev_pop(x) > 0, 1.0)
-            else:
-                both_x, both_y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
-                spread = F.try_divide(F.covar_pop(x, y), F.stddev_pop(both_x) * F.stddev_pop(both_y))
-            aggs.append(spread.alias(f"r{i}_{j}"))
-            for a, b in {(i, j), (j, i)}:
-                records.append(
-                    F.struct(
-                        F.lit(nums[a]).alias("x"),
-                        F.lit(nums[b]).alias("y"),
-                        F.col(f"r{i}_{j}").alias("corr"),
-                    )
-                )
-        row = values.agg(*aggs)
-        parts.append(row.select(F.explode(F.array(*records)).alias("r")).select("r.*"))
-    return reduce(DataFrame.unionAll, parts)
+        return df.sparkSession.createDataFrame([], "x string, y string, corr double")
+    return correlations(merged(comoments(df, nums)), nums)
 
 
 def histogram(df: DataFrame, kinds: Mapping[str, str], *, bins: int = 30, max_columns: int | None = None) -> DataFrame:
@@ -121,26 +94,31 @@ def histogram(df: DataFrame, kinds: Mapping[str, str], *, bins: int = 30, max_co
         return spark.createDataFrame([], "feature string, bin int, lo double, hi double, cnt bigint")
     xs = [number(df, c) for c in nums]
     ends = df.agg(*[f(x).alias(f"{f.__name__}{i}") for i, x in enumerate(xs) for f in (F.min, F.max)]).first()
-    lanes, frame = [], []
-    for i, (name, x) in enumerate(zip(nums, xs)):
-        lo, hi = ends[f"min{i}"], ends[f"max{i}"]
-        if lo is None:
-            lo, hi = 0.0, 1.0
-        elif lo == hi:
-            lo, hi = lo - 0.5, hi + 0.5
-        lanes += [F.lit(name), x, F.lit(lo), F.lit(hi)]
-        frame.append((name, lo, hi))
+    frame = ranges([(c, ends[f"min{i}"], ends[f"max{i}"]) for i, c in enumerate(nums)])
+    lanes = [v for (name, lo, hi), x in zip(frame, xs) for v in (F.lit(name), x, F.lit(lo), F.lit(hi))]
     cells = df.select(F.stack(F.lit(len(nums)), *lanes).alias("feature", "x", "lo", "hi"))
-    counts = (
-        _with_bin(cells.filter(F.col("x").isNotNull()), bins)
-        .groupBy("feature", "bin")
-        .agg(F.count(F.lit(1)).alias("cnt"))
-    )
+    return binned(cells.filter(F.col("x").isNotNull()).withColumn("cnt", F.lit(1).cast("long")), frame, bins)
+
+
+def ranges(ends: list[tuple]) -> list[tuple]:
+    """(feature, lo, hi) with a range of 1 for constant columns and for those without values."""
+
+    def widened(lo, hi):
+        if lo is None:
+            return 0.0, 1.0
+        return (lo - 0.5, hi + 0.5) if lo == hi else (lo, hi)
+
+    return [(name, *widened(lo, hi)) for name, lo, hi in ends]
+
+
+def binned(cells: DataFrame, frame: list[tuple], bins: int) -> DataFrame:
+    """(feature, bin, lo, hi, cnt) over cells (feature, x, lo, hi, cnt) whose ranges are those of the frame."""
+    counts = _with_bin(cells, bins).groupBy("feature", "bin").agg(F.sum("cnt").alias("cnt"))
     edge = lambda k: F.when(k == bins, F.col("hi")).otherwise(
         F.col("lo") + k * ((F.col("hi") - F.col("lo")) / bins)
     )
     frames = (
-        spark.createDataFrame(frame, "feature string, lo double, hi double")
+        cells.sparkSession.createDataFrame(frame, "feature string, lo double, hi double")
         .withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
         .select("feature", "bin", edge(F.col("bin")).alias("left"), edge(F.col("bin") + 1).alias("right"))
     )

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from batchlens.functions.values import number, text
 from batchlens.kinds import CATEGORICAL, NUMERIC, of_kind, resolve
@@ -47,10 +47,17 @@ def text_counts(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (BA
     return cells.groupBy(*keys, "feature", "text").agg(F.count(F.lit(1)).alias("cnt"))
 
 
+def _long_digest() -> Column:
+    return F.when(F.char_length("text") >= HEAD, F.sha2("text", 256))
+
+
 def digest_counts(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (BATCH,)) -> DataFrame:
-    """Rows per (keys, feature, head, digest): the shuffle carries no text beyond its first HEAD characters."""
+    """Rows per (keys, feature, head, digest): the shuffle carries no text beyond its first HEAD characters.
+
+    A text that ends before is its own head and has no digest.
+    """
     cells = text_cells(df, columns, keys).select(
-        *keys, "feature", F.left("text", F.lit(HEAD)).alias("head"), F.sha2("text", 256).alias("digest")
+        *keys, "feature", F.left("text", F.lit(HEAD)).alias("head"), _long_digest().alias("digest")
     )
     return cells.groupBy(*keys, "feature", "head", "digest").agg(F.count(F.lit(1)).alias("cnt"))
 

@@ -56,6 +56,12 @@ def quantiles(
     return found
 
 
+def quantiles_of_counts(counts: DataFrame, probs: Sequence[float], keys: Sequence[str] = (BATCH,)) -> DataFrame:
+    """The same over values that are counted already: (keys, feature, value, cnt), each value once."""
+    ps = F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p")
+    return _by_rank(counts.select(*keys, "feature", ps, F.lit(ZONE_INSIDE).alias("zone"), "value", "cnt"), keys)
+
+
 def _by_aggregate(values, columns, probs, keys) -> DataFrame:
     ps = F.array(*[F.lit(float(p)) for p in probs])
     wide = values.groupBy(*keys).agg(

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from batchlens.functions.texts import fixed, percent, plain, table_row, thousands
 from batchlens.kinds import CATEGORICAL, NUMERIC, of_kind
-from batchlens.operators import eda, trends
+from batchlens.operators import eda, states, trends
+from batchlens.plans.update import backfill_states
 from batchlens.session import configure, scratch_scope, stage
 from batchlens.sources.warehouse import Warehouse
 
@@ -200,8 +201,8 @@ def write_lines(lines: DataFrame, path: str) -> None:
 def write_report(warehouse: Warehouse, kinds: Mapping[str, str], path: str) -> list[str]:
     """Write the report below path: text/ and one Parquet table per part; returns the table names.
 
-    The quality part is always written, the exploratory part when rows are stored. Intermediate tables
-    are gone when it ends.
+    The quality part is always written, the exploratory part when rows are stored. That part is made from the states
+    of the batches, so only batches that are new, or have new rows, are read. Intermediate tables are gone when it ends.
     """
     with scratch_scope(configure(warehouse.spark)):
         return _write_report(warehouse, kinds, path)
@@ -211,11 +212,16 @@ def _write_report(warehouse: Warehouse, kinds: Mapping[str, str], path: str) ->
     dq = warehouse.dq()
     tables = dq_tables(dq)
     lines = dq_lines(dq)
-    df = warehouse.raw()
-    if len(df.columns) > 1:
-        found = {name: stage(t, name) for name, t in eda_tables(df, kinds).items()}
+    # The columns of the rows, which are not read.
+    columns = warehouse.raw()
+    if len(columns.columns) > 1:
+        own = eda.known(columns, kinds, "error")
+        backfill_states(warehouse, own)
+        n_rows = warehouse.ledger().agg(F.sum("n_rows")).first()[0]
+        made = states.tables(*warehouse.states(), own, n_rows)
+        found = {name: stage(t, name) for name, t in made.items()}
         tables.update(found)
-        lines = lines.unionByName(eda_lines(found, eda.known(df, kinds, "error")))
+        lines = lines.unionByName(eda_lines(found, own))
     for name, table in tables.items():
         table.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{name}")
     write_lines(lines, f"{path.rstrip('/')}/text")

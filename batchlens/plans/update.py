@@ -8,7 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from batchlens.functions.dates import FORMATS, PIVOT
+from batchlens.operators import eda, states
 from batchlens.operators.batching import assign_batches
+from batchlens.operators.checks import Guard
 from batchlens.operators.profile import profile
 from batchlens.operators.rules import MIN_RULES, mine_rules
 from batchlens.session import configure, scratch_scope
@@ -76,6 +78,16 @@ def backfill_rules(
     return len(todo)
 
 
+def backfill_states(warehouse: Warehouse, kinds: Mapping[str, str], *, unknown: str = "error") -> int:
+    """Count the values of all batches that lack their states, together; returns their number."""
+    todo = warehouse.pending_states(kinds)
+    if todo:
+        rows = warehouse.raw(todo)
+        own = eda.known(rows, kinds, unknown)
+        warehouse.save_states(states.value_states(rows, own), states.pair_states(rows, own), own, todo)
+    return len(todo)
+
+
 def update(
     warehouse: Warehouse,
     source: DataFrame | str,
@@ -91,13 +103,15 @@ def update(
     pivot: int = PIVOT,
     on_bad: str = "error",
     multiline: bool = True,
+    guard: Guard | None = None,
     **mining,
 ) -> Updated:
     """Bring the warehouse up to date with a CSV folder or a DataFrame.
 
     Time and target columns are profiled but not mined. A run that died is completed by the next
     one, because every step takes the batches that still lack its result. formats, pivot and on_bad
-    tell how dates are read, multiline and on_bad how CSV files are; further arguments go to the mining.
+    tell how dates are read, multiline and on_bad how CSV files are, guard which batches may be stored; further
+    arguments go to the mining.
     Intermediate tables of the run are gone when it ends.
     """
     spark = configure(warehouse.spark)
@@ -105,7 +119,7 @@ def update(
     mining["min_rules"] = min_rules
     with scratch_scope(spark):
         df = read_csvs(spark, source, kinds, multiline=multiline, on_bad=on_bad) if isinstance(source, str) else source
-        saved = ingest(warehouse, df, time_column, formats=formats, pivot=pivot, on_bad=on_bad, late=late)
+        saved = ingest(warehouse, df, time_column, formats=formats, pivot=pivot, on_bad=on_bad, late=late, guard=guard)
         profiled = backfill_dq(warehouse, kinds, unknown=unknown)
         mined = backfill_rules(warehouse, kinds, exclude, retry_empty=retry_empty, **mining)
     return Updated(saved, profiled, mined)

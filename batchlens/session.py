@@ -19,7 +19,7 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def _hadoop_path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
     found = spark._jvm.org.apache.hadoop.fs.Path(path)
     return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
 
@@ -36,7 +36,7 @@ def scratch_dir(spark: SparkSession) -> str:
     if base:
         return f"{base.rstrip('/')}/batchlens-{app}"
     path = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch/batchlens-{app}"
-    system, folder = _hadoop_path(spark, path)
+    system, folder = hadoop_path(spark, path)
     system.mkdirs(folder)
     system.deleteOnExit(folder)
     return path
@@ -57,13 +57,13 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         for path in _open_scopes.pop():
-            system, folder = _hadoop_path(spark, path)
+            system, folder = hadoop_path(spark, path)
             system.delete(folder, True)
 
 
 def clear_scratch(spark: SparkSession) -> None:
     """Delete the intermediate tables of this application, once no DataFrame needs them any more."""
-    system, folder = _hadoop_path(spark, scratch_dir(spark))
+    system, folder = hadoop_path(spark, scratch_dir(spark))
     system.delete(folder, True)
 
 

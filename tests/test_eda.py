@@ -24,11 +24,6 @@ def test_correlation_pairwise_and_constant(small):
     assert [v for key, v in found.items() if "k" in key] == [None] * 5
 
 
-def test_correlation_in_several_passes(small):
-    whole = {tuple(r) for r in eda.correlation(small, KINDS).collect()}
-    assert {tuple(r) for r in eda.correlation(small, KINDS, pairs_per_pass=2).collect()} == whole
-
-
 def test_correlation_needs_two_columns(small):
     assert eda.correlation(small, {"a": NUMERIC}).isEmpty()
 
