@@ -260,7 +260,7 @@ def frequent_itemsets(spark, sf_dir):
 
 def frequent_itemsets_stepwise(spark, sf_dir):
     """The same item by item, as for baskets with too many subsets to count at once."""
-    return _sets(itemsets.frequent_itemsets(shipments(spark, sf_dir), SHIPMENT_KINDS, 0.05, expand_limit=0))
+    return _sets(itemsets.frequent_itemsets(shipments(spark, sf_dir), SHIPMENT_KINDS, 0.05, whole=0))
 
 
 def _rules(df: DataFrame) -> DataFrame:

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from batchlens.kinds import NUMERIC
 from batchlens.operators.batching import BATCH
-from batchlens.operators.items import ItemBook, item_book, item_columns
-from batchlens.operators.itemsets import EXPAND_LIMIT, mine
+from batchlens.operators.items import ItemBook, coded_baskets, item_book, item_columns
+from batchlens.operators.itemsets import WHOLE, mine, mine_level
 from batchlens.operators.quantiles import SMALL_TABLE
 from batchlens.session import stage
 
@@ -81,12 +81,12 @@ def rules_at(
     unknown: str = NUMERIC,
     numeric_categorical: str = "one_hot",
     small_table: int = SMALL_TABLE,
-    expand_limit: int = EXPAND_LIMIT,
+    whole: int = WHOLE,
 ) -> DataFrame:
     """All rules of every batch at one pair of thresholds."""
     columns = item_columns(df, kinds, exclude, unknown=unknown, numeric_categorical=numeric_categorical)
     book = item_book(df, columns, min_support, small_table=small_table)
-    sets = mine(df, book, min_support, expand_limit)
+    sets = mine(df, book, min_support, whole)
     return with_texts(split_sets(sets, min_confidence), book)
 
 
@@ -101,14 +101,15 @@ def mine_rules(
     unknown: str = NUMERIC,
     numeric_categorical: str = "one_hot",
     small_table: int = SMALL_TABLE,
-    expand_limit: int = EXPAND_LIMIT,
+    whole: int = WHOLE,
 ) -> DataFrame:
     """Rules of every batch, relaxing first confidence, then support until it has min_rules.
 
     A batch keeps the rules of all attempts up to the one at which it stops: those with the
     previous support at the lowest confidence, and those with the current support at the
     confidence it stopped at. So one mining per support is enough, and only batches that still
-    lack rules are mined at the next support.
+    lack rules are mined at the next support. The rows are read once, as baskets of all items that
+    the lowest support may want, and a support counts only sets that the ones before it did not.
     """
     columns = item_columns(df, kinds, exclude, unknown=unknown, numeric_categorical=numeric_categorical)
     if not columns:
@@ -116,12 +117,15 @@ def mine_rules(
     steps = list(accumulate(confidences, min))
     levels = [s for i, s in enumerate(supports) if s < min(supports[:i], default=2.0)]
     book = item_book(df, columns, levels[-1], small_table=small_table)
-    # One id per batch, held here because the batches still open prune the next scan.
-    everything = open_batches = [r[0] for r in book.table.select(BATCH).collect()]
+    baskets = stage(coded_baskets(df, book, levels[-1]), "coded")
+    # One id per batch, held here because only the batches still open go on.
+    open_batches = [r[0] for r in book.table.select(BATCH).collect()]
     chosen = []
+    counted = None
     for level, support in enumerate(levels):
-        part = df if open_batches == everything else df.filter(F.col(BATCH).isin(open_batches))
-        coded = stage(split_sets(mine(part, book, support, expand_limit), steps[-1]), "rules")
+        part = baskets.filter(F.col(BATCH).isin(open_batches))
+        sets, counted = mine_level(part, book, support, counted, whole)
+        coded = stage(split_sets(sets, steps[-1]), "rules")
         earlier = F.col("support") >= levels[level - 1] if level else F.lit(False)
         within = [earlier | (F.col("confidence") >= c) for c in steps]
         totals = coded.groupBy(BATCH).agg(*[F.count_if(w).alias(f"n{j}") for j, w in enumerate(within)])
