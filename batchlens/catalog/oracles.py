@@ -16,7 +16,18 @@ from batchlens.catalog.subjects import (
 )
 from batchlens.kinds import CATEGORICAL, NUMERIC, of_kind
 from batchlens.operators.rules import CONFIDENCES, MIN_RULES, SUPPORTS
-from batchlens.plans.report import BATCH_HEAD, DQ_TITLE, FEATURE_HEAD
+from batchlens.plans.report import (
+    BATCH_HEAD,
+    CATEGORICAL_TITLE,
+    DQ_TITLE,
+    EDA_TITLE,
+    FEATURE_HEAD,
+    HISTOGRAMS,
+    NUMERIC_TITLE,
+    OVERVIEW_HEAD,
+    STAT_NAMES,
+    VALUE_HEAD,
+)
 
 SHIPMENTS = """SELECT strftime(l_shipdate, '%Y-%m') AS batch_id, l_shipdate, l_orderkey, l_partkey, l_suppkey,
   l_quantity, l_extendedprice, l_discount, nullif(l_tax, 0) AS tax, nullif(l_returnflag, 'N') AS flag,
@@ -152,11 +163,11 @@ def _sets(view: str, kinds: Mapping[str, str], min_support: float) -> str:
     """CTE sets: (batch_id, items, cnt, n_rows, support), all subsets of the baskets counted."""
     return (
         _baskets(view, kinds)
-        + f""", baskets AS (SELECT batch_id, list_sort(items) AS items, count(*) AS w FROM rows_items
+        + f""", baskets AS MATERIALIZED (SELECT batch_id, list_sort(items) AS items, count(*) AS w FROM rows_items
   WHERE len(items) > 0 GROUP BY ALL),
 subsets AS (SELECT batch_id, list_filter(items, lambda x, i: (mask >> (i - 1)) & 1 = 1) AS items, w
   FROM baskets, range(1, {2 ** len(kinds)}) AS t(mask) WHERE mask < (1 << len(items))),
-sets AS (SELECT s.batch_id, s.items, sum(w)::BIGINT AS cnt, n_rows, sum(w)::BIGINT / n_rows AS support
+sets AS MATERIALIZED (SELECT s.batch_id, s.items, sum(w)::BIGINT AS cnt, n_rows, sum(w)::BIGINT / n_rows AS support
   FROM subsets s JOIN med USING (batch_id) GROUP BY s.batch_id, s.items, n_rows
   HAVING sum(w)::BIGINT / n_rows >= {min_support})"""
     )
@@ -170,7 +181,7 @@ def _rules(view: str, kinds: Mapping[str, str], min_support: float, min_confiden
   list_filter(items, lambda x, i: (mask >> (i - 1)) & 1 = 1) AS a,
   list_filter(items, lambda x, i: (mask >> (i - 1)) & 1 = 0) AS c
   FROM sets, range(1, {2 ** len(kinds)}) AS t(mask) WHERE len(items) >= 2 AND mask < (1 << len(items)) - 1),
-rules AS (SELECT s.batch_id, s.a, s.c, s.support, s.support / l.support AS confidence,
+rules AS MATERIALIZED (SELECT s.batch_id, s.a, s.c, s.support, s.support / l.support AS confidence,
   s.support / l.support / r.support AS lift
   FROM splits s JOIN sets l ON s.batch_id = l.batch_id AND s.a = l.items
   JOIN sets r ON s.batch_id = r.batch_id AND s.c = r.items WHERE s.support / l.support >= {min_confidence})"""
@@ -181,7 +192,7 @@ RULE_COLUMNS = """batch_id, array_to_string(a, ',') AS antecedents, array_to_str
   support, confidence, lift"""
 
 
-def _ladder(view: str, kinds: Mapping[str, str], min_rules: int) -> str:
+def _ladder(view: str, kinds: Mapping[str, str], min_rules: int, columns: str = RULE_COLUMNS) -> str:
     steps, earlier = [], None
     for s in SUPPORTS:
         for c in CONFIDENCES:
@@ -196,7 +207,7 @@ def _ladder(view: str, kinds: Mapping[str, str], min_rules: int) -> str:
         _rules(view, kinds, SUPPORTS[-1], CONFIDENCES[-1])
         + f", totals AS (SELECT batch_id, {totals} FROM rules GROUP BY batch_id), "
         f"stops AS (SELECT batch_id, CASE {stop} ELSE {last} END AS stop FROM totals) "
-        f"SELECT {RULE_COLUMNS} FROM rules JOIN stops USING (batch_id) WHERE CASE stop {keep} END"
+        f"SELECT {columns} FROM rules JOIN stops USING (batch_id) WHERE CASE stop {keep} END"
     )
 
 
@@ -283,6 +294,26 @@ def _report_lines(view: str, kinds: Mapping[str, str]) -> str:
     return _dq(view, kinds) + " " + " UNION ALL ".join(parts)
 
 
+def _eda_lines(view: str, kinds: Mapping[str, str]) -> str:
+    """All lines of the exploratory part, in no order, of a table with one numeric column."""
+    number = of_kind(kinds, NUMERIC)[0]
+    cats = of_kind(kinds, CATEGORICAL)
+    shown = "regexp_replace(printf('%.4f', {x}), '(\\.\\d+?)0+$', '\\1')"
+    stats = " UNION ALL ".join(
+        f"SELECT '| {STAT_NAMES.get(x, x)} | ' || {shown.format(x=f'{x}::DOUBLE')} || ' |' FROM describe_all"
+        for x in ("count", "mean", "std", "min", "p25", "p50", "p75", "max")
+    )
+    fixed = ["---", EDA_TITLE, "## Summary", *OVERVIEW_HEAD, NUMERIC_TITLE, f"| index | {number} |", "|---|---|"]
+    fixed += [CATEGORICAL_TITLE, *[line for c in cats for line in (f"### {c}", *VALUE_HEAD)]]
+    head = " UNION ALL ".join(f"SELECT '{line}' AS line" for line in fixed if line)
+    return f"""WITH describe_all AS ({_eda_describe(view, {number: NUMERIC})}), overview_all AS ({_eda_overview(view, kinds)}),
+  top_all AS ({_top(_all_rows(view), kinds, False)})
+  {head} UNION ALL SELECT '- **Rows:** ' || format('{{:,}}', count(*)) FROM ({view})
+  UNION ALL SELECT '- **Columns:** {len(kinds)}'
+  UNION ALL SELECT printf('| %s | %s | %.2f%% | %d |', feature, value_type, missing_pct, unique_count) FROM overview_all
+  UNION ALL {stats} UNION ALL SELECT '| ' || value || ' | ' || cnt || ' |' FROM top_all"""
+
+
 CONSTRAINTS = _dq(SHIPMENTS, SHIPMENT_KINDS) + f""", o AS ({ORDERS})
 SELECT * FROM (
 SELECT 'dq batch in ledger' AS "check", count(*) AS n FROM dq WHERE batch_id NOT IN (SELECT batch_id FROM o)
@@ -379,6 +410,20 @@ ORACLES: dict[str, str] = {
   OR x = 'l_linenumber=1'), lambda x: CASE WHEN x = 'l_linenumber=1' THEN 'l_linenumber' ELSE x END), ',') AS items)
   FROM rows_items""",
     "update_run_dq": _profile(SHIPMENTS, UPDATE_KINDS),
+    "written_report_stored": f"""SELECT line FROM (
+  {_report_lines(ORDERS, {"o_orderdate": CATEGORICAL, **ORDER_KINDS})}) WHERE line <> ''
+  UNION ALL SELECT line FROM ({_eda_lines(ORDERS, {"o_orderdate": CATEGORICAL, **ORDER_KINDS})})""",
+    "eda_histogram_first": _eda_histogram(
+        f"SELECT {', '.join(f'o_totalprice + {i} AS p{i}' for i in range(len(WIDE_KINDS)))} FROM orders",
+        dict(list(WIDE_KINDS.items())[:HISTOGRAMS]),
+        5,
+    ),
+    "rules_listing": f"""SELECT batch_id, row_number() OVER (ORDER BY batch_id, lift DESC, a, c) - 1 AS place,
+  array_to_string(a, ',') AS antecedents, array_to_string(c, ',') AS consequents, support, confidence, lift
+  FROM ({_ladder(ORDERS, MINED_ORDERS, MIN_RULES, "*")})""",
+    "rules_json": f"""SELECT batch_id, '["' || array_to_string(a, '","') || '"]' AS antecedents,
+  '["' || array_to_string(c, '","') || '"]' AS consequents, support, confidence, lift
+  FROM ({_ladder(ORDERS, MINED_ORDERS, MIN_RULES, "*")})""",
     "two_writers": f"""SELECT batch_id, count(*) AS n_rows, count(*) AS stored_rows FROM ({ORDERS})
   GROUP BY batch_id""",
     "guarded_ingest": f"""WITH o AS ({ORDERS}), bad AS (
@@ -404,3 +449,5 @@ ORACLES["undated_rows"] = ORACLES["time_parse"]
 ORACLES["time_parse_bad"] = ORACLES["time_parse"]
 ORACLES["stream_ingest"] = ORACLES["batch_ledger"]
 ORACLES["update_run_rules"] = ORACLES["rules_orders"]
+ORACLES["stored_describe"] = ORACLES["eda_describe"]
+ORACLES["stored_correlation"] = ORACLES["eda_correlation"]

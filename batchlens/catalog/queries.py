@@ -25,13 +25,13 @@ from batchlens.catalog.subjects import (
     table,
 )
 from batchlens.functions.dates import month_key, parse_timestamp
-from batchlens.functions.jsons import row_from_json, row_to_json, stats_to_json
+from batchlens.functions.jsons import list_to_json, row_from_json, row_to_json, stats_to_json
 from batchlens.kinds import CATEGORICAL, NUMERIC
-from batchlens.operators import checks, cleaning, eda, itemsets, items, rules, trends
+from batchlens.operators import checks, cleaning, eda, itemsets, items, rules, states, trends
 from batchlens.operators.batching import BATCH, assign_batches, rows_per_batch
 from batchlens.operators.profile import numeric_statistics, profile, quality_records, text_counts, top_values
-from batchlens.plans.report import dq_lines, write_report
-from batchlens.plans.update import backfill_dq, ingest, seed, update
+from batchlens.plans.report import HISTOGRAMS, dq_lines, write_report
+from batchlens.plans.update import backfill_dq, backfill_states, ingest, seed, update
 from batchlens.session import scratch_path, stage
 from batchlens.sources.csvs import read_csvs
 from batchlens.sources.warehouse import Warehouse, pending, split_late
@@ -230,6 +230,32 @@ def eda_histogram_wide(spark, sf_dir):
     return _rounded(eda.histogram(df, WIDE_KINDS, bins=5))
 
 
+def eda_histogram_first(spark, sf_dir):
+    """The same table cut to the first twelve columns, as a report shows them."""
+    df = table(spark, sf_dir, "orders").select(*[(F.col("o_totalprice") + i).alias(f"p{i}") for i in range(14)])
+    return _rounded(eda.histogram(df, WIDE_KINDS, bins=5, max_columns=HISTOGRAMS))
+
+
+def _stored_states(spark, sf_dir):
+    """Value counts and co-moments of the shipments, kept per batch: months of the first half, then all of them."""
+    warehouse = _warehouse(spark)
+    df = all_shipments(spark, sf_dir)
+    warehouse.save(df.filter(F.col(BATCH) < "1998-06"))
+    backfill_states(warehouse, ALL_SHIPMENT_KINDS)
+    warehouse.save(df)
+    backfill_states(warehouse, ALL_SHIPMENT_KINDS)
+    return warehouse.states()
+
+
+def stored_describe(spark, sf_dir):
+    values, _ = _stored_states(spark, sf_dir)
+    return states.describe(states.merged(values), ALL_SHIPMENT_KINDS)
+
+
+def stored_correlation(spark, sf_dir):
+    return _rounded(states.correlation(_stored_states(spark, sf_dir)[1], ALL_SHIPMENT_KINDS))
+
+
 # --- rules
 
 
@@ -263,8 +289,8 @@ def frequent_itemsets_stepwise(spark, sf_dir):
     return _sets(itemsets.frequent_itemsets(shipments(spark, sf_dir), SHIPMENT_KINDS, 0.05, whole=0))
 
 
-def _rules(df: DataFrame) -> DataFrame:
-    return df.select(BATCH, _joined("antecedents"), _joined("consequents"), "support", "confidence", "lift")
+def _rules(df: DataFrame, *extra: str) -> DataFrame:
+    return df.select(BATCH, *extra, _joined("antecedents"), _joined("consequents"), "support", "confidence", "lift")
 
 
 def rules_fixed(spark, sf_dir):
@@ -275,6 +301,22 @@ def rules_ladder(spark, sf_dir):
     return _rules(rules.by_lift(rules.mine_rules(shipments(spark, sf_dir), SHIPMENT_KINDS, min_rules=500)))
 
 
+def rules_listing(spark, sf_dir):
+    """Rules of the orders by falling lift, with their place."""
+    found = rules.mine_rules(monthly_orders(spark, sf_dir), ORDER_KINDS, exclude=["o_totalprice"])
+    place = F.monotonically_increasing_id()
+    return _rules(rules.by_lift(found).coalesce(1).withColumn("place", place), "place")
+
+
+def rules_json(spark, sf_dir):
+    """Stored rules of the orders with their sides as JSON text."""
+    warehouse = _warehouse(spark)
+    source = table(spark, sf_dir, "orders").select("o_orderdate", *ORDER_KINDS)
+    update(warehouse, source, {"o_orderdate": "categorical", **ORDER_KINDS}, "o_orderdate", target="o_totalprice")
+    sides = [list_to_json(F.col(c)).alias(c) for c in ("antecedents", "consequents")]
+    return warehouse.rules().select(BATCH, *sides, "support", "confidence", "lift")
+
+
 def rules_orders(spark, sf_dir):
     """Default ladder on orders, with the price as target left out of the mining."""
     found = rules.mine_rules(monthly_orders(spark, sf_dir), ORDER_KINDS, exclude=["o_totalprice"])
@@ -508,6 +550,17 @@ def written_report(spark, sf_dir):
     return spark.read.text(f"{path}/text").select(F.col("value").alias("line")).filter("line <> ''")
 
 
+def written_report_stored(spark, sf_dir):
+    """A whole written report over stored orders, quality and exploratory part, line by line as it is read back."""
+    warehouse = _warehouse(spark)
+    path = scratch_path(spark, "report")
+    kinds = {"o_orderdate": CATEGORICAL, **ORDER_KINDS}
+    ingest(warehouse, table(spark, sf_dir, "orders").select(*kinds), "o_orderdate")
+    backfill_dq(warehouse, kinds)
+    write_report(warehouse, kinds, path)
+    return spark.read.text(f"{path}/text").select(F.col("value").alias("line")).filter("line <> ''")
+
+
 def row_items_equals_one(spark, sf_dir):
     """Items where a whole-number category counts when it is 1, with a column that is always missing."""
     keys = ("l_orderkey", "l_partkey", "l_suppkey")
@@ -575,6 +628,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         eda_top10,
         eda_top10_documents,
         eda_histogram_wide,
+        eda_histogram_first,
+        stored_describe,
+        stored_correlation,
         batch_medians,
         batch_medians_ranged,
         row_items,
@@ -583,6 +639,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         rules_fixed,
         rules_ladder,
         rules_orders,
+        rules_listing,
+        rules_json,
         pending_dq,
         pending_rules,
         late_rows,
@@ -603,6 +661,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         raw_mixed_types,
         dq_listing,
         written_report,
+        written_report_stored,
         row_items_equals_one,
         update_run_dq,
         update_run_rules,

@@ -124,7 +124,9 @@ def top_values(counts: DataFrame, kinds: Mapping[str, str], k: int = 10) -> Data
     return prof.top_values(texts, k, ())
 
 
-def tables(states: DataFrame, pairs: DataFrame, kinds: Mapping[str, str], n_rows: int) -> dict[str, DataFrame]:
+def tables(
+    states: DataFrame, pairs: DataFrame, kinds: Mapping[str, str], n_rows: int, max_histograms: int | None = None
+) -> dict[str, DataFrame]:
     """The exploratory tables of a report, from the states of all batches."""
     counts = merged(states)
     summary = states.sparkSession.createDataFrame([(n_rows, len(kinds))], "n_rows bigint, n_columns int")
@@ -132,7 +134,7 @@ def tables(states: DataFrame, pairs: DataFrame, kinds: Mapping[str, str], n_rows
     if of_kind(kinds, NUMERIC):
         found["eda_describe"] = describe(counts, kinds)
         found["eda_correlation"] = correlation(pairs, kinds)
-        found["eda_histogram"] = histogram(counts, kinds)
+        found["eda_histogram"] = histogram(counts, kinds, max_columns=max_histograms)
     if of_kind(kinds, CATEGORICAL):
         found["eda_top_values"] = top_values(counts, kinds)
     return found

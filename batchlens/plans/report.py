@@ -14,6 +14,9 @@ from batchlens.plans.update import backfill_states
 from batchlens.session import configure, scratch_scope, stage
 from batchlens.sources.warehouse import Warehouse
 
+# Numeric columns, the first ones, whose histograms a report holds.
+HISTOGRAMS = 12
+
 LINES = "section int, ord string, line string"
 
 # Headings of the report.
@@ -60,7 +63,7 @@ def eda_tables(df: DataFrame, kinds: Mapping[str, str]) -> dict[str, DataFrame]:
     if of_kind(kinds, NUMERIC):
         tables["eda_describe"] = eda.describe(df, kinds)
         tables["eda_correlation"] = eda.correlation(df, kinds)
-        tables["eda_histogram"] = eda.histogram(df, kinds)
+        tables["eda_histogram"] = eda.histogram(df, kinds, max_columns=HISTOGRAMS)
     if of_kind(kinds, CATEGORICAL):
         tables["eda_top_values"] = eda.top_values(df, kinds)
     return tables
@@ -218,7 +221,7 @@ def _write_report(warehouse: Warehouse, kinds: Mapping[str, str], path: str) ->
         own = eda.known(columns, kinds, "error")
         backfill_states(warehouse, own)
         n_rows = warehouse.ledger().agg(F.sum("n_rows")).first()[0]
-        made = states.tables(*warehouse.states(), own, n_rows)
+        made = states.tables(*warehouse.states(), own, n_rows, HISTOGRAMS)
         found = {name: stage(t, name) for name, t in made.items()}
         tables.update(found)
         lines = lines.unionByName(eda_lines(found, own))
