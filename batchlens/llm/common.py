@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import ctypes
+import gc
+from collections.abc import Callable, Iterable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,12 +13,36 @@ from pyspark.sql import functions as F
 from batchlens.session import stage
 
 
-#: Rows that pass between Spark and a Python worker at once. Texts may be long, so these are fewer than usual.
+#: Rows, and bytes, that pass between Spark and a Python worker at once. Texts may be long, so these are fewer than usual.
 ROWS_AT_ONCE = 1000
+BYTES_AT_ONCE = 8 << 20
+
+_holder: tuple[str, Callable[[], None]] | None = None
+
+
+def hold_tables(owner: str, clear: Callable[[], None]) -> None:
+    """Say that this worker now fills tables of `owner`, which `clear` empties.
+
+    Workers serve one stage after the other. What another operator's tables hold is given back to the system first, so
+    that the tables of a pipeline do not add up.
+    """
+    global _holder
+    if _holder is not None and _holder[0] == owner:
+        return
+    before, _holder = _holder, (owner, clear)
+    if before is not None:
+        before[1]()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):
+            pass  # Another C library, which has no such call.
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_AT_ONCE)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BYTES_AT_ONCE)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -49,7 +49,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from batchlens.llm.common import stage_and_free as stage
+from batchlens.llm.common import hold_tables, stage_and_free as stage
 
 LENGTH = 50
 GRAM = 24
@@ -71,6 +71,7 @@ _powers: dict[int, np.ndarray] = {}
 
 def _power_table(base: int, size: int) -> np.ndarray:
     """base**0 ... base**(size - 1), modulo 2**64; grown on demand and kept."""
+    hold_tables("repeats", _powers.clear)
     known = _powers.get(base)
     if known is None or len(known) < size:
         known = np.full(max(size, 2 * BUFFER_BYTES), base, np.uint64)

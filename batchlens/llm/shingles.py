@@ -7,6 +7,8 @@ from functools import lru_cache
 import numpy as np
 import xxhash
 
+from batchlens.llm.common import hold_tables
+
 #: Words whose hash a worker keeps at a time.
 CACHED_WORDS = 250_000
 
@@ -35,6 +37,7 @@ def shingles(text: str, size: int = 5) -> np.ndarray:
     if not words:
         return np.zeros(0, np.uint64)
     known = _word_hashes()
+    hold_tables("shingles", known.clear)
     if len(known) > CACHED_WORDS:
         known.clear()
     if len(words) < size:

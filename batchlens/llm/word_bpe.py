@@ -13,6 +13,8 @@ from functools import lru_cache
 import numpy as np
 from tokenizers import Tokenizer
 
+from batchlens.llm.common import hold_tables
+
 #: Pieces kept at a time; when full the table is emptied and filled anew.
 CACHED_PIECES = 1_000_000
 #: Longer pieces are encoded but not kept.
@@ -78,6 +80,11 @@ class WordEncoder:
 
 
 @lru_cache(maxsize=2)
+def _encoder(tokenizer_path: str) -> WordEncoder:
+    return WordEncoder(tokenizer_path)
+
+
 def word_encoder(tokenizer_path: str) -> WordEncoder:
     """One per worker process, whose table later tasks use again."""
-    return WordEncoder(tokenizer_path)
+    hold_tables("word_bpe", _encoder.cache_clear)
+    return _encoder(tokenizer_path)
