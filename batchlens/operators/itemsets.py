@@ -87,15 +87,17 @@ def mine_level(
     found, kept = [], []
     counted_whole: set[str] = set()
     while True:
-        widths = stage(nodes.groupBy(BATCH, "prefix").agg(F.max(F.size("rest")).alias("width")), "widths")
+        left = F.size("rest")
+        shards = nodes.groupBy(BATCH, "prefix").agg(
+            F.max(left).alias("width"), F.sum(F.pow(F.lit(2.0), left)).alias("load")
+        )
+        widths = stage(shards, "widths")
         narrow = F.col("width") <= whole
         if not found and not kept:
             # One row per batch: the prefix is empty still.
             counted_whole = {r[BATCH] for r in widths.filter(narrow).select(BATCH).collect()}
-        sized = nodes.join(widths, [BATCH, "prefix"])
-        loads = sized.agg(
-            F.sum(F.when(narrow, F.pow(F.lit(2.0), F.size("rest")))).alias("narrow"), F.count_if(~narrow).alias("wide")
-        ).first()
+        loads = widths.agg(F.sum(F.when(narrow, F.col("load"))).alias("narrow"), F.count_if(~narrow).alias("wide")).first()
+        sized = nodes.join(widths.drop("load"), [BATCH, "prefix"])
         if loads.narrow is not None:
             some = sized.filter(narrow & (F.size("fresh") > 0))
             spread = some.repartition(1 + int(loads.narrow // SUBSETS_PER_TASK))
