@@ -10,14 +10,16 @@ Documents with equal sets are one class from the start, so copies are never pair
    unrelated hashes. Under every order, linked sets share a token of their prefixes (the first n - ceil(3n/4) + 1).
 3. *Bundles.* Sets that share a prefix token of order 0 form a list; its most central member (fewest tokens of its
    own) is the pivot. A bundle is a pivot with all members of its lists, so any two partners meet in some bundle.
-4. *Cells.* A bundle is compared in cells of bounded size: first the pivot with blocks of members, then the members
-   that did not link to the pivot (they are few) with blocks of all members. Pairs must share prefix tokens under
-   all three orders before they are verified exactly. A cell returns a forest of the links it found, not all pairs.
-5. Links between classes give the components.
+4. *Cells.* The members of a bundle are dealt into blocks of bounded size, and each pair of blocks is a cell. A pair is
+   taken in one cell only: in the first of the bundles that hold both. It must share prefix tokens under all
+   three orders before it is verified exactly. A cell returns how many links each class has, and one row per class
+   that connects it with those it links to; all pairs only where they are asked for.
+5. These rows between classes give the components, the counts weighted with copies the numbers of links.
 
 Defined results: text without words has an empty set, links with nothing and is its own component. Rows with NULL id
 take part; a component's id is its smallest id that is not NULL. Repeated rows share class and component. An empty
-table gives an empty result. Only the id and the text column are read.
+table gives an empty result. Only the id and the text column are read. A document's links are all other rows it links
+with, equal texts included.
 """
 
 from __future__ import annotations
@@ -52,9 +54,10 @@ UNIT_DOCS = 60_000
 #: Stands for no single document of a unit.
 NO_DOCUMENT = 65_535
 #: Bytes of text per part of the token counts.
-PART_BYTES = 64 << 20
-#: Members in a block of a cell.
-BLOCK = 64
+PART_BYTES = 48 << 20
+#: Members, and tokens, in a block of a cell.
+BLOCK = 256
+BLOCK_TOKENS = 250_000
 #: Orders besides rare-first.
 _ORDER_SEEDS = (0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
 _COLUMNS_AT_ONCE = 20_000
@@ -85,7 +88,7 @@ def _screen_units(schema: pa.Schema, parts: int, size: int):
         held = 0
 
         def flush():
-            tokens = np.concatenate(lower).astype(np.uint32) if lower else np.zeros(0, np.uint32)
+            tokens = np.concatenate(lower) if lower else np.zeros(0, np.uint64)
             docs = np.repeat(np.array(owners, np.uint16), [len(x) for x in lower])
             # A token that several documents of the unit hold is known to be shared; it is sent once, for no document.
             order = np.argsort(tokens, kind="stable")
@@ -96,7 +99,7 @@ def _screen_units(schema: pa.Schema, parts: int, size: int):
             shared = np.bincount(docs[~(first & last)], minlength=len(ids)).astype("<u4")
             docs = np.where(last, docs, np.uint16(NO_DOCUMENT))[first]
             tokens = tokens[first]
-            part = (tokens % np.uint32(parts)).astype(np.uint16 if parts < 65536 else np.uint32)
+            part = (tokens % np.uint64(parts)).astype(np.uint16 if parts < 65536 else np.uint32)
             order = np.argsort(part, kind="stable")
             tokens, docs, part = tokens[order], docs[order], part[order]
             edges = np.searchsorted(part, np.arange(parts + 1))
@@ -148,7 +151,7 @@ def _screen_counts(schema: pa.Schema):
     def run(table: pa.Table) -> pa.Table:
         if not table.num_rows or table["part"][0].as_py() < 0:
             return table.select(schema.names).cast(schema)
-        tokens = [np.frombuffer(x, np.uint32) for x in table["tokens"].to_pylist()]
+        tokens = [np.frombuffer(x, np.uint64) for x in table["tokens"].to_pylist()]
         _, inverse, counts = np.unique(np.concatenate(tokens), return_inverse=True, return_counts=True)
         shared = counts[inverse] > 1
         docs_out, counts_out, at = [], [], 0
@@ -351,24 +354,70 @@ def shared_tokens(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray
     return total.astype(np.int64)
 
 
-def linked_pairs(left: list[dict], right: list[dict]) -> list[tuple[int, int]]:
-    """Index pairs of the sets that link: prefixes meet under every order, and the similarity is 3/4 or more."""
-    possible = np.ones((len(left), len(right)), bool)
+def linked(left: list[dict], right: list[dict], own: int) -> np.ndarray:
+    """Which sets of the left and the right link: a matrix of truth values. `own` is the number of their bundle.
+
+    Pairs that also meet in a bundle of a smaller number are left to it. Prefixes must meet under every order, and
+    the similarity be 3/4 or more.
+    """
+    earlier = [[x["pivots"][x["pivots"] < own] for x in side] for side in (left, right)]
+    possible = shared_tokens(*earlier) == 0
     for bit in range(1 + len(_ORDER_SEEDS)):
+        if not possible.any():
+            return possible
         prefixes = [[x["tokens"][x["flags"] >> bit & 1 == 1] for x in side] for side in (left, right)]
         possible &= shared_tokens(*prefixes) > 0
     rows, columns = np.flatnonzero(possible.any(axis=1)), np.flatnonzero(possible.any(axis=0))
-    if not len(rows):
-        return []
     common = shared_tokens([left[i]["tokens"] for i in rows], [right[j]["tokens"] for j in columns])
-    n_left = np.array([left[i]["n"] for i in rows])[:, None]
-    n_right = np.array([right[j]["n"] for j in columns])[None, :]
-    links = possible[np.ix_(rows, columns)] & (100 * common >= 75 * (n_left + n_right - common))
-    return [(int(rows[i]), int(columns[j])) for i, j in zip(*np.nonzero(links))]
+    n_left = np.array([left[i]["n"] for i in rows], np.int64)[:, None]
+    n_right = np.array([right[j]["n"] for j in columns], np.int64)[None, :]
+    possible[np.ix_(rows, columns)] &= 100 * common >= 75 * (n_left + n_right - common)
+    return possible
+
+
+def connected(links: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A label for each row and column of a matrix of links; those that links connect have the same."""
+    n_left, n_right = links.shape
+    left, right = np.arange(n_left), np.arange(n_left, n_left + n_right)
+    none = n_left + n_right
+    while True:
+        left_now = np.minimum(left, np.where(links, right[None, :], none).min(axis=1, initial=none))
+        right_now = np.minimum(right, np.where(links, left_now[:, None], none).min(axis=0, initial=none))
+        if (left_now == left).all() and (right_now == right).all():
+            return left, right
+        left, right = left_now, right_now
+
+
+def cell_links(own: int, left: list[dict], right: list[dict] | None, pairs: bool) -> list[dict]:
+    """The rows of a cell: (cls, other, links). Without `right` the left side meets itself.
+
+    Numbers of links come with `other` None; the rest connects classes, or with `pairs` is each link once.
+    """
+    itself = right is None
+    right = left if itself else right
+    links = linked(left, right, own)
+    if itself:
+        np.fill_diagonal(links, False)
+    out = []
+    if pairs:
+        for i, j in zip(*np.nonzero(np.triu(links) if itself else links)):
+            a, b = sorted((left[i]["cls"], right[j]["cls"]))
+            out.append({"cls": a, "other": b, "links": None})
+    else:
+        for side, label in zip((left, right), connected(links)):
+            for x, at in zip(side, label.tolist()):
+                other = left[at]["cls"] if at < len(left) else right[at - len(left)]["cls"]
+                if other != x["cls"]:
+                    out.append({"cls": x["cls"], "other": other, "links": None})
+    copies = [np.array([x["copies"] for x in side], np.int64) for side in (left, right)]
+    counts = [(left, links @ copies[1])] + ([] if itself else [(right, copies[0] @ links)])
+    for side, found in counts:
+        out += [{"cls": x["cls"], "other": None, "links": c} for x, c in zip(side, found.tolist()) if c]
+    return out
 
 
-def _cells(schema: pa.Schema, keys: list[str], result):
-    """Walks cells in a partition sorted by `keys`; `left` rows of a cell meet its other rows."""
+def _cells(schema: pa.Schema, pairs: bool):
+    """Walks the cells of a partition, which is sorted by (pivot, low, high, cls)."""
 
     def rows_of(batches):
         for batch in batches:
@@ -376,54 +425,40 @@ def _cells(schema: pa.Schema, keys: list[str], result):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: list[dict] = []
-        for _, group in groupby(rows_of(batches), key=lambda r: tuple(r[k] for k in keys)):
+        for (_, low, high), cell in groupby(rows_of(batches), key=lambda r: (r["pivot"], r["low"], r["high"])):
             sides: tuple[list, list] = ([], [])
-            for r in group:
+            # Where ids repeat, a class may come once per unit.
+            own = None
+            for _, same in groupby(cell, key=lambda r: r["cls"]):
+                r = next(same)
                 r["tokens"] = np.frombuffer(r["tokens"], np.uint64)
                 r["flags"] = np.frombuffer(r["flags"], np.uint8)
-                sides[not r["left"]].append(r)
-            if sides[0] and sides[1]:
-                done += result(*sides)
-            if len(done) >= 10_000:
-                yield pa.RecordBatch.from_pylist(done, schema=schema)
-                done = []
+                r["pivots"] = np.array(r["pivots"], np.int64)
+                own = r["own"]
+                sides[r["block"] != low].append(r)
+            if sides[0] and (low == high or sides[1]):
+                done += cell_links(own, sides[0], None if low == high else sides[1], pairs)
+            while len(done) >= 10_000:
+                yield pa.RecordBatch.from_pylist(done[:10_000], schema=schema)
+                done = done[10_000:]
         if done:
             yield pa.RecordBatch.from_pylist(done, schema=schema)
 
     return run
 
 
-def _pivot_result(left: list[dict], right: list[dict]) -> list[dict]:
-    linked = {j for _, j in linked_pairs(left[:1], right)}
-    return [{"pivot": r["pivot"], "cls": r["cls"], "linked": j in linked} for j, r in enumerate(right)]
-
-
-def _forest_result(left: list[dict], right: list[dict]) -> list[dict]:
-    """Links of a cell that join different groups; members linked to the pivot are one group already."""
-    parent: dict = {}
-
-    def root(x):
-        while parent.setdefault(x, x) != x:
-            parent[x] = x = parent[parent[x]]
-        return x
-
-    pivot = left[0]["pivot"]
-    for r in right:
-        if r["linked"]:
-            parent[root(r["cls"])] = root(pivot)
-    out = []
-    for i, j in linked_pairs(left, right):
-        a, b = root(left[i]["cls"]), root(right[j]["cls"])
-        if a != b:
-            parent[a] = b
-            out.append({"a": left[i]["cls"], "b": right[j]["cls"]})
-    return out
-
+def class_links(
+    docs: DataFrame, found: DataFrame, id_col: str, text_col: str, size: int, pairs: bool = False
+) -> DataFrame:
+    """(cls, other, links), written out: links between classes, enough of them to connect all that are linked.
 
-def class_links(docs: DataFrame, found: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """(a, b): links between classes, enough of them to connect all that are linked."""
+    With `pairs` all of them, each once. Rows without `other` are numbers of links with rows of other classes, to be
+    added up.
+    """
     spark = docs.sparkSession
-    classes = found.filter("n > 0").groupBy("cls").agg(F.min("id").alias("id"), F.max("screened").alias("screened"))
+    classes = found.filter("n > 0").groupBy("cls").agg(
+        F.min("id").alias("id"), F.max("screened").alias("screened"), F.count(F.lit(1)).alias("copies")
+    )
     wanted = classes.filter("screened").select("id")
     source = id_and_text(docs, id_col, text_col)
     # The same plan at every size: both sides move by id, and the narrow one is hashed.
@@ -461,71 +496,70 @@ def class_links(docs: DataFrame, found: DataFrame, id_col: str, text_col: str, s
         "orders",
     )
 
-    postings = sets.select(F.explode("keys").alias("token"), "lonely", "cls")
+    postings = sets.select(F.explode("keys").alias("token"), "lonely", "n", "cls")
     pivots = (
         postings.groupBy("token")
         .agg(F.min(F.struct("lonely", "cls"))["cls"].alias("pivot"), F.count(F.lit(1)).alias("members"))
         .filter("members > 1")
     )
-    bundles = stage(
-        postings.join(pivots, "token").filter("cls <> pivot").select("pivot", "cls").distinct(), "bundles"
-    )
-    # A class may come once per unit where ids repeat; comparing it twice finds the same links.
-    payload = sets.select("cls", "n", "tokens", "flags")
-
-    def blocks(members: DataFrame, name: str) -> DataFrame:
-        """Deals the members of each pivot into blocks of about BLOCK, and counts the blocks."""
-        sizes = members.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias(f"{name}s"))
-        block = F.pmod(F.xxhash64("cls", F.lit(name)), F.col(f"{name}s")).cast("int")
-        return members.join(sizes, "pivot").withColumn(name, block)
-
-    def compared(rows: DataFrame, keys: list[str], result, out: StructType) -> DataFrame:
-        columns = [*keys, "cls", "n", "tokens", "flags", "left", "linked"]
-        placed = rows.join(payload, "cls").select(*dict.fromkeys(columns))
-        placed = placed.repartition(*keys).sortWithinPartitions(*keys, "cls")
-        return placed.mapInArrow(_cells(to_arrow_schema(out), keys, result), out)
-
-    members = blocks(bundles, "block")
-    rows = members.select("pivot", "block", "cls", F.lit(False).alias("left"), F.lit(False).alias("linked")).unionByName(
-        members.select("pivot", "block").distinct().select("*", F.col("pivot").alias("cls"), F.lit(True).alias("left"), F.lit(False).alias("linked"))
-    )
-    star = StructType(
-        [StructField("pivot", BinaryType()), StructField("cls", BinaryType()), StructField("linked", BooleanType())]
-    )
-    stars = stage(compared(rows, ["pivot", "block"], _pivot_result, star), "stars")
-
-    minors = blocks(stars.filter("not linked").select("pivot", "cls"), "minor")
-    of_minors = minors.select("pivot", "minors").distinct()
-    all_members = blocks(stars, "block").join(of_minors, "pivot")
-    of_members = all_members.select("pivot", "blocks").distinct()
-    left = minors.join(of_members, "pivot").select(
-        "pivot", "minor", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "cls",
-        F.lit(True).alias("left"), F.lit(False).alias("linked"),
+    bundles = stage(postings.join(pivots, "token").select("pivot", "cls", "n").distinct(), "bundles")
+    # A class lies in no more bundles than its prefix has tokens; 64-bit hashes of their pivots put them in order.
+    own = F.xxhash64("pivot")
+    placed = bundles.groupBy("cls").agg(F.collect_list(own).alias("pivots"))
+    payload = sets.select("cls", "tokens", "flags").join(classes.select("cls", "copies"), "cls").join(placed, "cls")
+
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_TOKENS)).cast("int")
+    sizes = bundles.groupBy("pivot").agg(blocks.alias("blocks"))
+    members = bundles.join(sizes, "pivot").withColumn("block", F.pmod(F.xxhash64("cls"), "blocks").cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    keys = ["pivot", "low", "high"]
+    rows = members.select("pivot", "cls", "n", "block", other).select(
+        "pivot", own.alias("own"), F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+        "block", "cls", "n",
     )
-    right = all_members.select(
-        "pivot", F.explode(F.sequence(F.lit(0), F.col("minors") - 1)).alias("minor"), "block", "cls",
-        F.lit(False).alias("left"), "linked",
+    cells = rows.join(payload, "cls").repartition(*keys).sortWithinPartitions(*keys, "cls")
+    link = StructType(
+        [StructField("cls", BinaryType()), StructField("other", BinaryType()), StructField("links", LongType())]
     )
-    pair = StructType([StructField("a", BinaryType()), StructField("b", BinaryType())])
-    rest = compared(left.unionByName(right), ["pivot", "minor", "block"], _forest_result, pair)
-    return stars.filter("linked").select(F.col("pivot").alias("a"), F.col("cls").alias("b")).unionByName(rest)
+    return stage(cells.mapInArrow(_cells(to_arrow_schema(link), pairs), link), "class-links")
+
+
+def jaccard_pairs(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5
+) -> tuple[DataFrame, DataFrame]:
+    """All links as (a, b) between classes, each once with a < b, and (id, cls, n_shingles) of every document.
+
+    Documents of one class have equal sets; those without shingles link with nothing.
+    """
+    found = profile(docs, id_col, text_col, shingle_words)
+    links = class_links(docs, found, id_col, text_col, shingle_words, pairs=True)
+    pairs = links.filter("other IS NOT NULL").select(F.col("cls").alias("a"), F.col("other").alias("b"))
+    return pairs, found.select(F.col("id").alias(id_col), "cls", F.col("n").alias("n_shingles"))
 
 
 def jaccard_components(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5
 ) -> DataFrame:
-    """(id, n_shingles, component_id) of every document."""
+    """(id, n_shingles, component_id, n_links) of every document."""
     found = profile(docs, id_col, text_col, shingle_words)
     links = class_links(docs, found, id_col, text_col, shingle_words)
-    roots = components(links)
-    first = found.filter("n > 0").groupBy("cls").agg(F.min("id").alias("first"))
+    roots = components(links.filter("other IS NOT NULL").select(F.col("cls").alias("a"), F.col("other").alias("b")))
+    others = links.filter("other IS NULL").groupBy("cls").agg(F.sum("links").alias("others"))
+    first = found.filter("n > 0").groupBy("cls").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("copies"))
     linked = first.join(roots.withColumnRenamed("node", "cls"), "cls")
     smallest = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    by_class = first.join(
-        linked.select("cls", "root").join(smallest, "root").select("cls", "component_id"), "cls", "left"
-    ).select("cls", F.coalesce("component_id", "first").alias("component_id"))
+    by_class = (
+        first.join(linked.select("cls", "root").join(smallest, "root").select("cls", "component_id"), "cls", "left")
+        .join(others, "cls", "left")
+        .select(
+            "cls",
+            F.coalesce("component_id", "first").alias("component_id"),
+            (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        )
+    )
     return found.join(by_class, "cls", "left").select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
     )

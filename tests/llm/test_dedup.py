@@ -87,7 +87,7 @@ def shingle_set(text):
 
 def jaccard_brute(rows):
     sets = [shingle_set(t) for _, t in rows]
-    parent = list(range(len(rows)))
+    parent, links = list(range(len(rows))), [0] * len(rows)
 
     def root(x):
         while parent[x] != x:
@@ -99,12 +99,14 @@ def jaccard_brute(rows):
             same = len(sets[a] & sets[b])
             if same and 100 * same >= 75 * len(sets[a] | sets[b]):
                 parent[root(a)] = root(b)
+                links[a] += 1
+                links[b] += 1
     smallest = {}
     for k, (i, _) in enumerate(rows):
         if i is not None:
             smallest[root(k)] = min(smallest.get(root(k), i), i)
     return Counter(
-        (i, len(sets[k]), i if not sets[k] else smallest.get(root(k))) for k, (i, _) in enumerate(rows)
+        (i, len(sets[k]), i if not sets[k] else smallest.get(root(k)), links[k]) for k, (i, _) in enumerate(rows)
     )
 
 
@@ -134,12 +136,38 @@ def test_jaccard_families(spark, seed):
     found = jaccard_join.jaccard_components(make_docs(spark, rows))
     expected = jaccard_brute(rows)
     assert Counter(map(tuple, found.collect())) == expected
-    assert len({c for _, _, c in expected}) < len(rows)
+    assert len({c for _, _, c, _ in expected}) < len(rows)
+
+
+def test_jaccard_bundles_of_many_blocks(spark, monkeypatch):
+    """Blocks of four members: links between blocks are found, and each once though many bundles hold both."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", 4)
+    rows = near_rows(5)
+    rows += [(2000 + i, t) for i, t in rows[::3]]
+    docs = make_docs(spark, rows)
+    assert Counter(map(tuple, jaccard_join.jaccard_components(docs).collect())) == jaccard_brute(rows)
+    pairs, members = jaccard_join.jaccard_pairs(docs)
+    sets = {i: shingle_set(t) for i, t in rows}
+    of = {bytes(r["cls"]): sets[r["doc_id"]] for r in members.collect()}
+    assert set(of.values()) == set(sets.values())
+    found = [frozenset((of[bytes(r["a"])], of[bytes(r["b"])])) for r in pairs.collect()]
+    different = list(set(sets.values()))
+    expected = {
+        frozenset((a, b)) for i, a in enumerate(different) for b in different[:i] if 4 * len(a & b) >= 3 * len(a | b)
+    }
+    assert len(found) == len(set(found)) and set(found) == expected and len(expected) > 40
+
+
+def test_jaccard_repeated_ids(spark):
+    """Ids repeat with other texts, and texts with other ids, over several tasks."""
+    rows = [(i % 7, t) for i, t in near_rows(6)] * 2
+    docs = make_docs(spark, rows).repartition(5)
+    assert Counter(map(tuple, jaccard_join.jaccard_components(docs).collect())) == jaccard_brute(rows)
 
 
 def test_jaccard_odd_rows(spark, odd_rows, odd_docs, no_docs):
     found = jaccard_join.jaccard_components(odd_docs)
-    assert found.columns == ["doc_id", "n_shingles", "component_id"]
+    assert found.columns == ["doc_id", "n_shingles", "component_id", "n_links"]
     assert Counter(map(tuple, found.collect())) == jaccard_brute(odd_rows)
     assert jaccard_join.jaccard_components(no_docs).collect() == []
 
@@ -159,12 +187,21 @@ def test_cell_filters_lose_no_link():
         flags = np.zeros(len(own), np.uint8)
         for bit, seed in enumerate((1, *jaccard_join._ORDER_SEEDS)):
             flags[np.argsort((own ^ np.uint64(seed)) * np.uint64(0x9FB21C651E98DF25))[:prefix]] |= 1 << bit
-        rows.append({"tokens": own, "flags": flags, "n": len(own)})
+        rows.append({"tokens": own, "flags": flags, "n": len(own), "pivots": np.array([5, 9 + len(rows) % 2])})
     expected = {
         (i, j) for i, a in enumerate(sets) for j, b in enumerate(sets)
         if 100 * len(np.intersect1d(a, b)) >= 75 * len(np.union1d(a, b))
     }
-    assert set(jaccard_join.linked_pairs(rows, rows)) == expected and len(expected) > 40
+    assert set(zip(*np.nonzero(jaccard_join.linked(rows, rows, 5)))) == expected and len(expected) > 40
+    assert not jaccard_join.linked(rows, rows, 9).any()  # all pairs belong to bundle 5
+
+
+def test_connected_labels():
+    links = np.zeros((4, 3), bool)
+    for i, j in ((0, 1), (2, 1), (2, 2), (3, 0)):
+        links[i, j] = True
+    left, right = jaccard_join.connected(links)
+    assert left.tolist() == [0, 1, 0, 3] and right.tolist() == [3, 0, 0]
 
 
 def test_shingles():
