@@ -7,10 +7,13 @@ A text is the set of its hashed words. The score is the logistic function of
 over its known terms: besides a weight of its own each term has a short vector, and pairs of terms whose vectors
 agree raise the score, so an insult beside a mention of a group counts for more than the two alone.
 
-Terms are hashed to 30 bits without a stored vocabulary; the model keeps hashed terms that tell the labels apart
-beyond chance (chi-squared of at least `MIN_CHI`), the best `MAX_TERMS` of them, so its size is bounded. Rows with
-the same terms count once in the fit, or a group of copies would outvote the rest. The machine is fitted on at most `TRAIN_ROWS` labelled rows, broadcast to the scan
-of the documents (two numbers a row, a proven bound), and every document is scored on its whole text.
+Terms are hashed to 30 bits without a stored vocabulary. The model keeps two kinds of terms, `MAX_TERMS` in all, so its
+size is bounded: those that tell the labels apart beyond chance by themselves (chi-squared of at least `MIN_CHI`), and
+those that do so only beside another one. For these all pairs of the `PAIR_TERMS` most frequent terms are counted, and
+both terms of a pair are kept where the label among rows with both departs from what either alone would give. Rows
+with the same terms count once in the fit, or a group of copies would outvote the rest. The machine is fitted on at
+most `TRAIN_ROWS` labelled rows, broadcast to the scan of the documents (two numbers a row, a proven bound), and every
+document is scored on its whole text.
 
 Defined results: NULL and empty texts have no terms and get the bias. Without labelled rows of both classes every
 score is the share of label 1 (0.5 without labels). NULL ids are scored; their remainder is that of empty text. An
@@ -39,6 +42,11 @@ MAX_TERMS = 8_192
 MIN_DOCS = 4
 #: Of chance terms about one in 100,000 reaches it.
 MIN_CHI = 20.0
+#: Terms whose pairs are counted, and what a pair must reach; there are two million pairs, so it is higher.
+PAIR_TERMS = 2_048
+PAIR_CHI = 45.0
+#: Rows of either label that a pair must lead one to expect, or the statistic does not hold.
+PAIR_EXPECTED = 5.0
 FACTORS = 4
 EPOCHS = 20
 HASH_BITS = 30
@@ -71,17 +79,58 @@ class Machine:
         return float(1 / (1 + np.exp(-np.clip(margin, -30, 30))))
 
 
-def _telling(flat: np.ndarray, y: np.ndarray, share: float) -> np.ndarray:
-    """The hashed terms with the largest chi-squared against the label, sorted.
+def _paired(hit: np.ndarray, row: np.ndarray, y: np.ndarray, n: int) -> np.ndarray:
+    """For each of n terms, the largest chi-squared of a pair that holds it.
 
-    `y` is the label of each entry's row, `share` that of label 1 among rows.
+    `hit` and `row` are the term and the row of each entry, sorted by row. A pair is measured against the share of
+    label 1 among rows with one of its terms, and counts with the lesser of the two.
     """
+    both, positive = np.zeros((n, n), np.float32), np.zeros((n, n), np.float32)
+    step = 1024
+    for at in range(0, len(y), step):
+        lo, hi = np.searchsorted(row, [at, at + step])
+        block = np.zeros((min(step, len(y) - at), n), np.float32)
+        block[row[lo:hi] - at, hit[lo:hi]] = 1
+        both += block.T @ block
+        toxic = block[y[at : at + step] == 1]
+        positive += toxic.T @ toxic
+    share = (np.diag(positive) + y.mean()) / (np.diag(both) + 1)
+    best = np.zeros(n)
+    for at in range(0, n, 256):
+        rows = slice(at, at + 256)
+        least = np.full(both[rows].shape, np.inf)
+        for s in (share[rows, None], share[None, :]):
+            expected = both[rows] * s
+            sure = np.minimum(expected, both[rows] - expected) >= PAIR_EXPECTED
+            chi = np.where(sure, (positive[rows] - expected) ** 2 / np.maximum(expected * (1 - s), 1e-9), 0)
+            least = np.minimum(least, chi)
+        own = np.arange(least.shape[0])
+        least[own, own + at] = 0
+        best[rows] = least.max(axis=1)
+    return best
+
+
+def _telling(flat: np.ndarray, row: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """The hashed terms that tell the labels apart, alone or in pairs, sorted.
+
+    `row` is the row of each entry of `flat`, ascending; `labels` has one label per row.
+    """
+    share = labels.mean()
     known, inverse, docs = np.unique(flat, return_inverse=True, return_counts=True)
-    positive = np.bincount(inverse, weights=y, minlength=len(known))
+    positive = np.bincount(inverse, weights=labels[row], minlength=len(known))
     chi = (positive - docs * share) ** 2 / (docs * share * (1 - share))
     usable = np.flatnonzero((docs >= MIN_DOCS) & (chi >= MIN_CHI))
-    best = usable[np.argsort(-chi[usable], kind="stable")[:MAX_TERMS]]
-    return np.sort(known[best])
+    alone = usable[np.argsort(-chi[usable], kind="stable")]
+    frequent = np.sort(np.argsort(-docs, kind="stable")[:PAIR_TERMS])
+    place = np.full(len(known), -1)
+    place[frequent] = np.arange(len(frequent))
+    hit = place[inverse]
+    beside = _paired(hit[hit >= 0], row[hit >= 0], labels, len(frequent))
+    some = np.flatnonzero(beside >= PAIR_CHI)
+    # A quarter of the places, at least, is for terms that count beside others.
+    pairs = frequent[some[np.argsort(-beside[some], kind="stable")]][: max(MAX_TERMS // 4, MAX_TERMS - len(alone))]
+    alone = alone[~np.isin(alone, pairs)][: MAX_TERMS - len(pairs)]
+    return np.sort(known[np.concatenate([alone, pairs])])
 
 
 def fit(rows: list[np.ndarray], y: np.ndarray, seed: int = SEED) -> Machine:
@@ -97,7 +146,7 @@ def fit(rows: list[np.ndarray], y: np.ndarray, seed: int = SEED) -> Machine:
         return empty
     sizes = np.array([len(r) for r in rows])
     flat = np.concatenate(rows)
-    kept = _telling(flat, np.repeat(y, sizes), share)
+    kept = _telling(flat, np.repeat(np.arange(len(rows)), sizes), y)
     if not len(kept):
         return empty
     index = np.searchsorted(kept, flat)

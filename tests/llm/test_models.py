@@ -73,6 +73,35 @@ def test_machine_learns_a_pair():
     assert machine.vectors[at[0]] @ machine.vectors[at[1]] > 0.1
 
 
+def test_machine_learns_words_that_matter_only_in_pairs():
+    """Toxic where one of two words stands alone: neither has an effect of its own, so only their pair tells."""
+    r = random.Random(2)
+    rows, y = [], []
+    for k in range(2400):
+        one, other = k % 2, k // 2 % 2
+        text = " ".join([*(f"f{r.randrange(3000)}" for _ in range(10)), *["one"] * one, *["other"] * other])
+        rows.append(toxicity.terms(text))
+        y.append(float(one != other))
+    machine = toxicity.fit(rows, np.array(y))
+    assert set(machine.terms) == set(toxicity.terms("one other"))
+    both, one, other, none = (machine.score(toxicity.terms(t)) for t in ("one other", "one", "other", ""))
+    assert min(one, other) > toxicity.THRESHOLD > 0.5 > max(both, none)
+
+
+def test_score_is_the_double_sum():
+    r = np.random.default_rng(4)
+    known = np.unique(r.integers(0, 2**30, 50)).astype(np.int32)
+    machine = toxicity.Machine(known, -0.3, r.normal(size=len(known)), r.normal(0, 0.5, (len(known), 4)))
+    for size in (0, 1, 2, 9):
+        found = np.sort(r.choice(known, size, replace=False))
+        at = [int(np.flatnonzero(known == t)[0]) for t in found]
+        margin = -0.3 + sum(machine.weights[i] for i in at)
+        margin += sum(machine.vectors[i] @ machine.vectors[j] for k, i in enumerate(at) for j in at[:k])
+        strange = np.setdiff1d(r.integers(0, 2**30, 5).astype(np.int32), known)
+        score = machine.score(np.union1d(found, strange).astype(np.int32))
+        assert np.isclose(score, 1 / (1 + np.exp(-margin)))
+
+
 def test_fit_does_not_depend_on_row_order():
     r = random.Random(3)
     rows = [toxicity.terms(" ".join(["bad"] * (k % 4 == 0) + [f"f{r.randrange(50)}" for _ in range(8)])) for k in range(200)]
