@@ -200,7 +200,7 @@ def eda_describe(spark, sf_dir):
 
 
 def eda_describe_ranged(spark, sf_dir):
-    """The same with quartiles ranked over range partitions, as for tables of any size."""
+    """The same with quartiles found digit by digit, as for tables of any size."""
     return eda.describe(all_shipments(spark, sf_dir), ALL_SHIPMENT_KINDS, small_table=0)
 
 

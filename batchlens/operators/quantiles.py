@@ -1,34 +1,21 @@
 """Exact quantiles with linear interpolation, per group and column.
 
-Small tables use the built-in percentile, which keeps all distinct values of a task in memory.
-Larger ones take three steps, none of which moves the table or gathers a group in one task:
-
-1. a sketch per group and column gives, for every wanted quantile, an interval that holds it;
-2. rows below and above the interval are only counted, the values inside (about one row in a
-   hundred) are counted one by one, all of it combined on the map side;
-3. the counted values are spread by range partitions, and only the partitions that hold a wanted
-   rank are sorted.
+Small tables use the built-in percentile, which takes one pass and keeps all distinct values of a task in memory.
+Larger ones are counted digit by digit (`operators.selection`), which moves neither the table nor a group of it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from batchlens.functions.values import number
 from batchlens.operators.batching import BATCH
-from batchlens.session import stage
+from batchlens.operators.selection import quantiles_by_digits
 
 # Tables with up to this many rows use the built-in percentile.
 SMALL_TABLE = 5_000_000
-# The rank error of the sketch is at most 1/ACCURACY of the rows; the interval reaches further on
-# either side. Groups too small for that slack to cover rounding are counted whole.
-ACCURACY = 1000
-SLACK = 0.005
-SKETCHED_FROM = 2000
-
-ZONE_BELOW, ZONE_INSIDE, ZONE_ABOVE = 0, 1, 2
 
 
 def quantiles(
@@ -49,17 +36,15 @@ def quantiles(
         values = values.filter(F.col(key).isNotNull())
     if (values.count() if n_rows is None else n_rows) <= small_table:
         return _by_aggregate(values, columns, probs, keys)
-    found = stage(_by_rank(_count_zones(values, columns, probs, keys), keys), "quantiles")
-    if not found.filter(F.col("value").isNull()).isEmpty():
-        # An interval missed its quantile, which the error bound of the sketch rules out.
-        found = _by_rank(_count_zones(values, columns, probs, keys, sketch=False), keys)
-    return found
+    lanes = [lane for i, c in enumerate(columns) for lane in (F.lit(c), F.col(f"x{i}"))]
+    long = values.select(*keys, F.stack(F.lit(len(columns)), *lanes).alias("feature", "x"))
+    cells = long.filter(F.col("x").isNotNull()).withColumn("cnt", F.lit(1).cast("long"))
+    return quantiles_by_digits(cells, probs, keys)
 
 
 def quantiles_of_counts(counts: DataFrame, probs: Sequence[float], keys: Sequence[str] = (BATCH,)) -> DataFrame:
-    """The same over values that are counted already: (keys, feature, value, cnt), each value once."""
-    ps = F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p")
-    return _by_rank(counts.select(*keys, "feature", ps, F.lit(ZONE_INSIDE).alias("zone"), "value", "cnt"), keys)
+    """The same over values that are counted already: (keys, feature, value, cnt)."""
+    return quantiles_by_digits(counts.select(*keys, "feature", F.col("value").alias("x"), "cnt"), probs, keys)
 
 
 def _by_aggregate(values, columns, probs, keys) -> DataFrame:
@@ -74,92 +59,3 @@ def _by_aggregate(values, columns, probs, keys) -> DataFrame:
     ]
     long = wide.select(*keys, F.explode(F.array(*records)).alias("r")).select(*keys, "r.*")
     return long.filter(F.col("value").isNotNull())
-
-
-def _with_intervals(values, columns, probs, keys):
-    """The values with the interval ends of every column and quantile, and a function to get them."""
-    ends = [min(max(p + side, 0.0), 1.0) for p in probs for side in (-SLACK, SLACK)]
-    sketches = []
-    for i in range(len(columns)):
-        sketch = F.percentile_approx(f"x{i}", ends, ACCURACY)
-        sketches.append(F.when(F.count(f"x{i}") >= SKETCHED_FROM, sketch).alias(f"ends{i}"))
-    intervals = values.groupBy(*keys).agg(*sketches)
-    if keys:
-        # One row per group, two numbers per column and quantile.
-        joined = values.join(stage(intervals, "intervals"), list(keys))
-        return joined, lambda i, j: F.col(f"ends{i}")[j]
-    row = intervals.first()
-    return values, lambda i, j: F.lit(row[i][j] if row[i] else None).cast("double")
-
-
-def _count_zones(values, columns, probs, keys, sketch: bool = True) -> DataFrame:
-    """Rows per (keys, feature, p, zone, value); outside the interval the value is not kept."""
-    end = lambda i, j: F.lit(None).cast("double")
-    if sketch:
-        values, end = _with_intervals(values, columns, probs, keys)
-    lanes = []
-    for i, c in enumerate(columns):
-        for j, p in enumerate(probs):
-            lanes += [F.lit(c), F.lit(float(p)), F.col(f"x{i}"), end(i, 2 * j), end(i, 2 * j + 1)]
-    cells = values.select(
-        *keys, F.stack(F.lit(len(columns) * len(probs)), *lanes).alias("feature", "p", "x", "lo", "hi")
-    ).filter(F.col("x").isNotNull())
-    zone = (
-        F.when(F.col("x") < F.col("lo"), ZONE_BELOW)
-        .when(F.col("x") > F.col("hi"), ZONE_ABOVE)
-        .otherwise(ZONE_INSIDE)
-    )
-    inside = F.when(F.col("zone") == ZONE_INSIDE, F.col("x"))
-    return (
-        cells.withColumn("zone", zone)
-        .select(*keys, "feature", "p", "zone", inside.alias("value"))
-        .groupBy(*keys, "feature", "p", "zone", "value")
-        .agg(F.count(F.lit(1)).alias("cnt"))
-    )
-
-
-def _by_rank(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Quantiles from counted values, which sort by zone and value.
-
-    A hot value is a single row by now, so the ranges are even whatever the skew. The ranged table
-    is written out because its partition numbers must not change.
-    """
-    group = [*keys, "feature", "p"]
-    order = ["zone", "value"]
-    ranged = stage(
-        counts.repartitionByRange(*group, *order).withColumn("part", F.spark_partition_id()), "ranged"
-    )
-    rows = Window.partitionBy(*group)
-    earlier = rows.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = (
-        ranged.groupBy(*group, "part")
-        .agg(F.sum("cnt").alias("held"))
-        .select(
-            *group,
-            "part",
-            "held",
-            F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("before"),
-            ((F.sum("held").over(rows) - 1) * F.col("p")).alias("pos"),
-        )
-    )
-    lo, hi = F.floor("pos"), F.ceil("pos")
-    targets = parts.filter((lo < F.col("before") + F.col("held")) & (hi >= F.col("before"))).select(
-        *group, "part", "before", "pos", lo.alias("lo"), hi.alias("hi")
-    )
-    # At most two partitions per group and quantile hold its ranks.
-    upto = Window.partitionBy(*group, "part").orderBy(*order)
-    ranked = (
-        ranged.join(stage(targets, "targets"), [*group, "part"])
-        .withColumn("end", F.col("before") + F.sum("cnt").over(upto))
-        .withColumn("start", F.col("end") - F.col("cnt"))
-    )
-    holds = {s: (F.col(s) >= F.col("start")) & (F.col(s) < F.col("end")) for s in ("lo", "hi")}
-    ends = (
-        ranked.filter(holds["lo"] | holds["hi"])
-        .groupBy(*group, "pos", "lo", "hi")
-        .agg(*[F.max(F.when(cond, F.col("value"))).alias(f"{s}_value") for s, cond in holds.items()])
-    )
-    from_lo, from_hi = F.col("hi") - F.col("pos"), F.col("pos") - F.col("lo")
-    between = from_lo * F.col("lo_value") + from_hi * F.col("hi_value")
-    value = F.when(F.col("lo") == F.col("hi"), F.col("lo_value")).otherwise(between)
-    return ends.select(*group, value.alias("value"))

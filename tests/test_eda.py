@@ -78,20 +78,58 @@ def test_quantiles_with_a_hot_value(spark, limit, hot):
         assert value == pytest.approx(np.quantile(values[groups == g], p), abs=1e-12)
 
 
-def test_missed_intervals_are_made_good(spark, monkeypatch):
-    """Intervals that miss their quantile show, and the values are then counted whole."""
-    from batchlens.operators import quantiles as module
+AWKWARD = [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.7976931348623157e308]
+AWKWARD += [-1.7976931348623157e308, float("inf"), float("-inf"), 1.0, -1.0, 8.0, 7.999999999999999, 8.000000000000002]
+
+
+def test_images_are_in_the_order_of_the_doubles(spark):
+    from batchlens.operators.selection import with_image
+
+    rng = np.random.default_rng(11)
+    bits = rng.integers(-(2**63), 2**63 - 1, 3000, dtype=np.int64).view(np.float64)
+    powers = [s * 2.0**e for e in range(-1074, 1024) for s in (1, -1)]
+    near = list(np.nextafter(powers, np.inf)) + list(np.nextafter(powers, -np.inf))
+    values = [float(x) for x in [*bits[~np.isnan(bits)], *powers, *near, *AWKWARD, *rng.normal(size=2000)]]
+    rows = with_image(spark.createDataFrame([(x,) for x in values], "x double")).collect()
+    assert len(rows) == len(values)
+    for x, i in rows:
+        magnitude = int(np.float64(abs(x)).view(np.int64))
+        assert i == (-magnitude if x < 0 else magnitude), x
+    assert with_image(spark.createDataFrame([(None,)], "x double")).first()["image"] is None
+
+
+def test_quantiles_of_awkward_values(spark):
+    close = [1.0 + k * 2.0**-52 for k in range(400)]
+    groups = {"close": close, "one": [3.5], "same": [-2.0] * 50, "mixed": AWKWARD[:8] + AWKWARD[10:] + [None]}
+    df = spark.createDataFrame([(g, x) for g, xs in groups.items() for x in xs], "batch_id string, x double")
+    probs = (0.0, 0.3, 0.5, 1.0)
+    found = {(r.batch_id, r.p): r.value for r in quantiles(df, ["x"], probs, small_table=0).collect()}
+    assert len(found) == 4 * len(groups)
+    for (g, p), value in found.items():
+        xs = sorted(x for x in groups[g] if x is not None)
+        pos = (len(xs) - 1) * p
+        lo, hi = int(np.floor(pos)), int(np.ceil(pos))
+        assert value == (xs[lo] if lo == hi else (hi - pos) * xs[lo] + (pos - lo) * xs[hi])
+    assert quantiles(df.limit(0), ["x"], probs, small_table=0).collect() == []
+    assert quantiles(df.filter("x is null"), ["x"], probs, small_table=0).collect() == []
+
+
+def test_counted_values_weigh_as_often(spark):
+    from batchlens.operators.quantiles import quantiles_of_counts
 
-    monkeypatch.setattr(module, "SLACK", -0.2)
-    df = spark.range(5001).select(F.lit("b").alias("batch_id"), F.col("id").cast("double").alias("x"))
-    assert [r.value for r in quantiles(df, ["x"], (0.5,), small_table=0).collect()] == [2500.0]
+    rows = [("f", 1.0, 3), ("f", 2.0, 4), ("f", 9.0, 2), ("f", 2.0, 1), ("g", 7.0, 10**12)]
+    counts = spark.createDataFrame(rows, "feature string, value double, cnt long")
+    found = {(r.feature, r.p): r.value for r in quantiles_of_counts(counts, (0.25, 0.5, 0.75), ()).collect()}
+    xs = [1.0] * 3 + [2.0] * 5 + [9.0] * 2
+    assert found == {("f", p): np.quantile(xs, p) for p in (0.25, 0.5, 0.75)} | {("g", p): 7.0 for p in (0.25, 0.5, 0.75)}
 
 
-def test_few_values_are_shuffled_for_a_quantile(spark):
-    from batchlens.operators.quantiles import _count_zones
+def test_few_rows_are_shuffled_for_a_quantile(spark):
+    """Partial counts per cell are shuffled, not values: 100,000 different ones fall into few cells."""
+    from batchlens.operators.selection import _counted, _first_cells
 
-    df = spark.range(100000).select(F.lit("b").alias("batch_id"), F.rand(3).alias("x0"))
-    assert _count_zones(df, ["x"], (0.5,), ("batch_id",)).count() < 2000
+    df = spark.range(100000).select(F.lit("f").alias("feature"), (F.rand(3) + 1).alias("x"), F.lit(1).alias("cnt"))
+    assert _counted(_first_cells(df), ["feature"]).count() <= 257
 
 
 def test_top_values_and_summary(spark):
