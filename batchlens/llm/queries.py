@@ -19,9 +19,10 @@ from batchlens.llm.repeats import remove_repeats
 from batchlens.llm.rtree import hard_negatives
 from batchlens.llm.sentencepiece_bpe import decode, encode
 from batchlens.llm.sharding import shard
-from batchlens.llm.token_counts import count_with_edits, derived_edits
+from batchlens.llm.token_counts import count_edits, derived_edits, keep_trees
 from batchlens.llm.topk import top_k
 from batchlens.llm.word_bpe import word_encoder
+from batchlens.session import stage
 
 TOKENIZERS = "/opt/tokenizers"
 
@@ -35,10 +36,17 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tokens of every document before and after four edits."""
-    docs = table(spark, sf_dir, "documents")
-    counted = count_with_edits(docs, derived_edits(), f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
-    return counted.drop("text_edited")
+    """Tokens of every document before and after four edits of its kept tree."""
+    ranks = f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
+    trees = stage(keep_trees(table(spark, sf_dir, "documents"), ranks), "token-trees")
+    return count_edits(trees, derived_edits(), ranks).select(
+        "doc_id",
+        F.col("n_tokens_before").alias("n_tokens"),
+        F.col("n_pieces_before").alias("n_pieces"),
+        "n_edits",
+        F.col("n_tokens").alias("n_tokens_edited"),
+        "n_encoded",
+    )
 
 
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
