@@ -52,6 +52,8 @@ STORED_RULE_SCHEMA = (
 RULE_COLUMNS = (BATCH, "antecedents", "consequents", "support", "confidence", "lift")
 COUNTED_SCHEMA = "batch_id string, n_rows bigint, kinds string, run_id string, created_at timestamp"
 MINED_SCHEMA = "batch_id string, n_rows bigint, n_rules bigint, run_id string, created_at timestamp"
+#: Column of written rows that no batch takes: the batch they came with.
+UNWANTED = "__unwanted"
 
 
 @dataclass(frozen=True)
@@ -233,6 +235,8 @@ class Warehouse:
         """Write the rows to the folder of the ingest; returns rows by batch, and violations by batch and rule.
 
         Rows of known batches and undated rows keep nothing but their batch, so that they are counted with the others.
+        They go to the folder of undated rows, their batch in a column of its own: empty rows shrink to almost nothing
+        in a shuffle, so a task may get any number of them, and it must not need a writer per batch, or a sort, for them.
         """
         path = self._ingest(folder)
         wanted = F.col(BATCH).isNotNull() & ~F.col(BATCH).isin(sorted(known))
@@ -241,10 +245,13 @@ class Warehouse:
         if guard is not None:
             rows, broken = guard.watch(df.select(BATCH, *cells, wanted.alias("__wanted")), "__wanted")
         # Files per batch, with a batch too large for one task split between several.
-        rows.hint("rebalance", BATCH).write.partitionBy(BATCH).parquet(path)
+        dealt = rows.hint("rebalance", BATCH)
+        apart = {BATCH: F.when(wanted, F.col(BATCH)), UNWANTED: F.when(~wanted, F.col(BATCH)).cast("string")}
+        dealt.withColumns(apart).write.partitionBy(BATCH).parquet(path)
         tag = StructField(BATCH, StringType())
-        written = self.spark.read.schema(StructType([tag])).parquet(path)
-        arrived = {r[BATCH]: r.n_rows for r in rows_per_batch(written).collect()}
+        written = self.spark.read.schema(StructType([StructField(UNWANTED, StringType()), tag])).parquet(path)
+        batch = F.coalesce(BATCH, UNWANTED).alias(BATCH)
+        arrived = {r[BATCH]: r.n_rows for r in rows_per_batch(written.select(batch)).collect()}
         if guard is None:
             return arrived, {}
         back = self.spark.read.schema(StructType([*[f for f in rows.schema.fields if f.name != BATCH], tag])).parquet(path)

@@ -2,12 +2,14 @@
 
 import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from batchlens.operators.batching import BATCH, assign_batches
 from batchlens.operators.checks import Guard
+from batchlens.session import OPEN_FILES
 from batchlens.sources import warehouse as warehouses
 from batchlens.sources.claims import names_in, publish, read_file
 from batchlens.sources.warehouse import Saved, Warehouse
@@ -105,6 +107,33 @@ def test_source_is_read_once(spark, warehouse):
     assert names == {"batch_id=2024-01", "batch_id=2024-02", "batch_id=2024-03"}
 
 
+def test_unwanted_rows_share_one_folder_of_a_write(spark, warehouse, monkeypatch):
+    """However many batches they are of, a task holds one writer for them and need not sort them."""
+
+    def days(first, last, n):
+        rows = spark.range(first * n, last * n).withColumn("x", F.col("id") * 0.5)
+        return rows.withColumn(BATCH, F.concat(F.lit("day "), (F.col("id") / n).cast("int").cast("string")))
+
+    assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) == OPEN_FILES
+    many = OPEN_FILES + 8
+    assert warehouse.save(days(0, many, 3)) == Saved(many)
+    written = []
+    drop = Warehouse._drop_folders
+
+    def look(self, folder, kept, arrived):
+        written.extend(p.name for p in Path(self._ingest(folder)).iterdir() if p.name.startswith(BATCH))
+        drop(self, folder, kept, arrived)
+
+    monkeypatch.setattr(Warehouse, "_drop_folders", look)
+    undated = spark.createDataFrame([(9, 1.0, None)] * 4, f"id long, x double, {BATCH} string")
+    saved = warehouse.save(days(0, many + 2, 5).union(undated))
+    assert saved == Saved(2, {f"day {i}": 5 for i in range(many)}, 4)
+    assert set(written) == {f"batch_id=day {many}", f"batch_id=day {many + 1}", "batch_id=__HIVE_DEFAULT_PARTITION__"}
+    assert warehouse.raw().columns == [BATCH, "id", "x"]
+    counts = {r[BATCH]: r["count"] for r in warehouse.raw().groupBy(BATCH).count().collect()}
+    assert counts == {f"day {i}": 3 if i < many else 5 for i in range(many + 2)}
+
+
 def test_guard_refuses_whole_batches(spark, warehouse):
     known = spark.createDataFrame([(i,) for i in range(6)], "k long")
     guard = Guard(
