@@ -33,7 +33,7 @@ from batchlens.session import stage
 CAPACITY = 2048
 END_ID = 0
 #: Texts tokenised together.
-TEXTS_AT_ONCE = 128
+TEXTS_AT_ONCE = 500
 
 
 class SpaceTree:

@@ -1,17 +1,20 @@
 """Token ids of whole texts with a word-level BPE tokenizer file.
 
-The tokenizer drops white space and never lets a token span it, so a text is cut at blanks, tabs and line breaks,
-and the ids of a piece are the same wherever it stands. Pieces are looked up in a bounded table; the library
-encodes those that are missing, many in one call. `tests/llm` compares whole texts with the library.
+The tokenizer drops white space and never lets a token span it, so a text is cut at ASCII white space, and the
+ids of a piece are the same wherever it stands. The different pieces of some texts are looked up in a bounded table;
+the library encodes those that are missing, many in one call. `tests/llm` compares whole texts with the library.
 """
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from functools import lru_cache
 
 import numpy as np
-from tokenizers import Tokenizer
+import pyarrow as pa
+import pyarrow.compute as pc
+from tokenizers import Tokenizer, pre_tokenizers
 
 from batchlens.llm.common import hold_tables
 
@@ -19,6 +22,8 @@ from batchlens.llm.common import hold_tables
 CACHED_PIECES = 1_000_000
 #: Longer pieces are encoded but not kept.
 LONGEST_KEPT = 64
+#: Letters that are composed and have one small letter each, and ASCII punctuation behind them, apostrophes aside.
+LETTERS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 
 
 class WordEncoder:
@@ -26,6 +31,10 @@ class WordEncoder:
 
     def __init__(self, tokenizer_path: str, cached: int = CACHED_PIECES):
         self._tokenizer = Tokenizer.from_file(tokenizer_path)
+        self._merge = self._tokenizer.model.tokenize
+        byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self._as_bytes = {i: byte_level.pre_tokenize_str(chr(i))[0][0] for i in range(0xC0, 0x100)}
+        self._packed = [i.to_bytes(4, "little") for i in range(self._tokenizer.get_vocab_size())]
         self._cached = cached
         self._known: dict[str, bytes] = {}
 
@@ -43,9 +52,42 @@ class WordEncoder:
         first = np.concatenate([[0], last[:-1]])
         return [ids[a:b].tobytes() for a, b in zip(first.tolist(), last.tolist())]
 
-    def _learn(self, pieces: set[str]) -> dict[str, bytes]:
-        """Ids of new pieces. A last punctuation mark after a letter or digit is always a token run of its own, and
-        ASCII capitals are read as small letters, so most pieces share the ids of a plainer one."""
+    def _run(self, letters: str) -> bytes:
+        """Ids of small letters, which are one run: only the merges of the model are left to do."""
+        packed = self._packed
+        run = letters if letters.isascii() else letters.translate(self._as_bytes)
+        return b"".join([packed[token.id] for token in self._merge(run)])
+
+    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of new pieces. Punctuation behind letters is always a token run of its own, and capitals are read as small
+        letters, so most pieces share the ids of a plainer one."""
+        known, found, others = self._known, {}, []
+        for piece, parts in zip(pieces, map(LETTERS.fullmatch, pieces)):
+            if parts is None:
+                others.append(piece)
+                continue
+            body, mark = parts.groups()
+            body = body.lower()
+            ids = known.get(body)
+            if ids is None:
+                ids = self._run(body)
+                if len(body) <= LONGEST_KEPT:
+                    known[body] = ids
+            if mark:
+                tail = known.get(mark)
+                if tail is None:
+                    tail = self._library([mark])[0]
+                    if len(mark) <= LONGEST_KEPT:
+                        known[mark] = tail
+                ids += tail
+            found[piece] = ids
+        if others:
+            found.update(self._learn_others(others))
+        known.update((p, ids) for p, ids in found.items() if len(p) <= LONGEST_KEPT)
+        return found
+
+    def _learn_others(self, pieces: list[str]) -> dict[str, bytes]:
+        """The same for pieces with other characters: a last mark after a letter or digit is a run of its own."""
         known, plain, parts = self._known, set(), {}
         for piece in pieces:
             body, mark = piece, ""
@@ -58,25 +100,36 @@ class WordEncoder:
             parts[piece] = body, mark
             plain.update(x for x in (body, mark) if x and x not in known)
         order = list(plain)
-        found = dict(zip(order, self._library(order)))
+        found = dict(zip(order, self._library(order))) if order else {}
         for piece, (body, mark) in parts.items():
             if piece not in found:
                 found[piece] = b"".join(found[x] if x in found else known[x] for x in (body, mark) if x)
-        known.update((p, ids) for p, ids in found.items() if len(p) <= LONGEST_KEPT)
         return found
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         if len(self._known) > self._cached:
             self._known.clear()
-        cut = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        new = set().union(*cut).difference(self._known)
-        new.discard("")
         self._known[""] = b""
-        found = self._learn(new) if new else {}
-        get = self._known.__getitem__
-        if any(len(p) > LONGEST_KEPT for p in new):
-            return [b"".join(found[p] if p in found else get(p) for p in pieces) for pieces in cut]
-        return [b"".join(map(get, pieces)) for pieces in cut]
+        cut = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        coded = cut.flatten().dictionary_encode()
+        pieces = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        own = list(map(self._known.get, pieces))
+        new = [p for p, ids in zip(pieces, own) if ids is None]
+        if new:
+            found = self._learn(new)
+            own = [found[p] if ids is None else ids for p, ids in zip(pieces, own)]
+
+        # The ids of all pieces behind each other, in one step for all texts.
+        table = np.frombuffer(b"".join(own), "<u4")
+        lengths = np.fromiter(map(len, own), np.int64, len(own)) // 4
+        first = np.cumsum(lengths) - lengths
+        place = coded.indices.to_numpy()
+        number = lengths[place]
+        ends = np.concatenate([[0], np.cumsum(number)])
+        ids = table[np.repeat(first[place] - ends[:-1], number) + np.arange(ends[-1])].tobytes()
+        offsets = cut.offsets.to_numpy()
+        at = (4 * ends[offsets - offsets[0]]).tolist()
+        return [ids[a:b] for a, b in zip(at, at[1:])]
 
 
 @lru_cache(maxsize=2)

@@ -110,6 +110,25 @@ def test_long_runs_of_white_space():
             assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
+def test_letter_runs_need_the_merges_only(monkeypatch):
+    """Words of Latin letters, with punctuation behind them or not, do not pass through the whole library."""
+    library = Tokenizer.from_file(WORDS)
+    letters = "".join(chr(i) for i in range(0x100) if chr(i).isalpha() and chr(i) not in "ªµº")
+    marks = [chr(i) for i in range(33, 127) if not chr(i).isalnum() and chr(i) != "'"]
+    r = random.Random(8)
+    words = [*letters, *("".join(r.choices(letters, k=r.randrange(1, 90))) for _ in range(300))]
+    words += [r.choice(words) + "".join(r.choices(marks, k=r.choice([1, 2, 3, 70]))) for _ in range(400)]
+    asked = []
+    ask = WordEncoder._library
+    monkeypatch.setattr(WordEncoder, "_library", lambda self, pieces: asked.extend(pieces) or ask(self, pieces))
+    encoder = WordEncoder(WORDS, cached=200)
+    for at in range(0, len(words), 40):
+        texts = [" ".join(words[at : at + 40]), *words[at : at + 40], ""]
+        for text, ids in zip(texts, encoder.encode_all(texts), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
+    assert asked and not [p for p in asked if any(c.isalpha() for c in p)]
+
+
 def best_fit_decreasing(lengths, capacity):
     free = []
     for n in sorted(lengths, reverse=True):
